@@ -26,7 +26,7 @@ _RUN = r"(?:\p{Lu}++|\p{Ll}++|\p{Nd}++)"
 _CHUNK = rf"(?<![{_ALNUM}]){_RUN}{{{MERGE_RUNS},}}"
 _SEGMENT = rf"({_CHUNK}|\p{{Lu}}+|\p{{Ll}}+|\p{{Nd}}+|[^{_ALNUM}])"
 # one private-use code point per run kind stands for the run inside a shape
-TOKENS = {"M": "", "X": "", "U": "", "L": "", "D": ""}
+TOKENS = {"M": chr(0xE001), "X": chr(0xE002), "U": chr(0xE003), "L": chr(0xE004), "D": chr(0xE005)}
 KIND_OF = {t: k for k, t in TOKENS.items()}
 
 
