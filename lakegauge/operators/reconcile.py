@@ -65,7 +65,7 @@ def reconcile_rows(source: DataFrame, landed: DataFrame, key: list[str], columns
 
     both = side(source, 1).unionByName(side(landed, 0))
     src = F.col("_s") == 1
-    mix = F.shiftrightunsigned(F.col("_h"), 24)      # 40 bits: sums of millions of copies fit a bigint
+    mix = F.shiftrightunsigned(F.col("_h"), 32)      # 32 bits: sums over 2^31 copies fit a bigint
     k = both.groupBy(*key).agg(
         F.count_if(src).alias("source_rows"), F.count_if(~src).alias("landed_rows"),
         F.bit_xor("_h").alias("_x"), F.sum(F.when(src, mix).otherwise(-mix)).alias("_d"))

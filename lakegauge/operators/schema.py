@@ -24,7 +24,7 @@ def logical_kind(dtype: T.DataType) -> str:
 def logical_kind_of_footer(t: Column) -> Column:
     """Logical type of a type name from a parquet footer."""
     return (F.when(t == "bool", "boolean").when(t.startswith("decimal"), "decimal")
-            .when(t.rlike("^u?int(8|16|32|64)$"), "integer").when(t.isin("halffloat", "float", "double"), "float")
+            .when(t.rlike("^int(8|16|32|64)$"), "integer").when(t.isin("halffloat", "float", "double"), "float")
             .when(t.isin("string", "large_string"), "string").when(t.rlike("^(timestamp|date)"), "datetime")
             .otherwise("unsupported"))
 
