@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from lakegauge.operators.order_stats import same_group
 
 # Edge positions as fractions of the span; weight held back for tails and for empty bins.
 EDGE_FRACTIONS = (0.0, 0.0001, 0.003, 0.013, 0.033, 0.066, 0.133, 0.333, 1.0)
@@ -64,8 +67,8 @@ def z_outliers(df: DataFrame, group: list[str], columns: dict[str, Column], stat
     group and is joined back on the group instead of a window over all rows of a group.
     """
     names = list(columns)
-    joined = df.select(*group, *[c.alias(f"_x{i}") for i, c in enumerate(columns.values())]).join(
-        stats.select(*group, *[f"{n}__{s}" for n in names for s in ("mean", "sd")]), group)
+    joined = same_group(df.select(*group, *[c.alias(f"_x{i}") for i, c in enumerate(columns.values())]),
+                        stats.select(*group, *[f"{n}__{s}" for n in names for s in ("mean", "sd")]), group)
     aggs = []
     for i, n in enumerate(names):
         z = z_score(F.col(f"_x{i}"), F.col(f"{n}__mean"), F.col(f"{n}__sd"))
@@ -83,17 +86,9 @@ def z_outliers(df: DataFrame, group: list[str], columns: dict[str, Column], stat
 def value_shares(df: DataFrame, group: list[str], column: str) -> DataFrame:
     """Share of each value of a category within its group."""
     counts = df.groupBy(*group, column).agg(F.count(F.lit(1)).alias("rows"))
-    totals = df.groupBy(*group).agg(F.count(F.lit(1)).alias("total")) if group else df.agg(F.count(F.lit(1)).alias("total"))
-    if group:
-        counts = counts.join(totals, group)
-    else:
-        counts = counts.withColumn("total", F.sum("rows").over(_everything()))
-    return counts.withColumn("share", F.col("rows") / F.col("total"))
-
-
-def _everything():
-    from pyspark.sql.window import Window
-    return Window.partitionBy(F.lit(1))
+    # at this point one row per value: the window sums value counts, not rows
+    total = F.sum("rows").over(Window.partitionBy(*(group or [F.lit(1)])))
+    return counts.withColumn("total", total).withColumn("share", F.col("rows") / F.col("total"))
 
 
 def ratio_within(df: DataFrame, group: list[str], column: str, expected: float, tolerance: float) -> DataFrame:

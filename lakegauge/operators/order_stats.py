@@ -25,6 +25,15 @@ from lakegauge.session import materialise
 SLICES = 4096
 
 
+def same_group(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join on columns of equal names where null meets null; the small side's other columns are added."""
+    s = small.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    return big.join(s, cond).drop(*[f"_r_{c}" for c in on])
+
+
 def lower_rank(q: float, n: Column) -> Column:
     """Index of the *lower* definition: floor(q * (n - 1))."""
     return F.floor(F.lit(float(q)) * (n - 1)).cast("bigint")
@@ -78,15 +87,15 @@ def exact_ranks(values: DataFrame, group: list[str], ranks: dict[str, object]) -
                       F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * SLICES)).otherwise(0)
     # an infinite or overflowing span gives no usable slice; such a bucket stays whole
     slice_no = F.when(F.col("hi") - F.col("lo") < float("inf"), slice_no).otherwise(0).cast("bigint")
-    sliced = rows.join(t1.select(*by, "b1", "lo", "hi"), [*by, "b1"]).withColumn("b2", slice_no)
+    sliced = same_group(rows, t1.select(*by, "b1", "lo", "hi"), [*by, "b1"]).withColumn("b2", slice_no)
     c2 = sliced.groupBy(*by, "b1", "b2").agg(F.count(F.lit(1)).alias("cnt"))
-    c2 = c2.join(t1.select(*by, "b1", "want"), [*by, "b1"])
+    c2 = same_group(c2, t1.select(*by, "b1", "want"), [*by, "b1"])
     t2 = materialise(_locate(c2, [*by, "b1"], "b2", F.col("want")).select(*by, "b1", "b2", F.col("_inside").alias("want")),
                      "ranks2")
 
-    fine = sliced.join(t2.select(*by, "b1", "b2"), [*by, "b1", "b2"])
+    fine = same_group(sliced, t2.select(*by, "b1", "b2"), [*by, "b1", "b2"])
     c3 = fine.groupBy(*by, "b1", "b2", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    c3 = c3.join(t2.select(*by, "b1", "b2", "want"), [*by, "b1", "b2"])
+    c3 = same_group(c3, t2.select(*by, "b1", "b2", "want"), [*by, "b1", "b2"])
     found = _locate(c3, [*by, "b1", "b2"], "v", F.col("want"))
     return found.select(*by, F.explode("_inside").alias("_hit"), "v").select(
         *by, F.col("_hit")["name"].alias("name"), F.col("v").alias("value"))

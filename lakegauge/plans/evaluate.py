@@ -161,7 +161,7 @@ class Compiler:
         reach = start + F.expr(f"INTERVAL {self.window_days} DAYS") - F.expr("INTERVAL 4 HOURS")
         p.verdict(rid, F.when(part.isNotNull(), F.coalesce(F.col("max_event").between(reach, end), F.lit(True))), None,
                   observed_text=F.col("max_event").cast("string"))
-        self.row(rules.between(p.rule(3, "not_future", ev), ev, hi=F.lit(self.now).cast("timestamp_ntz")))
+        self.row(rules.between(p.rule(3, "not_future", ev), ev, hi=_instant(self.now)))
         periods = self.b.volume.get("periods")
         if "_period" in self.types:
             if periods:
@@ -356,6 +356,12 @@ class Compiler:
                 p.verdict(rid, F.coalesce(F.abs(seen - share) <= c.ratio_tolerance, F.lit(True)), seen)
 
 
+def _instant(t: dt.datetime) -> Column:
+    if t.tzinfo:
+        t = t.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    return F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def _shape(df: DataFrame) -> DataFrame:
     """Any family's output in the common columns."""
     have = set(df.columns)
@@ -513,7 +519,7 @@ def evaluate(frame: DataFrame, c: Contract, base: Baseline, *, now: dt.datetime,
         F.col(PART_DATE).alias("part_date"), F.col("_label").alias("partition"), "dim", "category", "rule_id", "rule_kind",
         "column", "severity", "success", "element_count", "missing_count", "unexpected_count", "unexpected_percent",
         "observed_num", "observed_text", "lo", "hi", "sample", "error", "note",
-        F.lit(now).cast("timestamp_ntz").alias("run_at"))
+        _instant(now).alias("run_at"))
 
 
 def _order_rules(work: DataFrame, p: Plan) -> list[DataFrame]:
