@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lakegauge.operators.order_stats import same_group
 
@@ -86,9 +85,8 @@ def z_outliers(df: DataFrame, group: list[str], columns: dict[str, Column], stat
 def value_shares(df: DataFrame, group: list[str], column: str) -> DataFrame:
     """Share of each value of a category within its group."""
     counts = df.groupBy(*group, column).agg(F.count(F.lit(1)).alias("rows"))
-    # at this point one row per value: the window sums value counts, not rows
-    total = F.sum("rows").over(Window.partitionBy(*(group or [F.lit(1)])))
-    return counts.withColumn("total", total).withColumn("share", F.col("rows") / F.col("total"))
+    totals = counts.groupBy(*group).agg(F.sum("rows").alias("total"))
+    return same_group(counts, totals, group).withColumn("share", F.col("rows") / F.col("total"))
 
 
 def ratio_within(df: DataFrame, group: list[str], column: str, expected: float, tolerance: float) -> DataFrame:
