@@ -89,3 +89,9 @@ def date_from_path(path: Column) -> Column:
             .when(p.rlike(snap), _valid_date(*_digits(p, snap, 1, 2, 3)))
             .when(base.rlike(r"\d{8}"), _valid_date(*_digits(F.regexp_extract(base, r"(\d{8})", 1),
                                                              r"^(\d{4})(\d{2})(\d{2})$", 1, 2, 3))))
+
+
+def distinct_periods(number: Column) -> Column:
+    """Aggregate: how many different hours or days of month occur. They fit a bit set, so no distinct shuffle."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), number.cast("int"))
+    return F.coalesce(F.bit_count(F.bit_or(bit)), F.lit(0)).cast("bigint")

@@ -54,7 +54,7 @@ def exclude_partitions(frame: DataFrame, names: list[str] | None = None) -> tupl
     """
     if names:
         return frame.filter(~F.col(PART).isin(names)), list(names)
-    newest = frame.agg(F.max(F.struct(F.coalesce(F.col(PART_DATE), F.lit(dt.date(1, 1, 1))), F.col(PART))).alias("m"),
+    newest = frame.agg(F.max(F.struct(F.coalesce(F.col(PART_DATE), F.lit("0001-01-01").cast("date")), F.col(PART))).alias("m"),
                        F.min(PART).alias("a"), F.max(PART).alias("z")).first()
     if newest["m"] is None or newest["a"] == newest["z"]:
         return frame, []
@@ -217,7 +217,7 @@ def learn(frame: DataFrame, c: Contract, exclude: list[str] | None = None, corri
     if c.event_time in frame.columns and c.grain in ("jam", "hari"):
         ts = times.as_time(F.col(c.event_time), frame.schema[c.event_time].dataType, c.epoch_unit)
         if c.grain == "jam":        # 24 hours fit a bit set: no distinct needed
-            per = history.groupBy(PART).agg(F.bit_count(F.bit_or(F.shiftleft(F.lit(1).cast("bigint"), F.hour(ts)))).alias("p"))
+            per = history.groupBy(PART).agg(times.distinct_periods(F.hour(ts)).alias("p"))
         else:
             per = keys.distinct_count(history.withColumn("_day", F.to_date(ts)), [PART], "_day", "p")
         b.volume["periods"] = per.agg(F.max("p")).first()[0] or None

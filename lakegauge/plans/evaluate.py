@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakegauge.contract import Contract
-from lakegauge.functions import numbers, text
+from lakegauge.functions import numbers, text, times
 from lakegauge.operators import distribution, keys, membership, onepass, order_stats, reconcile, rules, schema
 from lakegauge.operators.prepare import PART, PART_DATE, expected_column, number_column, prepare
 from lakegauge.plans.baseline import QS, Baseline
@@ -152,8 +152,8 @@ class Compiler:
             return
         p.meta.pop(f"3.event_time.{ev}")
         part = F.col(PART_DATE)
-        start = rules.times.window_start(part, self.offset_hours)
-        end = rules.times.window_end(start, self.window_days)
+        start = times.window_start(part, self.offset_hours)
+        end = times.window_end(start, self.window_days)
         rid = p.rule(3, "in_window", ev, note="skipped where the partition has no date")
         self.row(rules.in_window(rid, ev, part, self.window_days, self.offset_hours))
         p.metrics["max_event"] = F.max(ev)
@@ -165,7 +165,7 @@ class Compiler:
         periods = self.b.volume.get("periods")
         if "_period" in self.types:
             if periods:
-                p.metrics["periods"] = F.bit_count(F.bit_or(F.shiftleft(F.lit(1).cast("bigint"), F.col("_period"))))
+                p.metrics["periods"] = times.distinct_periods(F.col("_period"))
                 p.verdict(p.rule(3, "all_periods", ev, WARNING, lo=periods, hi=periods),
                           F.coalesce(F.col("periods"), F.lit(0)) == periods, F.col("periods"))
             self.row(rules.off_grid(p.rule(3, "on_grid", ev, WARNING), ev, c.grain))

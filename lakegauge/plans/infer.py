@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakegauge.functions import numbers
+from lakegauge.functions import numbers, times
 from lakegauge.operators.prepare import PART, PART_DATE
 from lakegauge.operators.schema import logical_kind
 
@@ -107,7 +107,7 @@ def guess_times(columns: list[str], means: dict[str, float]) -> tuple[str | None
 def grain_stats(df: DataFrame, event: str) -> DataFrame:
     """Share of full hours and midnights, number of hours seen, and the grain they suggest."""
     t = F.col(event)
-    s = df.agg(F.bit_count(F.bit_or(F.shiftleft(F.lit(1).cast("bigint"), F.hour(t)))).alias("hours_seen"),
+    s = df.agg(times.distinct_periods(F.hour(t)).alias("hours_seen"),
                F.avg((F.minute(t) == 0).cast("int")).alias("full_hour_share"),
                F.avg((F.hour(t) == 0).cast("int")).alias("midnight_share"))
     return s.withColumn("grain", F.when((F.col("hours_seen") > 1) & (F.col("full_hour_share") > 0.9), "jam")

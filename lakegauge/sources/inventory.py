@@ -90,7 +90,7 @@ def first_n(parts: DataFrame, n: int = 10) -> DataFrame:
 
 
 def latest(parts: DataFrame) -> DataFrame:
-    newest = F.struct(F.coalesce("part_date", F.lit(dt.date(1, 1, 1))), F.col("label"))
+    newest = F.struct(F.coalesce("part_date", F.lit("0001-01-01").cast("date")), F.col("label"))
     cols = parts.columns
     return parts.agg(F.max_by(F.struct(*cols), newest).alias("p")).filter("p IS NOT NULL").select("p.*")
 
