@@ -13,7 +13,10 @@ _EPOCH_MICROS = {"detik": 1_000_000, "milidetik": 1_000, "mikrodetik": 1}
 def from_epoch(col: Column, unit: str) -> Column:
     """An epoch number as a time without zone."""
     n = col.cast("bigint")
-    micros = F.floor(n / F.lit(1000)).cast("bigint") if unit == "nanodetik" else n * F.lit(_EPOCH_MICROS[unit])
+    if unit == "nanodetik":     # whole-number division: a double would lose the last digits
+        micros = F.call_function("div", n - F.pmod(n, F.lit(1000)), F.lit(1000))
+    else:
+        micros = n * F.lit(_EPOCH_MICROS[unit])
     return F.timestamp_micros(micros).cast("timestamp_ntz")
 
 
