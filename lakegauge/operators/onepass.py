@@ -44,29 +44,54 @@ def grouped_checks(df: DataFrame, group: list[str], rules: Iterable[RowRule],
     return out
 
 
-def _one_pass(df: DataFrame, group: list[str], rules: list[RowRule]) -> DataFrame:
-    aggs: dict[str, Column] = {"_n": F.count(F.lit(1))}
-    tested_alias: dict[str, str] = {}
+def _one_pass(df: DataFrame, group: list[str], rules: list[RowRule], weight: str | None = None) -> DataFrame:
+    """One aggregation; with a weight every row stands for that many rows of its own column."""
+    def count(cond: Column) -> Column:
+        return F.sum(F.when(cond, F.col(weight)).otherwise(0)) if weight else F.count_if(cond)
+
+    aggs: dict[str, Column] = {} if weight else {"_n": F.count(F.lit(1))}
+    alias: dict[str, str] = {}
     for r in rules:
-        if r.tested_key not in tested_alias:
-            tested_alias[r.tested_key] = "_n"
+        if r.tested_key not in alias:
+            alias[r.tested_key] = "_n"
+            if weight:
+                aggs[f"_n_{len(alias)}"] = count(F.col("column") == r.columns[0])
             if r.skip != "never" and r.tested:
-                name = f"_t{len(tested_alias)}"
-                tested_alias[r.tested_key] = name
-                aggs[name] = F.count(r.tested[0]) if len(r.tested) == 1 else F.count_if(r.is_tested)
+                name = f"_t{len(alias)}"
+                aggs[name] = F.count(r.tested[0]) if len(r.tested) == 1 and not weight else count(r.is_tested)
+                alias[r.tested_key] = name
+    whole = {k: f"_n_{i}" if weight else "_n" for i, k in enumerate(alias, 1)}
     for i, r in enumerate(rules):
-        aggs[f"_b{i}"] = F.count_if(r.is_bad)
+        aggs[f"_b{i}"] = count(r.is_bad)
     wide = df.groupBy(*group).agg(*[v.alias(k) for k, v in aggs.items()])
     rows = []
     for i, r in enumerate(rules):
-        tested, bad = F.col(tested_alias[r.tested_key]), F.col(f"_b{i}")
-        good_share = F.try_divide(tested - bad, tested)
-        ok = (bad == 0) if r.mostly >= 1 else F.coalesce(good_share >= r.mostly, F.lit(True))
-        rows.append(F.struct(
-            F.lit(r.rule_id).alias("rule_id"), F.col("_n").alias("element_count"),
-            (F.col("_n") - tested).alias("missing_count"), bad.alias("unexpected_count"),
-            F.try_divide(bad * 100.0, tested).alias("unexpected_percent"), ok.alias("success")))
-    return wide.select(*group, F.inline(F.array(*rows)))
+        n, t, b = whole[r.tested_key], alias[r.tested_key], f"_b{i}"
+        ok = f"{b} = 0" if r.mostly >= 1 else f"coalesce(try_divide({t} - {b}, {t}) >= {r.mostly}D, true)"
+        rows.append(f"struct({i} AS _i, {n} AS element_count, {n} - {t} AS missing_count, {b} AS unexpected_count, "
+                    f"try_divide({b} * 100.0D, {t}) AS unexpected_percent, {ok} AS success)")
+    ids = F.array(*[F.lit(r.rule_id) for r in rules])
+    return wide.select(*group, F.expr(f"inline(array({', '.join(rows)}))")).select(
+        *group, F.element_at(ids, F.col("_i") + 1).alias("rule_id"), "element_count", "missing_count", "unexpected_count",
+        "unexpected_percent", "success")
+
+
+def grouped_value_checks(df: DataFrame, group: list[str], rules: Iterable[RowRule], slots: int = SLOTS_PER_PASS) -> DataFrame:
+    """The same counts for rules on single text columns with few values.
+
+    Rows are folded to (group, column, value, count) on the map side first, so each regular
+    expression runs once per distinct value and not once per row.
+    """
+    rules = list(rules)
+    out = None
+    for chunk in _chunks(rules, slots):
+        cols = list(dict.fromkeys(r.columns[0] for r in chunk))
+        pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("_v")) for c in cols])
+        counts = df.select(*group, F.inline(pairs)).groupBy(*group, "column", "_v").agg(F.count(F.lit(1)).alias("_cnt"))
+        own = counts.select(*group, "column", "_cnt", *[F.when(F.col("column") == c, F.col("_v")).alias(c) for c in cols])
+        part = _one_pass(own, group, chunk, "_cnt")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def grouped_metrics(df: DataFrame, group: list[str], metrics: dict[str, Column]) -> DataFrame:

@@ -8,7 +8,8 @@ Three narrow scans instead of one full shuffle of the column:
    true minimum and maximum;
 3. only rows of the slices that hold a rank are counted by value, and the value is read off.
 
-Every step is an aggregation with map-side combine, so a group with a third of all rows, or one
+An input the planner knows to be small is counted by value in one job instead; the result is the
+same. Every step is an aggregation with map-side combine, so a group with a third of all rows, or one
 value on a third of all rows, costs no more than any other. The result is exact for any data:
 the bucket functions only have to be monotone.
 """
@@ -20,9 +21,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakegauge.functions.numbers import log_bucket
-from lakegauge.session import materialise
+from lakegauge.session import estimated_bytes, materialise
 
 SLICES = 4096
+# inputs the planner knows to be below this are counted by value in one job instead of three scans
+ONE_JOB_BYTES = 128 << 20
 
 
 def same_group(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
@@ -77,9 +80,12 @@ def exact_ranks(values: DataFrame, group: list[str], ranks: dict[str, object]) -
     function from the group's value count to a zero-based rank. Output: group, column, name, value.
     """
     by = [*group, "column"]
+    wanted = F.array(*[F.struct(F.lit(name).alias("name"), fn(F.col("_n")).alias("k")) for name, fn in ranks.items()])
+    if estimated_bytes(values) <= ONE_JOB_BYTES:
+        counts = values.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("cnt"))
+        return _read_off(_locate(counts, by, "v", wanted), by)
     rows = values.select(*by, "v").withColumn("b1", log_bucket(F.col("v")))
     c1 = rows.groupBy(*by, "b1").agg(F.count(F.lit(1)).alias("cnt"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    wanted = F.array(*[F.struct(F.lit(name).alias("name"), fn(F.col("_n")).alias("k")) for name, fn in ranks.items()])
     t1 = materialise(_locate(c1, by, "b1", wanted).select(*by, "b1", "lo", "hi", F.col("_inside").alias("want")),
                      "ranks1")
 
@@ -96,7 +102,10 @@ def exact_ranks(values: DataFrame, group: list[str], ranks: dict[str, object]) -
     fine = same_group(sliced, t2.select(*by, "b1", "b2"), [*by, "b1", "b2"])
     c3 = fine.groupBy(*by, "b1", "b2", "v").agg(F.count(F.lit(1)).alias("cnt"))
     c3 = same_group(c3, t2.select(*by, "b1", "b2", "want"), [*by, "b1", "b2"])
-    found = _locate(c3, [*by, "b1", "b2"], "v", F.col("want"))
+    return _read_off(_locate(c3, [*by, "b1", "b2"], "v", F.col("want")), by)
+
+
+def _read_off(found: DataFrame, by: list[str]) -> DataFrame:
     return found.select(*by, F.explode("_inside").alias("_hit"), "v").select(
         *by, F.col("_hit")["name"].alias("name"), F.col("v").alias("value"))
 

@@ -20,7 +20,7 @@ from lakegauge.functions import numbers, times
 from lakegauge.operators import distribution, keys, membership, order_stats
 from lakegauge.operators.prepare import PART, PART_DATE
 from lakegauge.plans import patterns
-from lakegauge.session import materialise, small_table
+from lakegauge.session import materialise, small_table, together
 
 QS = (0.5, 0.75, 0.95, 0.99)                 # corridor quantiles
 GLOBAL_QS = (0.5, 0.75, 0.9, 0.95, 0.99)     # informational
@@ -206,84 +206,112 @@ def learn(frame: DataFrame, c: Contract, exclude: list[str] | None = None, corri
     t = c.thresholds
     reference = corridors == "reference"
 
-    vol = volume_corridor(part_rows, t["toleransi_volume"]).first().asDict()
-    if not vol["partitions"]:
-        raise ValueError(f"{c.name}: every partition is excluded, no baseline can be built")
-    b.volume = {**vol, "entities_min": None, "entities_max": None, "periods": None}
-    if c.business_key and c.business_key[0] in frame.columns:
-        e = keys.distinct_count(history, [PART], c.business_key[0]).agg(
-            F.min("distinct_count").alias("lo"), F.max("distinct_count").alias("hi")).first()
-        b.volume.update(entities_min=e["lo"], entities_max=e["hi"])
-    if c.event_time in frame.columns and c.grain in ("jam", "hari"):
+    nums = profiled_numbers(history, c)
+    texts = [n for n in c.text_columns if n in frame.columns]
+    refs = [n for n in c.reference_columns if n in frame.columns]
+    rel = [p for p in c.relations if p[0] in frame.columns and p[1] in frame.columns]
+    learned_texts = [n for n in texts if not c.column(n).patterns]
+    b.rejects = reject_rows(history, c)
+    b.partitions = part_rows.select(PART, PART_DATE, "rows")
+
+    def value_sets(build, by: str):
+        def run():
+            table = materialise(build(), by)
+            return table, {r[by]: r["n"] for r in table.groupBy(by).agg(F.count(F.lit(1)).alias("n")).collect()}
+        return run
+
+    def entities():
+        if not c.business_key or c.business_key[0] not in frame.columns:
+            return None, None
+        return tuple(keys.distinct_count(history, [PART], c.business_key[0]).agg(
+            F.min("distinct_count"), F.max("distinct_count")).first())
+
+    def periods():
+        if c.event_time not in frame.columns or c.grain not in ("jam", "hari"):
+            return None
         ts = times.as_time(F.col(c.event_time), frame.schema[c.event_time].dataType, c.epoch_unit)
-        if c.grain == "jam":        # 24 hours fit a bit set: no distinct needed
+        if c.grain == "jam":
             per = history.groupBy(PART).agg(times.distinct_periods(F.hour(ts)).alias("p"))
         else:
             per = keys.distinct_count(history.withColumn("_day", F.to_date(ts)), [PART], "_day", "p")
-        b.volume["periods"] = per.agg(F.max("p")).first()[0] or None
-
-    required = {k.name: k.required for k in c.columns}
-    for r in null_corridor(stats, t["margin_null"]).collect():
-        d = r.asDict()
-        b.missing[d.pop("column")] = {**d, "min_present": 1.0 if required.get(r["column"]) else d["min_present"]}
-
-    nums = profiled_numbers(history, c)
-    dist = {r["column"]: r.asDict() for r in numeric_corridor(stats).collect()}
-    nums = {k: v for k, v in nums.items() if k in dist}
-    if nums:
+        return per.agg(F.max("p")).first()[0] or None
+
+    def quantiles():
+        """Per partition and, with a null partition, over the whole history."""
+        long = order_stats.long_values(history, [PART], nums).withColumn(PART, F.explode(F.array(F.col(PART), F.lit(None))))
+        q = order_stats.quantiles(long, [PART], list(GLOBAL_QS), "lower")
+        part = F.col(PART).isNotNull()
+        return q.groupBy("column", "name").agg(
+            F.min(F.when(part, F.col("value"))).alias("lo"), F.max(F.when(part, F.col("value"))).alias("hi"),
+            F.max(F.when(~part, F.col("value"))).alias("whole")).collect()
+
+    def numeric():
+        d = {r["column"]: r.asDict() for r in numeric_corridor(stats).collect()}
         bins = {}
-        for name in nums:
-            bounds = c.column(name).bounds or (dist[name]["min"], dist[name]["max"])
+        for name in d:
+            bounds = c.column(name).bounds or (d[name]["min"], d[name]["max"])
             bins[name] = distribution.edges(float(bounds[0]), float(bounds[1]))
-        hist: dict[str, list[int]] = {n: [0] * (len(bins[n]) - 1) for n in nums}
-        for r in histogram(history, nums, bins).collect():
+        hist = {n: [0] * (len(bins[n]) - 1) for n in d}
+        for r in histogram(history, {n: nums[n] for n in d}, bins).collect():
             hist[r["column"]][r["bin"]] = r["rows"]
-        per = order_stats.quantiles(order_stats.long_values(history, [PART], nums), [PART], list(QS), "lower")
-        corr = per.groupBy("column", "name").agg(F.min("value").alias("lo"), F.max("value").alias("hi")).collect()
-        whole = order_stats.quantiles(order_stats.long_values(history, [], nums), [], list(GLOBAL_QS), "lower").collect()
-        for name in nums:
-            d, bounds = dist[name], c.column(name).bounds
-            total = sum(hist[name])
-            d["bins"] = bins[name]
-            d["weights"] = [h / total if total else 0.0 for h in hist[name]]
+        return d, bins, hist
+
+    jobs = {
+        "volume": lambda: volume_corridor(part_rows, t["toleransi_volume"]).first().asDict(),
+        "entities": entities, "periods": periods, "rejected": b.rejects.count,
+        "nulls": lambda: null_corridor(stats, t["margin_null"]).collect(),
+        "lengths": lambda: stats.filter(F.col("len_min").isNotNull()).groupBy("column").agg(
+            F.min("len_min").alias("lo"), F.max("len_max").alias("hi")).collect(),
+    }
+    if nums:
+        jobs |= {"quantiles": quantiles, "numeric": numeric}
+    if texts:
+        jobs["patterns"] = lambda: patterns.derive(history, learned_texts)
+        jobs["distinct"] = lambda: history.agg(*[F.approx_count_distinct(F.col(n)).alias(f"d{i}")
+                                                 for i, n in enumerate(texts)]).first()
+    if refs:
+        jobs["master"] = value_sets(lambda: membership.code_list(history, refs), "column")
+    if rel:
+        jobs["relations"] = value_sets(lambda: membership.relation_map(history, rel), "relation")
+    got = together(**jobs)
+
+    vol = got["volume"]
+    if not vol["partitions"]:
+        raise ValueError(f"{c.name}: every partition is excluded, no baseline can be built")
+    b.volume = {**vol, "entities_min": got["entities"][0], "entities_max": got["entities"][1], "periods": got["periods"]}
+    for r in got["nulls"]:
+        d = r.asDict()
+        k = c.column(d.pop("column"))
+        b.missing[k.name] = {**d, "min_present": 1.0 if k.required else d["min_present"]}
+    if nums:
+        dist, bins, hist = got["numeric"]
+        for name, d in dist.items():
+            bounds, total = c.column(name).bounds, sum(hist[name])
+            mine = sorted((r for r in got["quantiles"] if r["column"] == name), key=lambda r: float(r["name"]))
+            d.pop("column")
+            d["bins"], d["weights"] = bins[name], [h / total if total else 0.0 for h in hist[name]]
             d["mean_low"], d["mean_high"] = mean_bounds(d, bounds, t["margin_mean"], reference)
             d["sd_high"] = round(max(d["sd_max"] * t["margin_stdev"], 1e-6), 6)
-            d["quantiles"] = {r["name"]: r["value"] for r in whole if r["column"] == name}
-            d["quantile_range"] = {r["name"]: (r["lo"], r["hi"]) for r in corr if r["column"] == name}
+            d["quantiles"] = {r["name"]: r["whole"] for r in mine}
+            d["quantile_range"] = {r["name"]: (r["lo"], r["hi"]) for r in mine if float(r["name"]) in QS}
             d["quantile_corridor"] = {
                 q: quantile_bounds(lo, hi, bounds, t["margin_kuantil_bawah"], t["margin_kuantil_atas"], reference)
                 for q, (lo, hi) in d["quantile_range"].items()}
-            d.pop("column")
             b.distribution[name] = d
-
-    texts = [n for n in c.text_columns if n in frame.columns]
-    if texts:
-        lens = {r["column"]: r for r in stats.filter(F.col("len_min").isNotNull()).groupBy("column").agg(
-            F.min("len_min").alias("lo"), F.max("len_max").alias("hi")).collect()}
-        counts = history.agg(*[F.approx_count_distinct(F.col(n)).alias(f"d{i}") for i, n in enumerate(texts)]).first()
-        learned = patterns.derive(history, [n for n in texts if n in lens and not c.column(n).patterns])
-        for i, n in enumerate(texts):
-            if n in lens:
-                own = c.column(n).patterns
-                b.text[n] = {"patterns": own or learned[n], "declared": bool(own), "len_min": lens[n]["lo"],
-                             "len_max": lens[n]["hi"], "distinct_values": counts[i]}
-
-    refs = [n for n in c.reference_columns if n in frame.columns]
+    lens = {r["column"]: r for r in got["lengths"]}
+    for i, n in enumerate(texts):
+        if n in lens:
+            own = c.column(n).patterns
+            b.text[n] = {"patterns": own or got["patterns"][n], "declared": bool(own), "len_min": lens[n]["lo"],
+                         "len_max": lens[n]["hi"], "distinct_values": got["distinct"][i]}
     if refs:
-        b.master = materialise(membership.code_list(history, refs), "master")
-        b.master_sizes = {r["column"]: r["n"] for r in
-                          b.master.groupBy("column").agg(F.count("code").alias("n")).collect()}
-    rel = [p for p in c.relations if p[0] in frame.columns and p[1] in frame.columns]
+        b.master, b.master_sizes = got["master"]
     if rel:
-        b.relations = materialise(membership.relation_map(history, rel), "relations")
-        b.relation_sizes = {r["relation"]: r["n"] for r in
-                            b.relations.groupBy("relation").agg(F.count(F.lit(1)).alias("n")).collect()}
+        b.relations, b.relation_sizes = got["relations"]
         b.violations = membership.relation_violations(b.relations)
-    b.rejects = reject_rows(history, c)
-    b.partitions = part_rows.select(PART, PART_DATE, "rows")
     b.meta = {"dataset": c.name, "description": c.description, "partitions_used": vol["partitions"],
-              "partitions_excluded": left_out, "circular": not left_out,
-              "rejected_values": b.rejects.count(), "built_at": (now or dt.datetime.now(dt.timezone.utc)).isoformat()}
+              "partitions_excluded": left_out, "circular": not left_out, "rejected_values": got["rejected"],
+              "built_at": (now or dt.datetime.now(dt.timezone.utc)).isoformat()}
     return b
 
 

@@ -8,6 +8,7 @@ z-scores. Validating one partition is the same job behind a partition filter.
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from dataclasses import dataclass, field
 
@@ -25,6 +26,8 @@ from lakegauge.plans.catalog import BLOCKING, CATEGORIES, SKIPPED, WARNING
 from lakegauge.session import materialise, small_table
 
 GROUP = [PART, PART_DATE]
+# text columns whose history has at most this many values are tested once per value
+FEW_VALUES = 10_000
 _FIELDS = {"rule_id": "string", "success": "boolean", "element_count": "bigint", "missing_count": "bigint",
            "unexpected_count": "bigint", "unexpected_percent": "double", "observed_num": "double",
            "observed_text": "string", "error": "string"}
@@ -369,15 +372,22 @@ def _shape(df: DataFrame) -> DataFrame:
 
 
 def _rows(df: DataFrame, items: list[dict]) -> DataFrame:
-    """One output row per item and input row; item values are columns or plain values."""
-    structs = []
-    for it in items:
-        cols = []
-        for n, t in _FIELDS.items():
-            v = it.get(n)
-            cols.append((v if isinstance(v, Column) else F.lit(v)).cast(t).alias(n))
-        structs.append(F.struct(*cols))
-    return df.select(*GROUP, F.inline(F.array(*structs)))
+    """One output row per item and input row. Fields that differ per row are columns, the rest one JSON literal."""
+    varying = {(i, n): v for i, it in enumerate(items) for n, v in it.items() if isinstance(v, Column)}
+    fixed = json.dumps([{n: v for n, v in it.items() if not isinstance(v, Column)} for it in items], default=str)
+    schema = ", ".join(f"{n} {t}" for n, t in _FIELDS.items())
+    base = F.from_json(F.lit(fixed), f"array<struct<{schema.replace(' ', ':').replace(',:', ',')}>>")
+    if not varying:
+        return df.select(*GROUP, F.inline(base)).select(*GROUP, *_FIELDS)
+    cols = [v.cast(_FIELDS[n]).alias(f"_{n}_{i}") for (i, n), v in varying.items()]
+    names = sorted({n for _, n in varying})
+    structs = ", ".join("struct(" + ", ".join(
+        (f"_{n}_{i}" if (i, n) in varying else f"CAST(NULL AS {_FIELDS[n]})") + f" AS _v_{n}" for n in names) + ")"
+        for i in range(len(items)))
+    out = df.select(*GROUP, *cols).select(*GROUP, F.expr(f"posexplode(array({structs})) AS (_i, _v)"))
+    out = out.withColumn("_f", F.element_at(base, F.col("_i") + 1))
+    return out.select(*GROUP, *[(F.coalesce(F.col(f"_v._v_{n}"), F.col(f"_f.{n}")) if n in names else F.col(f"_f.{n}")).alias(n)
+                                for n in _FIELDS])
 
 
 def _named(df: DataFrame, by: str, ids: dict[str, str]) -> DataFrame:
@@ -460,8 +470,15 @@ def evaluate(frame: DataFrame, c: Contract, base: Baseline, *, now: dt.datetime,
     m = materialise(m, "metrics")
 
     out = [_rows(m, p.verdicts), _rows(m, p.constants)]
-    if p.row_rules:
-        checks = onepass.grouped_checks(work, GROUP, p.row_rules)
+    few = {n for n, t in base.text.items() if t["distinct_values"] <= FEW_VALUES and n in compiler.types
+           and isinstance(compiler.types[n], T.StringType)}
+    by_value = [r for r in p.row_rules if len(r.columns) == 1 and r.columns[0] in few and r.skip == "any"]
+    ids = {r.rule_id for r in by_value}
+    by_row = [r for r in p.row_rules if r.rule_id not in ids]
+    if by_value:
+        out.append(_shape(onepass.grouped_value_checks(work, GROUP, by_value)))
+    if by_row:
+        checks = onepass.grouped_checks(work, GROUP, by_row)
         undated = [r for r, k in p.meta.items() if k["rule_kind"] == "in_window"]
         ok = F.when(F.col("rule_id").isin(*undated) & F.col(PART_DATE).isNull(), F.lit(None)).otherwise(F.col("success"))
         out.append(_shape(checks.withColumn("success", ok)))

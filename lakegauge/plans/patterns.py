@@ -6,52 +6,69 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakegauge.functions import text
+from lakegauge.session import materialise
 
 # The sketch below is exact to within one or two at this size, so the cut never drops a column with few shapes.
 _SHAPES_WORTH_COUNTING = 64
+_VALUES_WORTH_FOLDING = 1_000_000
 
 
-def _long(df: DataFrame, columns: list[str]) -> DataFrame:
+def long_text(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value) of all non-empty text."""
     items = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
     return df.select(F.inline(items)).filter(F.length("value") > 0)
 
 
-def column_shapes(df: DataFrame, columns: list[str]) -> DataFrame:
+def text_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Text to learn from: columns with few values as their distinct values, stored; the others row by row.
+
+    The estimate only decides how a column is read; either way every value is seen.
+    """
+    row = df.agg(*[F.approx_count_distinct(F.col(c)).alias(f"d{i}") for i, c in enumerate(columns)]).first()
+    few = [c for i, c in enumerate(columns) if row[i] <= _VALUES_WORTH_FOLDING]
+    many = [c for c in columns if c not in few]
+    out = long_text(df, many) if many else None
+    if few:
+        folded = materialise(long_text(df, few).distinct(), "text_values")
+        out = folded if out is None else folded.unionByName(out)
+    return out
+
+
+def column_shapes(values: DataFrame) -> DataFrame:
     """Rows per value shape and column."""
-    v = _long(df, columns).withColumn("shape", text.shape(F.col("value")))
+    v = values.withColumn("shape", text.shape(F.col("value")))
     return v.groupBy("column", "shape").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def shape_positions(df: DataFrame, columns: list[str]) -> DataFrame:
+def shape_positions(values: DataFrame) -> DataFrame:
     """Shortest and longest run at each position of each shape. Min and max fold on the map side."""
-    v = _long(df, columns).withColumn("shape", text.shape(F.col("value")))
+    v = values.withColumn("shape", text.shape(F.col("value")))
     return (v.select("column", "shape", F.posexplode(text.segment_lengths(F.col("value"))).alias("pos", "len"))
             .groupBy("column", "shape", "pos").agg(F.min("len").alias("lo"), F.max("len").alias("hi")))
 
 
-def text_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Per column: rows with text, length range, character classes, estimated number of shapes and of values."""
-    v = _long(df, columns)
-    return v.groupBy("column").agg(
-        F.count(F.lit(1)).alias("rows"), F.min(F.length("value")).alias("len_min"),
-        F.max(F.length("value")).alias("len_max"), F.max(v.value.rlike(r"\p{Lu}")).alias("upper"),
-        F.max(v.value.rlike(r"\p{Ll}")).alias("lower"), F.max(v.value.rlike(r"\p{Nd}")).alias("digit"),
-        F.approx_count_distinct(text.shape(F.col("value"))).alias("shapes"),
-        F.approx_count_distinct("value").alias("distinct_values"))
+def text_profile(values: DataFrame) -> DataFrame:
+    """Per column: length range, character classes, estimated number of shapes."""
+    v = F.col("value")
+    return values.groupBy("column").agg(
+        F.min(F.length(v)).alias("len_min"), F.max(F.length(v)).alias("len_max"),
+        F.max(v.rlike(r"\p{Lu}")).alias("upper"), F.max(v.rlike(r"\p{Ll}")).alias("lower"),
+        F.max(v.rlike(r"\p{Nd}")).alias("digit"), F.approx_count_distinct(text.shape(v)).alias("shapes"))
 
 
-def other_characters(df: DataFrame, columns: list[str]) -> DataFrame:
+def other_characters(values: DataFrame) -> DataFrame:
     """Distinct characters beyond ASCII letters and digits, per column."""
     chars = F.array_distinct(F.regexp_extract_all(F.col("value"), F.lit(r"(?s)([^A-Za-z0-9])"), F.lit(1)))
-    return _long(df, columns).select("column", F.explode(chars).alias("ch")).distinct()
+    return values.select("column", F.explode(chars).alias("ch")).distinct()
 
 
-def unmatched(df: DataFrame, patterns: dict[str, list[str]]) -> dict[str, int]:
-    """Non-empty values per column that none of its patterns finds."""
-    cols = list(patterns)
-    row = df.agg(*[F.count_if((F.length(c) > 0) & ~text.finds_any(F.col(c), patterns[c])).alias(f"u{i}")
-                   for i, c in enumerate(cols)]).first()
-    return {c: row[i] for i, c in enumerate(cols)}
+def unmatched(values: DataFrame, patterns: dict[str, list[str]]) -> dict[str, int]:
+    """Values per column that none of its patterns finds."""
+    v, miss = F.col("value"), F.lit(False)
+    for c, p in patterns.items():
+        miss = F.when(F.col("column") == c, ~text.finds_any(v, p)).otherwise(miss)
+    rows = values.filter(F.col("column").isin(*patterns)).groupBy("column").agg(F.count_if(miss).alias("n")).collect()
+    return {**dict.fromkeys(patterns, 0), **{r["column"]: r["n"] for r in rows}}
 
 
 def derive(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
@@ -62,25 +79,27 @@ def derive(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     """
     if not columns:
         return {}
-    info = {r["column"]: r for r in text_profile(df, columns).collect()}
+    values = text_values(df, columns)
+    info = {r["column"]: r for r in text_profile(values).collect()}
     out = {c: ["^.*$"] for c in columns if c not in info}
     few = [c for c in info if info[c]["shapes"] <= _SHAPES_WORTH_COUNTING]
     found: dict[str, dict[str, list]] = {}
     if few:
-        for r in shape_positions(df, few).collect():
+        for r in shape_positions(values.filter(F.col("column").isin(*few))).collect():
             found.setdefault(r["column"], {}).setdefault(r["shape"], []).append((r["pos"], r["lo"], r["hi"]))
     tried = {}
     for c, shapes in found.items():
         if len(shapes) <= text.MAX_SHAPES:
             tried[c] = sorted({text.assemble_pattern(s, [lo for _, lo, _ in sorted(p)], [hi for *_, hi in sorted(p)])
                                for s, p in shapes.items()})
-    misses = unmatched(df, tried) if tried else {}
+    misses = unmatched(values, tried) if tried else {}
     out.update({c: p for c, p in tried.items() if misses[c] == 0})
 
     wide = [c for c in info if c not in out]
     if wide:
+        rest = values.filter(F.col("column").isin(*wide))
         chars: dict[str, list[str]] = {c: [] for c in wide}
-        for r in other_characters(df, wide).collect():
+        for r in other_characters(rest).collect():
             chars[r["column"]].append(r["ch"])
 
         def general(c: str, letters: bool) -> list[str]:
@@ -88,7 +107,7 @@ def derive(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
             extra = [ch for ch in chars[c] if letters or not ch.isalnum()]
             return [text.general_pattern(i["upper"], i["lower"], i["digit"], extra, i["len_min"], i["len_max"])]
         plain = {c: general(c, False) for c in wide}
-        left = unmatched(df, plain)
+        left = unmatched(rest, plain)
         # letters outside ASCII that the class form cannot express are listed one by one
         out.update({c: p if left[c] == 0 else general(c, True) for c, p in plain.items()})
     return out

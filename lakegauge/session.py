@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +26,7 @@ def build_session(app: str = "lakegauge", master: str | None = None, **conf) ->
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.enabled": "false",
     }
     base.update(conf)
@@ -73,3 +76,15 @@ def small_table(spark: SparkSession, rows: list[dict], schema: pa.Schema) -> Dat
     """A driver-made table (rules, layers, file names); through Arrow it becomes a local relation of known size."""
     cols = [pa.array([r.get(f.name) for r in rows], type=f.type) for f in schema]
     return spark.createDataFrame(pa.Table.from_arrays(cols, schema=schema))
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """The planner's size estimate of a frame (an upper bound for scans, projections and filters)."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def together(**actions: Callable) -> dict:
+    """Run independent actions as concurrent Spark jobs, so that the tail of one overlaps with the others."""
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        running = {k: pool.submit(f) for k, f in actions.items()}
+        return {k: f.result() for k, f in running.items()}

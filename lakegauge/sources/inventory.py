@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakegauge.contract import Contract, unresolved_variables
 from lakegauge.functions import times
+from lakegauge.session import small_table
 
 
 class SourceError(Exception):
@@ -32,18 +35,21 @@ def plain_path(col: Column) -> Column:
     return F.regexp_replace(col, r"^file:/+", "/")
 
 
+_PATHS = pa.schema([("path", pa.string())])
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, length) of every parquet file under a prefix or glob, empty files included.
 
     Spark lists in parallel and the sizes come from a scan that reads no content. That scan
-    leaves out 0-byte files, so they are added from the index's own file names, in the JVM.
+    leaves out 0-byte files, so they are added from the index's own file names.
     """
     scan = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
             .option("recursiveFileLookup", "true").load(path))
-    jvm = spark._jvm
-    names = jvm.java.util.Arrays.asList(scan._jdf.inputFiles())
-    every = DataFrame(spark._jsparkSession.createDataset(names, jvm.org.apache.spark.sql.Encoders.STRING()), spark)
-    every = every.select(plain_path(F.col("value")).alias("path"))
+    # one call for all names; they are URIs there and plain paths in the scan
+    joined = spark._jvm.org.apache.hadoop.util.StringUtils.join("\n", scan._jdf.inputFiles())
+    rows = [{"path": unquote(n)} for n in joined.split("\n") if n]
+    every = small_table(spark, rows, _PATHS).select(plain_path(F.col("path")).alias("path"))
     sizes = scan.select(plain_path(F.col("path")).alias("path"), "length")
     return every.join(sizes, "path", "left").select("path", F.coalesce("length", F.lit(0)).alias("length"))
 

@@ -150,7 +150,7 @@ SELECT "column", regexp_replace(regexp_replace(regexp_replace(v, '[a-z]+', '<l>'
 def text_shapes(spark, sf):
     out = None
     for t, c in (("customer", "c_name"), ("supplier", "s_name"), ("part", "p_brand"), ("part", "p_name"), ("orders", "o_orderpriority")):
-        s = patterns.column_shapes(table(spark, sf, t), [c])
+        s = patterns.column_shapes(patterns.long_text(table(spark, sf, t), [c]))
         out = s if out is None else out.unionByName(s)
     return out.select("column", text.readable_shape(F.col("shape")).alias("shape"), "rows")
 
@@ -161,15 +161,15 @@ WITH s AS (SELECT 'p_brand' AS "column", 1 AS pos, length(regexp_extract(p_brand
   UNION ALL SELECT 'p_brand', 3, 1 FROM part UNION ALL SELECT 'p_brand', 4, length(regexp_extract(p_brand, '([0-9]+)', 1)) FROM part)
 SELECT "column", CAST(pos - 1 AS INTEGER) AS pos, CAST(min(n) AS INTEGER) AS lo, CAST(max(n) AS INTEGER) AS hi FROM s GROUP BY 1, 2""")
 def text_shape_lengths(spark, sf):
-    return patterns.shape_positions(table(spark, sf, "part"), ["p_brand"]).drop("shape")
+    return patterns.shape_positions(patterns.long_text(table(spark, sf, "part"), ["p_brand"])).drop("shape")
 
 
 @query("text_characters", r"""
 WITH v AS (SELECT 'url' AS "column", url AS v FROM pages UNION ALL SELECT 'text', text FROM documents)
 SELECT DISTINCT "column", ch FROM (SELECT "column", unnest(regexp_extract_all(v, '(?s)[^A-Za-z0-9]')) AS ch FROM v) x""")
 def text_characters(spark, sf):
-    return patterns.other_characters(table(spark, sf, "pages"), ["url"]).unionByName(
-        patterns.other_characters(table(spark, sf, "documents"), ["text"]))
+    return patterns.other_characters(patterns.long_text(table(spark, sf, "pages"), ["url"]).unionByName(
+        patterns.long_text(table(spark, sf, "documents"), ["text"])))
 
 
 @query("text_patterns_hold", """
