@@ -206,6 +206,9 @@ def learn(frame: DataFrame, c: Contract, exclude: list[str] | None = None, corri
     t = c.thresholds
     reference = corridors == "reference"
 
+    vol = volume_corridor(part_rows, t["toleransi_volume"]).first().asDict()
+    if not vol["partitions"]:
+        raise ValueError(f"{c.name}: every partition is excluded, no baseline can be built")
     nums = profiled_numbers(history, c)
     texts = [n for n in c.text_columns if n in frame.columns]
     refs = [n for n in c.reference_columns if n in frame.columns]
@@ -247,6 +250,8 @@ def learn(frame: DataFrame, c: Contract, exclude: list[str] | None = None, corri
 
     def numeric():
         d = {r["column"]: r.asDict() for r in numeric_corridor(stats).collect()}
+        if not d:
+            return {}, {}, {}
         bins = {}
         for name in d:
             bounds = c.column(name).bounds or (d[name]["min"], d[name]["max"])
@@ -257,7 +262,6 @@ def learn(frame: DataFrame, c: Contract, exclude: list[str] | None = None, corri
         return d, bins, hist
 
     jobs = {
-        "volume": lambda: volume_corridor(part_rows, t["toleransi_volume"]).first().asDict(),
         "entities": entities, "periods": periods, "rejected": b.rejects.count,
         "nulls": lambda: null_corridor(stats, t["margin_null"]).collect(),
         "lengths": lambda: stats.filter(F.col("len_min").isNotNull()).groupBy("column").agg(
@@ -275,9 +279,6 @@ def learn(frame: DataFrame, c: Contract, exclude: list[str] | None = None, corri
         jobs["relations"] = value_sets(lambda: membership.relation_map(history, rel), "relation")
     got = together(**jobs)
 
-    vol = got["volume"]
-    if not vol["partitions"]:
-        raise ValueError(f"{c.name}: every partition is excluded, no baseline can be built")
     b.volume = {**vol, "entities_min": got["entities"][0], "entities_max": got["entities"][1], "periods": got["periods"]}
     for r in got["nulls"]:
         d = r.asDict()

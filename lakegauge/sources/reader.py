@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -53,11 +54,18 @@ def unreadable_parts(files: DataFrame, probed: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("bad_files"), F.min("error").alias("error"))
 
 
-def read_files(spark: SparkSession, paths: list[str], prefix: str | None = None) -> DataFrame:
-    """Rows of files with one schema, marked with their partition."""
+def read_files(spark: SparkSession, paths: list[str], nanos: list[str] | None = None) -> DataFrame:
+    """Rows of files with one schema, marked with their partition.
+
+    Columns stored in nanoseconds come out of the scan as numbers and become times here.
+    """
+    if nanos:
+        spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     df = spark.read.option("recursiveFileLookup", "true").parquet(*paths)
     path = plain_path(F.col("_metadata.file_path"))
     d = times.date_from_path(path)
+    if nanos:
+        df = df.withColumns({n: times.from_epoch(F.col(n), "nanodetik") for n in nanos})
     return df.withColumn(PART_DATE, d).withColumn(PART, F.coalesce(d.cast("string"), path))
 
 
@@ -90,4 +98,8 @@ def read_partitions(spark: SparkSession, files: DataFrame, probed: DataFrame) ->
     groups = good.groupBy(key.alias("schema")).agg(F.collect_list("path").alias("paths")).collect()
     if not groups:
         raise SourceError("no readable partition")
-    return align([read_files(spark, sorted(g["paths"])) for g in sorted(groups, key=lambda g: g["schema"])])
+    frames = []
+    for g in sorted(groups, key=lambda g: g["schema"]):
+        nanos = [c["name"] for c in json.loads(g["schema"]) if c["type"].startswith("timestamp[ns")]
+        frames.append(read_files(spark, sorted(g["paths"]), nanos))
+    return align(frames)
