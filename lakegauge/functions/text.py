@@ -22,6 +22,7 @@ MAX_SHAPES = 12
 MERGE_RUNS = 4
 
 _ALNUM = r"\p{Lu}\p{Ll}\p{Nd}"
+ALNUM_RUN = rf"[{_ALNUM}]+"
 _RUN = r"(?:\p{Lu}++|\p{Ll}++|\p{Nd}++)"
 _CHUNK = rf"(?<![{_ALNUM}]){_RUN}{{{MERGE_RUNS},}}"
 _SEGMENT = rf"({_CHUNK}|\p{{Lu}}+|\p{{Ll}}+|\p{{Nd}}+|[^{_ALNUM}])"

@@ -105,10 +105,13 @@ def samples(df: DataFrame, group: list[str], rules: Iterable[RowRule], k: int =
     ``row_number() <= k`` is pushed below the shuffle as a partial group limit, so a rule that
     fails on a third of the table still sends only k rows per task.
     """
-    tests = F.array(*[F.struct(F.lit(r.rule_id).alias("rule_id"), r.is_bad.alias("bad"),
-                               r.value.alias("value")) for r in rules])
-    bad = (df.select(*group, F.inline(F.filter(tests, lambda t: t.bad)))
-           .select(*group, "rule_id", "value"))
+    rules = list(rules)
+    any_bad = rules[0].is_bad
+    for r in rules[1:]:
+        any_bad = any_bad | r.is_bad
+    tests = F.array(*[F.struct(F.lit(r.rule_id).alias("rule_id"), r.is_bad.alias("_bad"), r.value.alias("value"))
+                      for r in rules])
+    bad = df.filter(any_bad).select(*group, F.inline(tests)).filter("_bad").drop("_bad")
     rank = F.row_number().over(Window.partitionBy(*group, "rule_id").orderBy(F.col("value").asc_nulls_last()))
     top = bad.withColumn("_rank", rank).filter(F.col("_rank") <= k)
     return top.groupBy(*group, "rule_id").agg(

@@ -19,13 +19,27 @@ def long_text(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(F.inline(items)).filter(F.length("value") > 0)
 
 
-def text_values(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Text to learn from: columns with few values as their distinct values, stored; the others row by row.
+def _estimates(df: DataFrame, columns: list[str]) -> dict[str, tuple[int, int, int]]:
+    """Per column: rows, and estimated numbers of values and of symbol skeletons.
+
+    The skeleton is the value without letters and digits. Values of one shape share it, so many
+    skeletons prove many shapes without computing the shapes.
+    """
+    aggs = []
+    for i, c in enumerate(columns):
+        col = F.col(c).cast("string")
+        aggs += [F.count(col).alias(f"n{i}"), F.approx_count_distinct(col).alias(f"d{i}"),
+                 F.approx_count_distinct(F.regexp_replace(col, text.ALNUM_RUN, "")).alias(f"s{i}")]
+    row = df.agg(*aggs).first()
+    return {c: (row[f"n{i}"], row[f"d{i}"], row[f"s{i}"]) for i, c in enumerate(columns)}
+
+
+def text_values(df: DataFrame, columns: list[str], known: dict[str, tuple[int, int, int]]) -> DataFrame:
+    """Text to learn from: columns of repeating values as their distinct values, stored; the others row by row.
 
     The estimate only decides how a column is read; either way every value is seen.
     """
-    row = df.agg(*[F.approx_count_distinct(F.col(c)).alias(f"d{i}") for i, c in enumerate(columns)]).first()
-    few = [c for i, c in enumerate(columns) if row[i] <= _VALUES_WORTH_FOLDING]
+    few = [c for c in columns if known[c][1] <= _VALUES_WORTH_FOLDING and known[c][1] * 4 <= known[c][0]]
     many = [c for c in columns if c not in few]
     out = long_text(df, many) if many else None
     if few:
@@ -47,19 +61,20 @@ def shape_positions(values: DataFrame) -> DataFrame:
             .groupBy("column", "shape", "pos").agg(F.min("len").alias("lo"), F.max("len").alias("hi")))
 
 
-def text_profile(values: DataFrame) -> DataFrame:
-    """Per column: length range, character classes, estimated number of shapes."""
+def text_profile(values: DataFrame, shaped: list[str]) -> DataFrame:
+    """Per column: length range, character classes, and for the given columns the estimated number of shapes."""
     v = F.col("value")
+    shape = F.when(F.col("column").isin(*shaped), text.shape(v)) if shaped else F.lit(None).cast("string")
     return values.groupBy("column").agg(
         F.min(F.length(v)).alias("len_min"), F.max(F.length(v)).alias("len_max"),
         F.max(v.rlike(r"\p{Lu}")).alias("upper"), F.max(v.rlike(r"\p{Ll}")).alias("lower"),
-        F.max(v.rlike(r"\p{Nd}")).alias("digit"), F.approx_count_distinct(text.shape(v)).alias("shapes"))
+        F.max(v.rlike(r"\p{Nd}")).alias("digit"), F.approx_count_distinct(shape).alias("shapes"))
 
 
 def other_characters(values: DataFrame) -> DataFrame:
     """Distinct characters beyond ASCII letters and digits, per column."""
-    chars = F.array_distinct(F.regexp_extract_all(F.col("value"), F.lit(r"(?s)([^A-Za-z0-9])"), F.lit(1)))
-    return values.select("column", F.explode(chars).alias("ch")).distinct()
+    rest = F.regexp_replace("value", "[A-Za-z0-9]+", "")
+    return values.select("column", F.explode(F.array_distinct(F.split(rest, ""))).alias("ch")).filter("ch <> ''").distinct()
 
 
 def unmatched(values: DataFrame, patterns: dict[str, list[str]]) -> dict[str, int]:
@@ -79,10 +94,12 @@ def derive(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     """
     if not columns:
         return {}
-    values = text_values(df, columns)
-    info = {r["column"]: r for r in text_profile(values).collect()}
+    known = _estimates(df, columns)
+    values = text_values(df, columns, known)
+    shaped = [c for c in columns if known[c][2] <= _SHAPES_WORTH_COUNTING]
+    info = {r["column"]: r for r in text_profile(values, shaped).collect()}
     out = {c: ["^.*$"] for c in columns if c not in info}
-    few = [c for c in info if info[c]["shapes"] <= _SHAPES_WORTH_COUNTING]
+    few = [c for c in info if c in shaped and info[c]["shapes"] <= _SHAPES_WORTH_COUNTING]
     found: dict[str, dict[str, list]] = {}
     if few:
         for r in shape_positions(values.filter(F.col("column").isin(*few))).collect():
