@@ -5,11 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def value_counts(df: DataFrame, group: list[str], columns: list[str]) -> DataFrame:
-    """(group, column, code, count) for several code columns in one scan; codes as text."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("code")) for c in columns])
-    return df.select(*group, F.inline(pairs)).groupBy(*group, "column", "code").agg(F.count(F.lit(1)).alias("_cnt"))
+from lakegauge.operators.onepass import value_counts
 
 
 def pair_counts(df: DataFrame, group: list[str], pairs: list[tuple[str, str]]) -> DataFrame:

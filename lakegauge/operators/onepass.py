@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,8 +44,11 @@ def grouped_checks(df: DataFrame, group: list[str], rules: Iterable[RowRule],
     return out
 
 
-def _one_pass(df: DataFrame, group: list[str], rules: list[RowRule], weight: str | None = None) -> DataFrame:
-    """One aggregation; with a weight every row stands for that many rows of its own column."""
+def rule_counts(rules: list[RowRule], weight: str | None = None) -> tuple[dict[str, Column], Callable[[DataFrame], DataFrame]]:
+    """The aggregates that count a set of rules, and the step that turns one wide row per group into a row per rule.
+
+    With a weight every input row stands for that many rows of its own column.
+    """
     def count(cond: Column) -> Column:
         return F.sum(F.when(cond, F.col(weight)).otherwise(0)) if weight else F.count_if(cond)
 
@@ -63,37 +66,50 @@ def _one_pass(df: DataFrame, group: list[str], rules: list[RowRule], weight: str
     whole = {k: f"_n_{i}" if weight else "_n" for i, k in enumerate(alias, 1)}
     for i, r in enumerate(rules):
         aggs[f"_b{i}"] = count(r.is_bad)
-    wide = df.groupBy(*group).agg(*[v.alias(k) for k, v in aggs.items()])
-    rows = []
-    for i, r in enumerate(rules):
-        n, t, b = whole[r.tested_key], alias[r.tested_key], f"_b{i}"
-        ok = f"{b} = 0" if r.mostly >= 1 else f"coalesce(try_divide({t} - {b}, {t}) >= {r.mostly}D, true)"
-        rows.append(f"struct({i} AS _i, {n} AS element_count, {n} - {t} AS missing_count, {b} AS unexpected_count, "
-                    f"try_divide({b} * 100.0D, {t}) AS unexpected_percent, {ok} AS success)")
-    ids = F.array(*[F.lit(r.rule_id) for r in rules])
-    return wide.select(*group, F.expr(f"inline(array({', '.join(rows)}))")).select(
-        *group, F.element_at(ids, F.col("_i") + 1).alias("rule_id"), "element_count", "missing_count", "unexpected_count",
-        "unexpected_percent", "success")
 
+    def unpivot(wide: DataFrame) -> DataFrame:
+        rows = []
+        for i, r in enumerate(rules):
+            n, t, b = whole[r.tested_key], alias[r.tested_key], f"_b{i}"
+            ok = f"{b} = 0" if r.mostly >= 1 else f"coalesce(try_divide({t} - {b}, {t}) >= {r.mostly}D, true)"
+            rows.append(f"struct({i} AS _i, {n} AS element_count, {n} - {t} AS missing_count, {b} AS unexpected_count, "
+                        f"try_divide({b} * 100.0D, {t}) AS unexpected_percent, {ok} AS success)")
+        ids = F.array(*[F.lit(r.rule_id) for r in rules])
+        keep = [c for c in wide.columns if c not in aggs]
+        return wide.select(*keep, F.expr(f"inline(array({', '.join(rows)}))")).withColumn(
+            "rule_id", F.element_at(ids, F.col("_i") + 1)).drop("_i")
+    return aggs, unpivot
 
-def grouped_value_checks(df: DataFrame, group: list[str], rules: Iterable[RowRule], slots: int = SLOTS_PER_PASS) -> DataFrame:
-    """The same counts for rules on single text columns with few values.
 
-    Rows are folded to (group, column, value, count) on the map side first, so each regular
-    expression runs once per distinct value and not once per row.
-    """
-    rules = list(rules)
+def _one_pass(df: DataFrame, group: list[str], rules: list[RowRule], weight: str | None = None) -> DataFrame:
+    aggs, unpivot = rule_counts(rules, weight)
+    out = unpivot(df.groupBy(*group).agg(*[v.alias(k) for k, v in aggs.items()]))
+    return out.select(*group, "rule_id", "element_count", "missing_count", "unexpected_count", "unexpected_percent", "success")
+
+
+def value_counts(df: DataFrame, group: list[str], columns: list[str]) -> DataFrame:
+    """(group, column, value, count) of text columns; folded on the map side."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("code")) for c in columns])
+    return df.select(*group, F.inline(pairs)).groupBy(*group, "column", "code").agg(F.count(F.lit(1)).alias("_cnt"))
+
+
+def checks_on_values(counts: DataFrame, group: list[str], rules: Iterable[RowRule], slots: int = SLOTS_PER_PASS) -> DataFrame:
+    """Rules on single text columns, evaluated on value counts: a regular expression runs once per distinct value."""
     out = None
-    for chunk in _chunks(rules, slots):
+    for chunk in _chunks(list(rules), slots):
         cols = list(dict.fromkeys(r.columns[0] for r in chunk))
-        pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("_v")) for c in cols])
-        counts = df.select(*group, F.inline(pairs)).groupBy(*group, "column", "_v").agg(F.count(F.lit(1)).alias("_cnt"))
-        own = counts.select(*group, "column", "_cnt", *[F.when(F.col("column") == c, F.col("_v")).alias(c) for c in cols])
+        own = counts.select(*group, "column", "_cnt", *[F.when(F.col("column") == c, F.col("code")).alias(c) for c in cols])
         part = _one_pass(own, group, chunk, "_cnt")
         out = part if out is None else out.unionByName(part)
     return out
 
 
+def grouped_value_checks(df: DataFrame, group: list[str], rules: Iterable[RowRule], slots: int = SLOTS_PER_PASS) -> DataFrame:
+    """The counts of ``grouped_checks`` for text columns with few values, by way of value counts."""
+    rules = list(rules)
+    return checks_on_values(value_counts(df, group, sorted({r.columns[0] for r in rules})), group, rules, slots)
+
+
 def grouped_metrics(df: DataFrame, group: list[str], metrics: dict[str, Column]) -> DataFrame:
     """Scalar aggregates per group, one column each."""
     return df.groupBy(*group).agg(*[c.alias(k) for k, c in metrics.items()])

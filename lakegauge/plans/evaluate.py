@@ -43,6 +43,7 @@ class Plan:
     meta: dict[str, dict] = field(default_factory=dict)
     row_rules: list[rules.RowRule] = field(default_factory=list)
     metrics: dict[str, Column] = field(default_factory=dict)
+    metric_of: dict[str, str] = field(default_factory=dict)     # metric or rule count -> column it reads
     verdicts: list[dict] = field(default_factory=list)          # over the metrics table
     constants: list[dict] = field(default_factory=list)         # same answer for every partition
     unique: dict[str, list[str]] = field(default_factory=dict)
@@ -69,6 +70,19 @@ class Plan:
     def skip(self, dim: int, kind: str, reason: str, column: str | None = None) -> None:
         self.constants.append({"rule_id": self.rule(dim, kind, column, SKIPPED, note=reason), "success": None})
 
+    def measure(self, column: str, **metrics: Column) -> None:
+        self.metrics.update(metrics)
+        self.metric_of.update(dict.fromkeys(metrics, column))
+
+    @staticmethod
+    def rule_column(row_rules: list[rules.RowRule], name: str) -> str:
+        """Column behind a shared count of tested rows, named by the order of first use."""
+        keys_seen = list(dict.fromkeys(r.tested_key for r in row_rules))
+        if not name.startswith("_t"):
+            return ""
+        key = keys_seen[int(name[2:]) - 1]
+        return next(r.columns[0] for r in row_rules if r.tested_key == key)
+
     def answer(self, rid: str, success: bool, observed: str | None = None, error: str | None = None) -> None:
         self.constants.append({"rule_id": rid, "success": success, "observed_text": observed, "error": error})
 
@@ -159,7 +173,7 @@ class Compiler:
         end = times.window_end(start, self.window_days)
         rid = p.rule(3, "in_window", ev, note="skipped where the partition has no date")
         self.row(rules.in_window(rid, ev, part, self.window_days, self.offset_hours))
-        p.metrics["max_event"] = F.max(ev)
+        p.measure(ev, max_event=F.max(ev))
         rid = p.rule(3, "reaches_end", ev, WARNING, note="skipped where the partition has no date")
         reach = start + F.expr(f"INTERVAL {self.window_days} DAYS") - F.expr("INTERVAL 4 HOURS")
         p.verdict(rid, F.when(part.isNotNull(), F.coalesce(F.col("max_event").between(reach, end), F.lit(True))), None,
@@ -168,7 +182,7 @@ class Compiler:
         periods = self.b.volume.get("periods")
         if "_period" in self.types:
             if periods:
-                p.metrics["periods"] = times.distinct_periods(F.col("_period"))
+                p.measure(ev, periods=times.distinct_periods(F.col("_period")))
                 p.verdict(p.rule(3, "all_periods", ev, WARNING, lo=periods, hi=periods),
                           F.coalesce(F.col("periods"), F.lit(0)) == periods, F.col("periods"))
             self.row(rules.off_grid(p.rule(3, "on_grid", ev, WARNING), ev, c.grain))
@@ -189,7 +203,7 @@ class Compiler:
                 rid = p.rule(4, "present_share", k.name, lo=floor, hi=1.0)
                 if self.usable(rid, k.name):
                     m = f"present__{k.name}"
-                    p.metrics[m] = F.count(k.name)
+                    p.measure(k.name, **{m: F.count(k.name)})
                     share = F.try_divide(F.col(m).cast("double"), F.col("rows"))
                     p.verdict(rid, F.coalesce(share >= floor, F.lit(True)), share, element_count=F.col("rows"),
                               missing_count=F.col("rows") - F.col(m))
@@ -266,7 +280,8 @@ class Compiler:
             if k.bounds:
                 self.row(rules.between(p.rule(7, "physical_range", k.name, lo=k.bounds[0], hi=k.bounds[1]), x, *k.bounds))
             v = F.col(x)
-            p.metrics.update({f"{k.name}__n": F.count(v), f"{k.name}__mean": F.avg(v), f"{k.name}__sd": F.stddev_samp(v)})
+            p.measure(k.name, **{f"{k.name}__n": F.count(v), f"{k.name}__mean": F.avg(v), f"{k.name}__sd": F.stddev_samp(v),
+                                 f"{k.name}__min": F.min(v), f"{k.name}__max": F.max(v)})
             n, mean, sd = (F.col(f"{k.name}__{s}") for s in ("n", "mean", "sd"))
             p.verdict(rid, F.coalesce(mean.between(d["mean_low"], d["mean_high"]), F.lit(True)), mean, element_count=n)
             p.verdict(p.rule(7, "stdev_corridor", k.name, lo=0, hi=d["sd_high"], note="a single row has no deviation and passes"),
@@ -276,7 +291,7 @@ class Compiler:
             if d["quantile_corridor"]:
                 p.quantiles[k.name] = (p.rule(7, "quantile_shape", k.name), d["quantile_corridor"])
             counts = distribution.bin_counts(v, d["bins"], f"{k.name}__bin")
-            p.metrics.update(counts)
+            p.measure(k.name, **counts)
             kl = distribution.divergence([F.col(f"`{m}`") for m in counts], d["weights"])
             p.verdict(p.rule(7, "kl_divergence", k.name, hi=t["batas_kl"]),
                       F.coalesce(kl <= t["batas_kl"], F.lit(True)), kl, element_count=n)
@@ -342,7 +357,7 @@ class Compiler:
         for n, limit in c.null_limits.items():
             rid = p.rule(4, "null_limit", n, hi=limit)
             if self.usable(rid, n):
-                p.metrics[f"nonnull__{n}"] = F.count(n)
+                p.measure(n, **{f"nonnull__{n}": F.count(n)})
                 share = 1 - F.try_divide(F.col(f"nonnull__{n}").cast("double"), F.col("rows"))
                 p.verdict(rid, F.coalesce(share <= limit, F.lit(True)), share)
         for d in c.duplicate_limits:
@@ -354,7 +369,7 @@ class Compiler:
         for n, share in c.expected_ratios.items():
             rid = p.rule(7, "expected_ratio", n, lo=share - c.ratio_tolerance, hi=share + c.ratio_tolerance)
             if self.usable(rid, n, family="boolean"):
-                p.metrics[f"ratio__{n}"] = F.avg(F.col(n).cast("int"))
+                p.measure(n, **{f"ratio__{n}": F.avg(F.col(n).cast("int"))})
                 seen = F.col(f"ratio__{n}")
                 p.verdict(rid, F.coalesce(F.abs(seen - share) <= c.ratio_tolerance, F.lit(True)), seen)
 
@@ -396,15 +411,25 @@ def _named(df: DataFrame, by: str, ids: dict[str, str]) -> DataFrame:
     return df.filter(F.col(by).isin(*ids)).withColumn("rule_id", lookup[F.col(by)])
 
 
-def metrics_table(frame: DataFrame, p: Plan) -> DataFrame:
-    """Scalar metrics per partition in passes that stay inside codegen, joined at partition size."""
-    slots, out, batch = onepass.SLOTS_PER_PASS // 2, None, {"rows": F.count(F.lit(1))}
-    batches = [batch]
-    for name, m in p.metrics.items():
-        if len(batch) >= slots:
-            batch = {}
+def metrics_table(frame: DataFrame, p: Plan, rule_aggs: dict[str, Column]) -> DataFrame:
+    """Scalar metrics and row-rule counts per partition, in as few passes as whole-stage codegen allows.
+
+    Aggregates are laid out by the column they read, so all passes together scan each column about
+    once; the pass results meet at one row per partition.
+    """
+    items = [("", "rows", F.count(F.lit(1)))]
+    items += [(p.metric_of.get(n, n), n, m) for n, m in p.metrics.items()]
+    items += [(p.metric_of.get(n, n), n, m) for n, m in rule_aggs.items()]
+    items.sort(key=lambda x: x[0])
+    out, room, batch = None, 0, {}
+    batches = []
+    for _, name, m in items:
+        need = 3 if name.endswith(("__mean", "__sd")) else 1
+        if need > room:
+            batch, room = {}, onepass.SLOTS_PER_PASS
             batches.append(batch)
         batch[name] = m
+        room -= need
     for b in batches:
         part = onepass.grouped_metrics(frame, GROUP, b)
         out = part if out is None else _join_parts(out, part)
@@ -433,7 +458,18 @@ def evaluate(frame: DataFrame, c: Contract, base: Baseline, *, now: dt.datetime,
     compiler = Compiler(c, base, frame, work, now, mode, window_days, offset_hours)
     p = compiler.compile()
 
-    m = metrics_table(work, p)
+    few = {n for n, t in base.text.items() if t["distinct_values"] <= FEW_VALUES and n in compiler.types
+           and isinstance(compiler.types[n], T.StringType)}
+    by_value = [r for r in p.row_rules if len(r.columns) == 1 and r.columns[0] in few and r.skip == "any"]
+    ids = {r.rule_id for r in by_value}
+    by_row = [r for r in p.row_rules if r.rule_id not in ids]
+    rule_aggs, rule_rows = onepass.rule_counts(by_row)
+    for i, r in enumerate(by_row):
+        p.metric_of[f"_b{i}"] = r.columns[0] if r.columns else ""
+    for n in rule_aggs:
+        p.metric_of.setdefault(n, p.rule_column(by_row, n))
+
+    m = metrics_table(work, p, rule_aggs)
     if partitions is not None:
         known = partitions.select(F.col("part").alias("_p2"), F.col("part_date").alias("_d2"), "label", "bytes", "files")
         if unreadable is not None:
@@ -470,39 +506,37 @@ def evaluate(frame: DataFrame, c: Contract, base: Baseline, *, now: dt.datetime,
     m = materialise(m, "metrics")
 
     out = [_rows(m, p.verdicts), _rows(m, p.constants)]
-    few = {n for n, t in base.text.items() if t["distinct_values"] <= FEW_VALUES and n in compiler.types
-           and isinstance(compiler.types[n], T.StringType)}
-    by_value = [r for r in p.row_rules if len(r.columns) == 1 and r.columns[0] in few and r.skip == "any"]
-    ids = {r.rule_id for r in by_value}
-    by_row = [r for r in p.row_rules if r.rule_id not in ids]
-    if by_value:
-        out.append(_shape(onepass.grouped_value_checks(work, GROUP, by_value)))
+    held = m.filter("rows > 0")
     if by_row:
-        checks = onepass.grouped_checks(work, GROUP, by_row)
+        checks = rule_rows(held.select(*GROUP, *rule_aggs))
         undated = [r for r, k in p.meta.items() if k["rule_kind"] == "in_window"]
         ok = F.when(F.col("rule_id").isin(*undated) & F.col(PART_DATE).isNull(), F.lit(None)).otherwise(F.col("success"))
         out.append(_shape(checks.withColumn("success", ok)))
+    folded = sorted({r.columns[0] for r in by_value} | {*p.codes, *p.sets})
+    if folded:
+        # one scan of the code columns serves the text rules, the master lists and the value sets
+        counts = materialise(onepass.value_counts(work, GROUP, folded), "value_counts")
+        if by_value:
+            out.append(_shape(onepass.checks_on_values(counts, GROUP, by_value)))
+        if p.codes:
+            codes = counts.filter(F.col("column").isin(*p.codes))
+            out.append(_shape(_named(membership.against_master(codes, GROUP, base.master), "column", p.codes)))
+        if p.sets:
+            sets = counts.filter(F.col("column").isin(*p.sets))
+            s = _named(membership.same_set(sets, GROUP, base.master), "column", p.sets)
+            out.append(_shape(s.withColumn("observed_num", (F.col("known_values") + F.col("unknown_values")).cast("double"))))
     for rid, key in p.unique.items():
         out.append(_shape(keys.uniqueness(work, GROUP, key, rid)))
     for rid, (key, limit) in p.surplus.items():
         d = keys.duplicate_rows(work, GROUP, key, limit)
         out.append(_shape(d.withColumn("rule_id", F.lit(rid)).withColumn("unexpected_count", F.col("surplus_rows"))))
-    if p.codes or p.sets:
-        counts = membership.value_counts(work, GROUP, sorted({*p.codes, *p.sets}))
-        if p.codes:
-            out.append(_shape(_named(membership.against_master(counts, GROUP, base.master), "column", p.codes)))
-        if p.sets:
-            s = _named(membership.same_set(counts, GROUP, base.master), "column", p.sets)
-            out.append(_shape(s.withColumn("observed_num", (F.col("known_values") + F.col("unknown_values")).cast("double"))))
     if p.pairs:
         counts = membership.pair_counts(work, GROUP, [tuple(r.split("->")) for r in p.pairs])
         out.append(_shape(_named(membership.pairs_against(counts, GROUP, base.relations), "relation", p.pairs)))
     if p.quantiles or p.medians:
         out += _order_rules(work, p)
     if p.z_rules:
-        z = distribution.z_outliers(work, GROUP, {n: F.col(number_column(n)) for n in p.z_rules}, m,
-                                    c.thresholds["batas_zscore"])
-        out.append(_shape(_named(z, "column", p.z_rules)))
+        out += _z_rules(work, held, p, c.thresholds["batas_zscore"])
 
     answered = out[0]
     for o in out[1:]:
@@ -539,6 +573,21 @@ def evaluate(frame: DataFrame, c: Contract, base: Baseline, *, now: dt.datetime,
         _instant(now).alias("run_at"))
 
 
+def _z_rules(work: DataFrame, m: DataFrame, p: Plan, threshold: float) -> list[DataFrame]:
+    """Outliers by z-score. A partition whose extremes are below the threshold has none; only the others are read again."""
+    far = F.lit(False)
+    for n in p.z_rules:
+        mean, sd = F.col(f"{n}__mean"), F.col(f"{n}__sd")
+        reach = F.greatest(distribution.z_score(F.col(f"{n}__min"), mean, sd), distribution.z_score(F.col(f"{n}__max"), mean, sd))
+        far = far | F.coalesce(reach >= threshold, F.lit(False))
+    flagged = m.withColumn("_far", far)
+    calm = [{"rule_id": rid, "success": F.lit(True), "element_count": F.col("rows"),
+             "missing_count": F.col("rows") - F.col(f"{n}__n"), "unexpected_count": F.lit(0),
+             "unexpected_percent": F.when(F.col(f"{n}__n") > 0, F.lit(0.0))} for n, rid in p.z_rules.items()]
+    z = distribution.z_outliers(work, GROUP, {n: F.col(number_column(n)) for n in p.z_rules}, flagged.filter("_far"), threshold)
+    return [_rows(flagged.filter("NOT _far"), calm), _shape(_named(z, "column", p.z_rules))]
+
+
 def _order_rules(work: DataFrame, p: Plan) -> list[DataFrame]:
     """Quantile shape and zero medians from one set of order statistics."""
     cols = {n: F.col(number_column(n)) for n in dict.fromkeys([*p.quantiles, *p.medians])}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lakegauge.contract import Contract
 from lakegauge.plans import baseline as bl
 from lakegauge.plans import evaluate as ev
+from lakegauge.session import materialise
 from lakegauge.sources import inventory, reader
 
 
@@ -17,8 +18,8 @@ def open_dataset(spark: SparkSession, c: Contract, source: str = "lokal"):
     """Files, logical partitions, footers and broken partitions of a dataset."""
     path = inventory.location(c, source)
     prefix = path if source == "s3" else None
-    files = inventory.dated(inventory.list_files(spark, path), prefix)
-    probed = reader.footers(files)
+    files = materialise(inventory.dated(inventory.list_files(spark, path), prefix), "files")
+    probed = materialise(reader.footers(files), "footers")      # every file is opened once
     return files, inventory.partitions(files), probed, reader.unreadable_parts(files, probed)
 
 

@@ -94,12 +94,17 @@ def read_partitions(spark: SparkSession, files: DataFrame, probed: DataFrame) ->
     broken = unreadable_parts(files, probed).select("part", F.lit(True).alias("_broken"))
     good = (files.select("path", "part").join(broken, "part", "left").filter("_broken IS NULL")
             .join(probed.select("path", "columns"), "path"))
-    key = F.to_json(F.array_sort("columns"))
-    groups = good.groupBy(key.alias("schema")).agg(F.collect_list("path").alias("paths")).collect()
-    if not groups:
+    good = good.select("path", F.to_json(F.array_sort("columns")).alias("schema")).withColumn("sid", F.xxhash64("schema"))
+    schemas = {r["sid"]: r["schema"] for r in good.select("sid", "schema").distinct().collect()}
+    if not schemas:
         raise SourceError("no readable partition")
+    # file names only, as the scan's own file index holds them too
+    names = good.select("sid", "path").toArrow()
+    groups: dict[int, list[str]] = {}
+    for sid, path in zip(names["sid"].to_pylist(), names["path"].to_pylist()):
+        groups.setdefault(sid, []).append(path)
     frames = []
-    for g in sorted(groups, key=lambda g: g["schema"]):
-        nanos = [c["name"] for c in json.loads(g["schema"]) if c["type"].startswith("timestamp[ns")]
-        frames.append(read_files(spark, sorted(g["paths"]), nanos))
+    for sid in sorted(groups, key=schemas.get):
+        nanos = [c["name"] for c in json.loads(schemas[sid]) if c["type"].startswith("timestamp[ns")]
+        frames.append(read_files(spark, sorted(groups[sid]), nanos))
     return align(frames)

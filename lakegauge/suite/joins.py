@@ -105,11 +105,10 @@ def master_codes(spark, sf):
 
 
 @query("sorted_code_lists", """
-SELECT 'p_type' AS "column", string_agg(DISTINCT p_type, ',' ORDER BY p_type) AS codes FROM part
-UNION ALL SELECT 'p_brand', string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) FROM part""")
+SELECT DISTINCT 'p_type' AS "column", p_type AS code FROM part UNION SELECT 'p_brand', p_brand FROM part ORDER BY 1, 2""")
 def sorted_code_lists(spark, sf):
-    codes = membership.code_list(table(spark, sf, "part"), ["p_type", "p_brand"])
-    return codes.groupBy("column").agg(F.array_join(F.sort_array(F.collect_set("code")), ",").alias("codes"))
+    """A global sort over range partitions; no list is gathered into one row."""
+    return membership.code_list(table(spark, sf, "part"), ["p_type", "p_brand"]).orderBy("column", "code")
 
 
 @query("relation_map", """
