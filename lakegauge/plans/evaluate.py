@@ -445,19 +445,31 @@ def _join_parts(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def evaluate(frame: DataFrame, c: Contract, base: Baseline, *, now: dt.datetime, mode: str = "backfill",
              partitions: DataFrame | None = None, unreadable: DataFrame | None = None, source: DataFrame | None = None,
-             source_reason: str | None = None, samples: int = 0, window_days: int = 1, offset_hours: float = 0.0,
+             source_reason: str | None = None, masters: dict[str, DataFrame] | None = None, samples: int = 0, window_days: int = 1, offset_hours: float = 0.0,
              run_id: str | None = None) -> DataFrame:
     """check_results of every partition of ``frame`` (which carries its partition columns).
 
     ``partitions`` (part, part_date, label, bytes, files) makes empty partitions visible and
     enables the size rule; ``unreadable`` (part, part_date, error) turns broken files into
-    findings; ``source`` is the relation behind the landed table.
+    findings; ``source`` is the relation behind the landed table; ``masters`` holds the official
+    master tables that the contract's links name.
     """
     spark = frame.sparkSession
     work = prepare(frame, c)
     compiler = Compiler(c, base, frame, work, now, mode, window_days, offset_hours)
     p = compiler.compile()
 
+    links = {}
+    for link in c.master_links:
+        target = f"{link['table']}.{link['key']}"
+        master = (masters or {}).get(link["table"])
+        if master is None:
+            p.skip(6, "master_table", f"no table given for {target}", link["column"])
+        else:
+            rid = p.rule(6, "master_table", link["column"], note=target)
+            if compiler.usable(rid, link["column"]):
+                links[rid] = (link["column"], master, link["key"])
+
     few = {n for n, t in base.text.items() if t["distinct_values"] <= FEW_VALUES and n in compiler.types
            and isinstance(compiler.types[n], T.StringType)}
     by_value = [r for r in p.row_rules if len(r.columns) == 1 and r.columns[0] in few and r.skip == "any"]
@@ -530,6 +542,8 @@ def evaluate(frame: DataFrame, c: Contract, base: Baseline, *, now: dt.datetime,
     for rid, (key, limit) in p.surplus.items():
         d = keys.duplicate_rows(work, GROUP, key, limit)
         out.append(_shape(d.withColumn("rule_id", F.lit(rid)).withColumn("unexpected_count", F.col("surplus_rows"))))
+    for rid, (col, master, key) in links.items():
+        out.append(_shape(membership.referential(work, GROUP, col, master, key).withColumn("rule_id", F.lit(rid))))
     if p.pairs:
         counts = membership.pair_counts(work, GROUP, [tuple(r.split("->")) for r in p.pairs])
         out.append(_shape(_named(membership.pairs_against(counts, GROUP, base.relations), "relation", p.pairs)))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lakegauge.contract import Contract
 from lakegauge.plans import baseline as bl
+from lakegauge.plans import summary
 from lakegauge.plans.catalog import BLOCKING, CATEGORIES, FIT, UNFIT
 from lakegauge.session import small_table
 
@@ -45,6 +46,18 @@ def read(spark: SparkSession, root: str) -> DataFrame:
     return h if every is None else h.filter(F.col("run_at") > F.lit(every.isoformat(sep=" ")).cast("timestamp_ntz"))
 
 
+def append_sweep(results: DataFrame, root: str) -> None:
+    """Sweep tables of a run: verdict per partition, and the blocking failures."""
+    base = root.rstrip("/")
+    summary.sweep(results).write.mode("append").parquet(f"{base}/sweep_verdicts")
+    summary.blocking_failures(results).write.mode("append").parquet(f"{base}/sweep_failures")
+
+
+def append_layer_summary(layered: DataFrame, root: str, day: str) -> None:
+    """Summary table of all layers of a run, replaced when the day is run again."""
+    summary.layer_summary(layered).write.mode("overwrite").parquet(f"{root.rstrip('/')}/layer_summary/run_date={day}")
+
+
 def write_json(results: DataFrame, path: str) -> None:
     results.write.mode("overwrite").json(path)
 

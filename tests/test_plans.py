@@ -373,3 +373,52 @@ def test_dependency_ignores_rows_with_a_null(spark):
     df = spark.createDataFrame([("a", None), (None, "x"), ("a", "x"), ("b", "y"), ("b", "y")], "l string, r string")
     got = {(r["left_column"], r["right_column"]): r["determines"] for r in infer.dependencies(df, ["l", "r"]).collect()}
     assert got == {("l", "r"): True, ("r", "l"): True}
+
+
+# --- batch ------------------------------------------------------------------------------------
+
+def test_batch_over_layers(spark):
+    from lakegauge.plans import batch
+    root = tempfile.mkdtemp(prefix="lakegauge-test-")
+    for d in range(1, 5):
+        sensor(spark).filter(F.dayofmonth("at") == d).drop(PART, PART_DATE).toPandas().to_parquet(f"{root}/t_2024010{d}.parquet")
+    own = {**SENSOR, "sumber": {"lokal": f"{root}/t_*.parquet"}}
+    good = parse_contract("good", {**own, "meta_audit": {"wajib": []}})
+    lost = parse_contract("lost", {**own, "sumber": {"lokal": f"{root}/none_*.parquet"}})
+    strict = parse_contract("strict", own)
+    run = batch.run_layers(spark, {"gold": {"good": good}, "bronze": {"strict": strict, "lost": lost}}, root, source="lokal",
+                           day="2024-01-03", now=NOW)
+    got = {(r["layer"], r["dataset"]): r["status"] for r in run.statuses.collect()}
+    # the missing audit column counts in bronze; a dataset without files is broken and stops nobody
+    assert got == {("gold", "good"): "LOLOS", ("bronze", "strict"): "GAGAL", ("bronze", "lost"): "ERROR"} and run.exit_code == 1
+    assert [r["dataset"] for r in run.errors.collect()] == ["lost"]
+    again = batch.run_layers(spark, {"gold": {"good": good}}, root, source="lokal", rebuild=False, day="auto", now=NOW)
+    assert again.exit_code == 0 and {str(r["part_date"]) for r in again.results.select("part_date").distinct().collect()} == {"2024-01-04"}
+    assert spark.read.parquet(f"{root}/layer_summary").filter("layer = 'gold' AND dataset IS NULL").first()["checks"] > 0
+    history.append_sweep(again.results, root)
+    assert spark.read.parquet(f"{root}/sweep_verdicts").first()["verdict"] == "LAYAK"
+
+
+def test_master_tables(spark, learned):
+    c = parse_contract("sensor", {**SENSOR, "validasi": {"referential_integrity": [
+        {"kolom": "unit", "source_table": "units", "source_column": "code"}, {"kolom": "area", "source_table": "areas", "source_column": "code"}]}})
+    units = spark.createDataFrame([("U-00",), ("U-01",), ("U-02",)], "code string")
+    day = {k[1]: x for k, x in outcome(evaluate(sensor(spark), c, learned, now=NOW, masters={"units": units})).items() if k[0] == "2024-01-01"}
+    assert day["6.master_table.unit"]["unexpected_count"] == 24 and day["6.master_table.area"]["severity"] == "skipped"
+
+
+def test_text_beyond_the_basic_plane(spark):
+    assert derive(spark, ["a\U0001F600", "b\U0001F600"]) == ["^[a-z]\U0001F600$"]
+    many = ["a\U0001F600" + "-" * i for i in range(1, 15)]
+    found = derive(spark, many)
+    df = spark.createDataFrame([(v,) for v in many], "s string")
+    assert len(found) == 1 and df.filter(~text.finds_any(F.col("s"), found)).count() == 0
+
+
+def test_outliers_are_counted_where_extremes_reach(spark, contract, learned):
+    rows = sensor_rows(5, units=40)
+    rows = fault(rows, lambda r: (*r[:5], 90000.0, *r[6:]), lambda r: r[0] in (970, 971))
+    c = parse_contract("sensor", {**SENSOR, "ambang": {"batas_zscore": 15.0}})
+    r = outcome(evaluate(sensor(spark, rows), c, learned, now=NOW))
+    got = {k[0]: (x["unexpected_count"], x["success"]) for k, x in r.items() if k[1] == "7.z_score.v"}
+    assert got == {"2024-01-01": (0, True), "2024-01-02": (2, True), "2024-01-03": (0, True), "2024-01-04": (0, True), "2024-01-05": (0, True)}
