@@ -140,8 +140,10 @@ def guess_constant_flags(spark, sf):
 
 
 @query("draft_contract", """
-SELECT "column", kind, is_code FROM (VALUES ('doc_id', 'integer', false), ('text', 'string', false), ('lang', 'string', true), ('source', 'string', true),
-  ('n_chars', 'integer', false)) v("column", kind, is_code) WHERE (SELECT count(*) FROM documents) > 0""")
+SELECT 'doc_id' AS "column", 'integer' AS kind, false AS is_code FROM documents GROUP BY 1 UNION ALL SELECT 'n_chars', 'integer', false FROM documents GROUP BY 1
+UNION ALL SELECT 'text', 'string', count(DISTINCT text) BETWEEN 1 AND 200 FROM documents
+UNION ALL SELECT 'lang', 'string', count(DISTINCT lang) BETWEEN 1 AND 200 FROM documents
+UNION ALL SELECT 'source', 'string', count(DISTINCT source) BETWEEN 1 AND 200 FROM documents""")
 def draft_contract(spark, sf):
     """Full inference over documents, one partition per language."""
     d = with_partition(table(spark, sf, "documents"), F.lit(None), F.col("lang"))
