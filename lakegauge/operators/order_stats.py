@@ -25,7 +25,7 @@ from lakegauge.session import estimated_bytes, materialise
 
 SLICES = 4096
 # inputs the planner knows to be below this are counted by value in one job instead of three scans
-ONE_JOB_BYTES = 128 << 20
+ONE_JOB_BYTES = 8 << 20
 
 
 def same_group(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:

@@ -507,10 +507,11 @@ def evaluate(frame: DataFrame, c: Contract, base: Baseline, *, now: dt.datetime,
         rid = p.rule(9, "row_count", c.source_table)
         if c.source_time:
             day = reconcile.source_day(F.col(c.source_time), c.source_offset_hours)
-            src = source.groupBy(day.alias("_sd")).agg(F.count(F.lit(1)).alias("_src"))
-            total = source.count()      # partitions without a date are compared with the whole table
-            m = m.join(src, m[PART_DATE] == F.col("_sd"), "left").withColumn(
-                "_src", F.when(F.col(PART_DATE).isNull(), F.lit(total)).otherwise(F.coalesce("_src", F.lit(0)))).drop("_sd")
+            # counts per day and, with a null day, of the whole table: what a partition without a date is compared with
+            src = source.select(day.alias("_sd")).groupingSets([[F.col("_sd")], []], F.col("_sd")).agg(
+                F.count(F.lit(1)).alias("_src"), F.grouping_id().alias("_all")).filter("_all = 1 OR _sd IS NOT NULL").drop("_all")
+            m = m.join(src, m[PART_DATE].eqNullSafe(F.col("_sd")), "left").drop("_sd").withColumn(
+                "_src", F.coalesce("_src", F.lit(0)))
         else:
             m = m.withColumn("_src", F.lit(source.count()))
         p.verdict(rid, F.col("rows") == F.col("_src"), F.col("rows"),

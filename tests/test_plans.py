@@ -240,6 +240,9 @@ def test_reconciliation_against_a_source(spark, learned):
     r = outcome(evaluate(landed, c, learned, now=NOW, source=src))
     assert r["2024-01-02", "9.row_count.dbo.t"]["success"] is False and r["2024-01-03", "9.row_count.dbo.t"]["success"] is True
     assert r["2024-01-03", "9.source_columns"]["success"] is False
+    undated = landed.withColumn(PART_DATE, F.lit(None).cast("date")).withColumn(PART, F.lit("all.parquet"))
+    whole = {x["rule_id"]: x for x in evaluate(undated, c, learned, now=NOW, source=src).collect()}
+    assert whole["9.row_count.dbo.t"]["observed_text"] == "source 480" and whole["9.row_count.dbo.t"]["success"] is False
 
 
 def test_declared_extra_rules(spark, learned):
