@@ -17,7 +17,16 @@ def from_epoch(col: Column, unit: str) -> Column:
         micros = F.call_function("div", n - F.pmod(n, F.lit(1000)), F.lit(1000))
     else:
         micros = n * F.lit(_EPOCH_MICROS[unit])
-    return F.timestamp_micros(micros).cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", micros, _epoch())
+
+
+def _epoch() -> Column:
+    return F.lit("1970-01-01").cast("timestamp_ntz")
+
+
+def micros_of(ts: Column) -> Column:
+    """Microseconds since 1970 of a time without zone, whatever the session's zone."""
+    return F.timestamp_diff("MICROSECOND", _epoch(), ts)
 
 
 def as_time(col: Column, dtype: T.DataType, unit: str | None = None) -> Column:
@@ -26,6 +35,8 @@ def as_time(col: Column, dtype: T.DataType, unit: str | None = None) -> Column:
         return from_epoch(col, unit or "nanodetik")
     if isinstance(dtype, T.StringType):
         return F.try_to_timestamp(col).cast("timestamp_ntz")
+    if isinstance(dtype, T.TimestampType):
+        return F.timestamp_add("MICROSECOND", F.unix_micros(col), _epoch())
     return col.cast("timestamp_ntz")
 
 

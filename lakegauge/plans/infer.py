@@ -84,7 +84,7 @@ def guess_key(names: list[str]) -> str | None:
 
 def time_means(df: DataFrame, columns: list[str]) -> DataFrame:
     """Average instant of each time column, in microseconds."""
-    aggs = [F.avg(F.unix_micros(F.col(c).cast("timestamp"))).alias(f"m{i}") for i, c in enumerate(columns)]
+    aggs = [F.avg(times.micros_of(times.as_time(F.col(c), df.schema[c].dataType))).alias(f"m{i}") for i, c in enumerate(columns)]
     rows = [F.struct(F.lit(c).alias("column"), F.col(f"m{i}").alias("mean_micros")) for i, c in enumerate(columns)]
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
@@ -165,7 +165,7 @@ def equal_columns(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
 
 def time_order(df: DataFrame, load: str, event: str) -> DataFrame:
     """Is the load time never before the event time?"""
-    ok = F.col(load).cast("timestamp_ntz") >= F.col(event).cast("timestamp_ntz")
+    ok = (times.as_time(F.col(load), df.schema[load].dataType) >= times.as_time(F.col(event), df.schema[event].dataType))
     return df.agg(F.count(ok).alias("compared"), F.coalesce(F.min(ok), F.lit(False)).alias("always"))
 
 

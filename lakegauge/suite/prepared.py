@@ -41,7 +41,7 @@ SELECT unit, day, CAST(count(*) AS BIGINT) AS "rows", min(t) AS first_time, max(
   UNION ALL SELECT 'mikrodetik', CAST(CAST(ts AS DATE) AS VARCHAR), ts FROM events
   UNION ALL SELECT 'nanodetik', CAST(CAST(ts AS DATE) AS VARCHAR), ts FROM events) u GROUP BY 1, 2""")
 def prepare_epoch(spark, sf):
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    micros = times.micros_of(F.col("ts"))
     forms = {"detik": F.floor(micros / F.lit(1_000_000)), "milidetik": F.floor(micros / F.lit(1000)), "mikrodetik": micros,
              "nanodetik": micros * 1000}
     items = F.array(*[F.struct(F.lit(u).alias("unit"), times.from_epoch(c.cast("bigint"), u).alias("t"))
@@ -57,7 +57,7 @@ SELECT event_type, CAST(count(*) AS BIGINT) AS "rows", round(avg(lag), 6) AS mea
   FROM events) e GROUP BY 1""")
 def prepare_zone_and_lag(spark, sf):
     """The load time carries a zone (an instant); the event time does not."""
-    load = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp"))
+    load = F.timestamp_micros(times.micros_of(F.col("ts"))
                               + F.round(F.col("value") * 3_600_000_000).cast("bigint"))
     c = parse_contract("events", {"kunci": {"waktu": "ts", "waktu_muat": "loaded_at"},
                                   "kolom": [{"nama": "ts", "tipe": "datetime"}, {"nama": "loaded_at", "tipe": "datetime"}]})

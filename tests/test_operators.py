@@ -215,3 +215,15 @@ def test_scratch_needs_a_shared_folder_off_local(spark):
             lambda: type("G", (), {"get": staticmethod(lambda k, d=None: d)}))})
     with pytest.raises(RuntimeError):
         scratch_dir(Far)
+
+
+def test_zoned_times_are_utc_in_any_session_zone(spark):
+    df = spark.createDataFrame([(1_710_054_000_123_456,)], "n bigint").select(F.timestamp_micros("n").alias("t"), "n")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        row = df.select(times.as_time(F.col("t"), df.schema["t"].dataType).cast("string").alias("a"),
+                        times.from_epoch(F.col("n"), "mikrodetik").cast("string").alias("b")).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert row["a"] == row["b"] == "2024-03-10 07:00:00.123456"
