@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegauge.llm import dedup, mixing, quality
+from lakegauge.llm import dedup, licenses, mixing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -101,3 +101,21 @@ def op8_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Group of equal texts of every document, and the row that stays."""
     return dedup.exact_groups(_table(spark, sf, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@_query()
+def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """License phrases and labels of every document."""
+    labels = lambda a: F.array_join(F.array_sort(F.array_distinct(a)), ",")
+    found = licenses.licenses(_table(spark, sf, "documents"))
+    return found.select("doc_id", "n_words", F.size("base").cast("long").alias("n_base"),
+                        F.array_min("base.first").alias("first_word"), F.array_max("base.first").alias("last_word"),
+                        labels(F.col("base.label")).alias("base_labels"),
+                        labels(F.concat("base.label", "found.label")).alias("labels"),
+                        F.coalesce(F.array_max("found.score"), F.lit(0.0)).alias("score"))
+
+
+@_query()
+def op5_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Secrets of every document."""
+    return secrets.digests(secrets.secrets(_table(spark, sf, "documents")), secrets.BASE)
