@@ -53,14 +53,18 @@ def per_text(docs: DataFrame, key: str, text: str, make: Callable[[], Callable[[
     its name and type, other columns are dropped.
     """
     bounded_batches(docs.sparkSession)
-    light = docs.select(F.col(key), whole(text).alias("_text"))
+    return per_value(docs.select(F.col(key), whole(text).alias("_text")), make, fields)
+
+
+def per_value(light: DataFrame, make: Callable[[], Callable], fields: str) -> DataFrame:
+    """As ``per_text`` on a frame of two columns, key and value; the value is passed on as it is."""
     out = T.StructType([light.schema[0], *T._parse_datatype_string(fields).fields])
     arrow = to_arrow_schema(out)
 
     def run(batches):
         one = make()
         for b in batches:
-            made = [one(t) for t in b.column(1).to_pylist()]
+            made = [one(x) for x in b.column(1).to_pylist()]
             cols = list(zip(*made)) if made else [[] for _ in range(len(arrow) - 1)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).cast(arrow[0].type), *[pa.array(c, arrow[i + 1].type) for i, c in enumerate(cols)]], schema=arrow)

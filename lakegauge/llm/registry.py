@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegauge.llm import dedup, licenses, mixing, quality, secrets
+from lakegauge.llm import binary, bpe, dedup, licenses, mixing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -119,3 +120,18 @@ def op2_license_scan(spark: SparkSession, sf: str) -> DataFrame:
 def op5_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Secrets of every document."""
     return secrets.digests(secrets.secrets(_table(spark, sf, "documents")), secrets.BASE)
+
+
+@_query()
+def op7_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    """Token digests of every document."""
+    return bpe.encode(_table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                      public_tokenizers.PATTERN, digest=True)
+
+
+@_query()
+def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Token files of all documents, read back."""
+    manifest = binary.write_ids(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2,
+                                binary.new_folder(spark))
+    return binary.read_ids(manifest)
