@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegauge.llm import binary, bpe, dedup, licenses, mixing, quality, secrets
+from lakegauge.llm import binary, bpe, dedup, langid, licenses, mixing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -135,3 +135,12 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     manifest = binary.write_ids(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"), 2,
                                 binary.new_folder(spark))
     return binary.read_ids(manifest)
+
+
+@_query()
+def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Predicted language of every document; the model is fitted on the documents that are not held out."""
+    docs = _table(spark, sf, "documents")
+    model = langid.fit(docs.where(~langid.split(F.col("doc_id"))))
+    return langid.predict(docs, model).select("doc_id", langid.split(F.col("doc_id")).alias("held_out"), "lang_pred", "score",
+                                              "rejected")
