@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegauge.llm import binary, bpe, dedup, langid, licenses, mixing, quality, secrets
+from lakegauge.llm import binary, bpe, dedup, langid, licenses, minhash, mixing, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -144,3 +144,9 @@ def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
     model = langid.fit(docs.where(~langid.split(F.col("doc_id"))))
     return langid.predict(docs, model).select("doc_id", langid.split(F.col("doc_id")).alias("held_out"), "lang_pred", "score",
                                               "rejected")
+
+
+@_query()
+def op4_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Component of near-duplicates of every document."""
+    return minhash.near_groups(_table(spark, sf, "documents"))
