@@ -2,9 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakegauge.llm import dedup, mixing
+from lakegauge.llm import bpe, dedup, langid, minhash, mixing
+from lakegauge.session import materialise
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is recognised; fitted on those that are not held out. What the model rejects goes.
+
+    A rejected document's key, text and length decide, so rows that repeat them share the decision.
+    """
+    model = langid.fit(docs.where(~langid.split(F.col("doc_id"))))
+    return langid.accepted(docs, model)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,12 +24,23 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return dedup.deduplicate(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near-duplicates: five-word shingles, similarity of 0.8 or more."""
+    return minhash.deduplicate(docs, size=5, threshold=80)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of their sources takes them."""
-    return mixing.mixture(docs)
+    """Documents as often as the mix of their sources takes them, the last one of a source cut at its budget."""
+    return mixing.mixture(docs).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token digests per row."""
+    return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, digest=True)
 
 
-STAGES = [("exact_dedup", exact_dedup), ("mix", mix)]
+STAGES = [("language_id", language), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("mix_sources", mix),
+          ("byte_bpe", encode)]
 
 #: byte-pair encoding and the language model have no SQL form; the tests hold the stages against brute force
 ORACLE_SQL = None
@@ -25,7 +48,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``, each written to the shared folder and read again."""
-    from lakegauge.session import materialise
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), name)

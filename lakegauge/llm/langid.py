@@ -125,14 +125,8 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Language of every whole text: key, lang_pred, score (cosine to the nearest centroid, 0 to 1), rejected.
-
-    Null texts and texts without a letter get ``und`` with score 0 and are rejected; so does every text if the model knows no
-    language. Equal texts get equal results; other columns are dropped.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(model)      # languages x centroids x dims numbers
-
+def _judge(shared):
+    """Function of one text that returns (language, cosine, rejected), made once per task from the broadcast model."""
     def make():
         m = shared.value
         def one(t: str):
@@ -144,8 +138,18 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
             score = min(1.0, max(0.0, float(near[i])))
             return m.langs[i], score, score < m.floor[m.langs[i]][_classes(letters)]
         return one
+    return make
+
+
+def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Language of every whole text: key, lang_pred, score (cosine to the nearest centroid, 0 to 1), rejected.
+
+    Null texts and texts without a letter get ``und`` with score 0 and are rejected; so does every text if the model knows no
+    language. Equal texts get equal results; other columns are dropped.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)      # languages x centroids x dims numbers
     clean = F.when(has_letter(F.col(text)), F.col(text)).otherwise("").alias(text)
-    return per_text(docs.select(F.col(key), clean), key, text, make, "lang_pred string, score double, rejected boolean")
+    return per_text(docs.select(F.col(key), clean), key, text, _judge(shared), "lang_pred string, score double, rejected boolean")
 
 
 def split(key: Column) -> Column:
@@ -153,3 +157,14 @@ def split(key: Column) -> Column:
     return F.coalesce(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 3 == 1, F.lit(False))
 
 
+def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The rows whose text the model does not reject, with their columns, in one pass over the rows."""
+    one_pass = _judge(docs.sparkSession.sparkContext.broadcast(model))
+
+    def make():
+        one = one_pass()
+        return lambda t: (t, one(t)[2])
+    others = F.struct(*[F.col(c) for c in docs.columns if c != text], F.lit(0).alias("_row")).alias("_row")
+    shown = docs.select(others, F.when(has_letter(F.col(text)), F.col(text)).otherwise("").alias("_text"))
+    kept = per_text(shown, "_row", "_text", make, "_text string, rejected boolean").where("NOT rejected")
+    return kept.select(*[F.col("_text").alias(text) if c == text else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])

@@ -106,5 +106,6 @@ def mixture(docs: DataFrame, key: str = "doc_id", text: str = "text", source: st
                    & (F.col("_n") == F.col("_size")))
     j = j.withColumn("_epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("_taken") / F.col("_n")))))
     left = F.col("_taken") - (F.col("_epoch") - 1) * F.col("_n")
-    cut = F.regexp_extract(F.col(text), F.concat(F.lit(f"^(?:{BLANK}*+[^ \\t-\\r]++){{"), left.cast("string"), F.lit("}+")), 0)
+    first = F.concat(F.lit(f"^(?:{BLANK}*+[^ \\t-\\r]++){{"), left.cast("string"), F.lit("}+"))
+    cut = F.call_function("regexp_extract", F.col(text), first, F.lit(0))
     return j.withColumn(text, F.when(left < F.col("_n"), cut).otherwise(F.col(text))).select(*docs.columns)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegauge.llm import binary, bpe, dedup, langid, licenses, minhash, mixing, quality, secrets
+from lakegauge.llm import binary, bpe, dedup, langid, licenses, minhash, mixing, pii, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -150,3 +150,16 @@ def op9_language_id(spark: SparkSession, sf: str) -> DataFrame:
 def op4_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Component of near-duplicates of every document."""
     return minhash.near_groups(_table(spark, sf, "documents"))
+
+
+@_query()
+def op3_personal_data(spark: SparkSession, sf: str) -> DataFrame:
+    """Personal data of every document."""
+    kinds = F.array(*map(F.lit, pii.KINDS))
+    named = lambda a: F.transform(a, lambda s: F.struct(
+        F.get(kinds, s["rank"]).alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    found = pii.private(_table(spark, sf, "documents"))
+    line = lambda a: F.array_join(F.transform(named(a), lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    counts = lambda k: F.size(F.filter("base", lambda s: s["rank"] == pii.KINDS.index(k))).cast("long").alias(f"n_{k}")
+    return found.select("doc_id", *[counts(k) for k in pii.KINDS[:4]], F.sha2(line(F.col("base")), 256).alias("base_sha256"),
+                        line(F.col("spans")).alias("spans"))
