@@ -89,7 +89,8 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([
                         pa.array([named[i] for i in hit], pa.binary()),
                         pa.array([sets[ends[i]:ends[i + 1]].view(np.int64) for i in hit], schema.field(1).type)], schema=schema)
-    j = docs.join(wanted.withColumnsRenamed({"rep": "id"}), "id").select("c", "text")
+    # the wanted keys grow with the documents: one plan at every size, texts meet them in a shuffle
+    j = docs.join(wanted.withColumnsRenamed({"rep": "id"}).hint("merge"), "id").select("c", "text")
     return j.mapInArrow(run, "c binary, set array<bigint>").dropDuplicates(["c"])
 
 
