@@ -103,16 +103,15 @@ def certify(measured: DataFrame, labels: DataFrame, stratum: str, key: str = "do
     tests = [(r, float(c)) for r, (_, cuts) in RULES.items() for c in cuts]
     counts = [F.count_if((F.col(f"_v_{r}") > c) & (F.col("_good") == g)).alias(f"_{g}_{i}")
               for i, (r, c) in enumerate(tests) for g in (1, 0)]
-    by = held.groupBy(F.col(stratum).alias("stratum")).agg(
-        F.count_if(F.col("_good") == 1).alias("n_good"), F.count_if(F.col("_good") == 0).alias("n_bad"), *counts)
+    by = materialise(held.groupBy(F.col(stratum).alias("stratum")).agg(
+        F.count_if(F.col("_good") == 1).alias("n_good"), F.count_if(F.col("_good") == 0).alias("n_bad"), *counts), "strata")
+    n_tests = by.count() * len(tests)
     rows = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"_1_{i}").alias("good"),
                                         F.col(f"_0_{i}").alias("bad")) for i, (r, c) in enumerate(tests)]))
-    strata = by.agg(F.count("*").alias("n_strata"))
     p = binomial_tail(F.col("n_good").cast("double"), F.col("good").cast("double"), alpha)
     passed = (by.select("stratum", "n_good", "n_bad", rows.alias("t")).select("stratum", "n_good", "n_bad", "t.*")
               .where("bad > 0 AND n_good > 0").withColumn("p", p)
-              .join(F.broadcast(strata), F.lit(True))      # one row: the number of strata
-              .where(F.col("p") * F.col("n_strata") * len(tests) <= delta))
+              .where(F.col("p") * n_tests <= delta))
     gap = F.col("bad") / F.col("n_bad") - F.col("good") / F.col("n_good")
     return passed.groupBy("stratum", "rule").agg(F.max_by("cutoff", F.struct(gap, F.col("cutoff"))).alias("cutoff"))
 
