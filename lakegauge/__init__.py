@@ -1,4 +1,4 @@
-"""lakegauge: data-quality analytics for partitioned lake tables, on Spark DataFrames."""
+"""lakegauge: checks and baselines for partitioned tables, on Spark DataFrames."""
 
 from lakegauge.contract import Contract, ContractError, load_contracts
 from lakegauge.session import build_session

@@ -60,7 +60,9 @@ def reconcile_rows(source: DataFrame, landed: DataFrame, key: list[str], columns
     types = {f.name: f.dataType for f in source.schema}
 
     def side(df: DataFrame, is_source: int) -> DataFrame:
-        h = F.xxhash64(*[F.col(c).cast(types[c]) for c in cols]) if cols else F.lit(0).cast("bigint")
+        # a value that does not fit the source's type differs from every value and from null
+        values = [x for c in cols for x in (F.col(c).try_cast(types[c]), F.col(c).isNull())]
+        h = F.xxhash64(*values) if cols else F.lit(0).cast("bigint")
         return df.select(*key, F.lit(is_source).alias("_s"), h.alias("_h"))
 
     both = side(source, 1).unionByName(side(landed, 0))

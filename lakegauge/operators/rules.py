@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -83,12 +84,20 @@ def free_of(rule_id: str, name: str, pattern: str) -> RowRule:
     return _one(rule_id, name, text.finds(F.col(name), pattern))
 
 
+def _comparable(name: str, sample) -> Column:
+    """The column in the kind of a literal; null where it can't be, so that a value of another kind is a finding, no abort."""
+    if isinstance(sample, bool) or not isinstance(sample, (int, float)):
+        return F.col(name).try_cast("boolean" if isinstance(sample, bool) else "string") if not isinstance(
+            sample, (dt.date, dt.datetime)) else F.col(name)
+    return F.col(name).cast("string").try_cast("double")
+
+
 def in_set(rule_id: str, name: str, allowed: list) -> RowRule:
-    return _one(rule_id, name, ~F.col(name).isin(*allowed))
+    return _one(rule_id, name, ~F.coalesce(_comparable(name, allowed[0]).isin(*allowed), F.lit(False)))
 
 
 def constant(rule_id: str, name: str, value) -> RowRule:
-    return _one(rule_id, name, F.col(name) != F.lit(value))
+    return _one(rule_id, name, ~F.coalesce(_comparable(name, value) == F.lit(value), F.lit(False)))
 
 
 def in_window(rule_id: str, name: str, part_date: Column, days: int = 1, offset_hours: float = 0.0) -> RowRule:

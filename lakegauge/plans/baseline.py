@@ -53,13 +53,13 @@ def exclude_partitions(frame: DataFrame, names: list[str] | None = None) -> tupl
     The newest is a single value; with only one partition nothing can be left out.
     """
     if names:
-        return frame.filter(~F.col(PART).isin(names)), list(names)
+        return frame.filter(F.col(PART).isNull() | ~F.col(PART).isin(names)), list(names)
     newest = frame.agg(F.max(F.struct(F.coalesce(F.col(PART_DATE), F.lit("0001-01-01").cast("date")), F.col(PART))).alias("m"),
                        F.min(PART).alias("a"), F.max(PART).alias("z")).first()
     if newest["m"] is None or newest["a"] == newest["z"]:
         return frame, []
     name = newest["m"][1]
-    return frame.filter(F.col(PART) != name), [name]
+    return frame.filter(~F.col(PART).eqNullSafe(F.lit(name))), [name]
 
 
 def in_range(x: Column, bounds: tuple | None) -> Column:

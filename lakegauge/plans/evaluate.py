@@ -13,6 +13,7 @@ import uuid
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -105,7 +106,7 @@ class Compiler:
                  window_days: int, offset_hours: float):
         self.c, self.b, self.now, self.mode = c, base, now, mode
         self.raw_types = {f.name: f.dataType for f in raw.schema if f.name not in GROUP}
-        self.types = {f.name: f.dataType for f in prepared.schema}
+        self.frame, self.types = prepared, {f.name: f.dataType for f in prepared.schema}
         self.window_days, self.offset_hours = window_days, offset_hours
         self.p = Plan()
 
@@ -365,7 +366,13 @@ class Compiler:
             if self.usable(rid, *d["columns"]):
                 p.surplus[rid] = (d["columns"], d["threshold"])
         for q in c.predicates:
-            self.row(rules.predicate(p.rule(6, "predicate", q["name"], note=q["expression"]), q["expression"], q["null_passes"]))
+            rid = p.rule(6, "predicate", q["name"], note=q["expression"])
+            try:
+                self.frame.select(F.expr(q["expression"]).cast("boolean"))
+            except (AnalysisException, ParseException) as wrong:
+                p.answer(rid, False, error=str(wrong).splitlines()[0][:500])
+                continue
+            self.row(rules.predicate(rid, q["expression"], q["null_passes"]))
         for n, share in c.expected_ratios.items():
             rid = p.rule(7, "expected_ratio", n, lo=share - c.ratio_tolerance, hi=share + c.ratio_tolerance)
             if self.usable(rid, n, family="boolean"):
@@ -440,7 +447,7 @@ def metrics_table(frame: DataFrame, p: Plan, rule_aggs: dict[str, Column]) -> Da
 
 def _join_parts(a: DataFrame, b: DataFrame) -> DataFrame:
     b = b.drop(PART_DATE).withColumnRenamed(PART, "_p2")
-    return a.join(b, a[PART] == F.col("_p2"), "left").drop("_p2")
+    return a.join(b, a[PART].eqNullSafe(F.col("_p2")), "left").drop("_p2")
 
 
 def evaluate(frame: DataFrame, c: Contract, base: Baseline, *, now: dt.datetime, mode: str = "backfill",
@@ -549,7 +556,7 @@ def evaluate(frame: DataFrame, c: Contract, base: Baseline, *, now: dt.datetime,
         counts = membership.pair_counts(work, GROUP, [tuple(r.split("->")) for r in p.pairs])
         out.append(_shape(_named(membership.pairs_against(counts, GROUP, base.relations), "relation", p.pairs)))
     if p.quantiles or p.medians:
-        out += _order_rules(work, p)
+        out += _order_rules(work, held, p)
     if p.z_rules:
         out += _z_rules(work, held, p, c.thresholds["batas_zscore"])
 
@@ -603,14 +610,20 @@ def _z_rules(work: DataFrame, m: DataFrame, p: Plan, threshold: float) -> list[D
     return [_rows(flagged.filter("NOT _far"), calm), _shape(_named(z, "column", p.z_rules))]
 
 
-def _order_rules(work: DataFrame, p: Plan) -> list[DataFrame]:
-    """Quantile shape and zero medians from one set of order statistics."""
+def _order_rules(work: DataFrame, held: DataFrame, p: Plan) -> list[DataFrame]:
+    """Quantile shape and zero medians from one set of order statistics.
+
+    A partition without a value of the column passes and says so.
+    """
     cols = {n: F.col(number_column(n)) for n in dict.fromkeys([*p.quantiles, *p.medians])}
     ranks = {str(q): (lambda n, q=q: order_stats.nearest_rank(q, n)) for q in QS} if p.quantiles else {}
     if p.medians:
         ranks |= {"low": order_stats.middle_low, "high": order_stats.middle_high}
     found = order_stats.exact_ranks(order_stats.long_values(work, GROUP, cols), GROUP, ranks)
     wide = found.groupBy(*GROUP, "column").pivot("name", list(ranks)).agg(F.first("value"))
+    groups = held.select(*[F.col(g).alias(f"_{g}") for g in GROUP]).distinct()
+    same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in GROUP]
+    none = F.col("column").isNull()
     out = []
     for n, (rid, corridor) in p.quantiles.items():
         ok, shown = F.lit(True), []
@@ -618,12 +631,15 @@ def _order_rules(work: DataFrame, p: Plan) -> list[DataFrame]:
             v = F.col(f"`{q}`")
             ok = ok & v.between(lo, hi)
             shown.append(F.concat(F.lit(f"p{q}="), v.cast("string")))
-        out.append({"name": n, "rule_id": rid, "success": ok, "observed_text": F.concat_ws(", ", *shown)})
+        out.append({"name": n, "rule_id": rid, "success": none | ok,
+                    "observed_text": F.when(none, "no value").otherwise(F.concat_ws(", ", *shown))})
     for n, rid in p.medians.items():
         med = (F.col("low") + F.col("high")) / 2
-        out.append({"name": n, "rule_id": rid, "success": med == 0, "observed_num": med})
+        out.append({"name": n, "rule_id": rid, "success": none | (med == 0), "observed_num": med,
+                    "observed_text": F.when(none, "no value")})
     frames = []
     for name in cols:
         items = [o for o in out if o["name"] == name]
-        frames.append(_rows(wide.filter(F.col("column") == name), items))
+        one = groups.join(wide.filter(F.col("column") == name), same, "left").drop(*GROUP)
+        frames.append(_rows(one.withColumnsRenamed({f"_{g}": g for g in GROUP}), items))
     return frames

@@ -23,7 +23,6 @@ EVENT_NAMES = ("recorded_at", "reading_at", "event_at", "waktu", "tanggal", "cre
 LOAD_NAMES = ("loaded_at", "load_at", "ingested_at", "etl_at", "updatedate")
 KEY_NAMES = ("id", "kode", "code")
 MAX_CODES = 200          # distinct values up to which a text column is a code column
-MAX_RELATIONS = 12
 _EXACT_UNDER = 400       # columns the sketch puts below this get an exact distinct count
 
 
@@ -114,12 +113,14 @@ def grain_stats(df: DataFrame, event: str) -> DataFrame:
                         .when(F.col("midnight_share") > 0.9, "hari"))
 
 
-def key_scores(first: DataFrame, candidates: list[str], event: str) -> DataFrame:
-    """Share of distinct (column, event time) pairs among the rows of the first partition."""
+def key_scores(df: DataFrame, candidates: list[str], event: str) -> DataFrame:
+    """Share of distinct (column, event time) pairs among the rows; of several partitions the one with the least share."""
+    part = F.col(PART) if PART in df.columns else F.lit(None).cast("string")
     items = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in candidates])
-    pairs = first.select(F.col(event).alias("t"), F.inline(items)).groupBy("column", "value", "t").agg(
+    pairs = df.select(part.alias("_p"), F.col(event).alias("t"), F.inline(items)).groupBy("_p", "column", "value", "t").agg(
         F.count(F.lit(1)).alias("n"))
-    return pairs.groupBy("column").agg((F.count(F.lit(1)) / F.sum("n")).alias("score"))
+    each = pairs.groupBy("_p", "column").agg((F.count(F.lit(1)) / F.sum("n")).alias("score"))
+    return each.groupBy("column").agg(F.min("score").alias("score"))
 
 
 def dependencies(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -148,7 +149,7 @@ def pick_relations(found: dict[tuple[str, str], bool], distinct: dict[str, int],
             options = [(few, many)] if found.get((few, many)) else []
         out += options
     pos = {n: i for i, n in enumerate(order)}
-    return sorted(out, key=lambda p: (pos[p[0]], pos[p[1]]))[:MAX_RELATIONS]
+    return sorted(out, key=lambda p: (pos[p[0]], pos[p[1]]))
 
 
 def equal_columns(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
@@ -195,38 +196,42 @@ class Draft:
     partitions: int = 0
 
 
-def infer(frame: DataFrame, max_partitions: int = 10) -> Draft:
-    """Draft contract from the first partitions of a frame that carries its partition columns."""
-    parts = [r[PART] for r in frame.select(PART, PART_DATE).distinct()
-             .orderBy(F.col(PART_DATE).asc_nulls_first(), PART).limit(max_partitions).collect()]
-    df, first = frame.filter(F.col(PART).isin(parts)), frame.filter(F.col(PART) == parts[0])
-    d = Draft(partitions=len(parts))
+def infer(frame: DataFrame, max_partitions: int | None = None) -> Draft:
+    """Draft contract from a frame that carries its partition columns: from all partitions, or the first so many."""
+    parts = frame.select(PART, PART_DATE).distinct()
+    df = frame
+    if max_partitions is not None:
+        names = [r[PART] for r in parts.orderBy(F.col(PART_DATE).asc_nulls_first(), PART).limit(max_partitions).collect()]
+        df = frame.filter(F.col(PART).isin(names))
+    n_parts = len(names) if max_partitions is not None else parts.count()
+    d = Draft(partitions=n_parts)
     info = {r["column"]: r.asDict() for r in column_profile(df).orderBy("ordinal").collect()}
     small = [n for n, i in info.items() if i["distinct_estimate"] is not None and i["distinct_estimate"] < _EXACT_UNDER]
     exact = {r["column"]: r["distinct_values"] for r in distinct_values(df, small).collect()} if small else {}
     for n, i in info.items():
-        i["distinct_values"] = exact.get(n, 0 if n in small else i["distinct_estimate"])
+        i["distinct_values"] = exact.get(n, 0) if n in small else None       # exact; else only the estimate is known
+        i["distinct"] = i["distinct_estimate"] if i["distinct_values"] is None else i["distinct_values"]
     d.columns = list(info.values())
     of = {k: [n for n, i in info.items() if i["kind"] == k] for k in
           ("integer", "string", "datetime", "boolean", "float", "decimal")}
 
     keyish = [n for n, i in info.items() if i["kind"] in ("integer", "string")
-              and i["distinct_estimate"] >= 0.8 * i["rows"] / len(parts)]
+              and i["distinct_estimate"] >= 0.8 * i["rows"] / n_parts]
     if keyish:
         ok = {r["column"] for r in unique_columns(df, keyish).collect() if r["unique_per_partition"]}
         d.surrogate = guess_key([n for n in keyish if n in ok])
     means = {r["column"]: r["mean_micros"] for r in time_means(df, of["datetime"]).collect()} if of["datetime"] else {}
     d.event_time, d.load_time = guess_times(of["datetime"], means)
-    codes = [n for n in of["string"] if 0 < info[n]["distinct_values"] <= MAX_CODES]
+    codes = [n for n in of["string"] if info[n]["distinct_values"] and info[n]["distinct_values"] <= MAX_CODES]
     d.references = codes
     d.profiled = [n for n in info if info[n]["kind"] in ("decimal", "float") and info[n]["max"] is not None
-                  and info[n]["distinct_values"] > 5]
+                  and info[n]["distinct"] > 5]
     if d.event_time:
         d.grain = grain_stats(df, d.event_time).first()["grain"]
         d.business_key = [d.event_time]
         cand = [n for n in codes if info[n]["distinct_values"] > 1]
         if cand:
-            best = max(key_scores(first, cand, d.event_time).collect(), key=lambda r: (r["score"], r["column"]),
+            best = max(key_scores(df, cand, d.event_time).collect(), key=lambda r: (r["score"], r["column"]),
                        default=None)
             if best and best["score"] > 0.98:
                 d.business_key = [best["column"], d.event_time]
@@ -266,7 +271,8 @@ def to_yaml(d: Draft, name: str, local: str | None = None, remote: str | None =
         if i["kind"] == "unsupported":
             note.append("nested type, not supported by the rules")
         elif i["kind"] == "string":
-            note.append(f"{i['distinct_values']} values, length {i['len_min']}-{i['len_max']}")
+            about = "" if i["distinct_values"] is not None else "about "
+            note.append(f"{about}{i['distinct']} values, length {i['len_min']}-{i['len_max']}")
         elif i["max"] is not None:
             note.append(f"seen {i['min']:g}..{i['max']:g}")
         if i["column"] in d.profiled:

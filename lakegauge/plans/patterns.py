@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakegauge.functions import text
-from lakegauge.session import materialise, spread
+from lakegauge.session import materialise
 
 # The sketch below is exact to within one or two at this size, so the cut never drops a column with few shapes.
 _SHAPES_WORTH_COUNTING = 64
@@ -94,7 +94,7 @@ def derive(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
     """
     if not columns:
         return {}
-    df = spread(df.select(*columns), "text")
+    df = df.select(*columns)
     known = _estimates(df, columns)
     values = text_values(df, columns, known)
     shaped = [c for c in columns if known[c][2] <= _SHAPES_WORTH_COUNTING]

@@ -136,12 +136,13 @@ def trend(history: DataFrame) -> DataFrame:
     return h.withColumn("change", change)
 
 
-def recent(history: DataFrame, run_start: dt.datetime, grace_seconds: int = 3600, most: int = 100) -> DataFrame:
-    """Latest results per dataset not older than the run start minus a grace, for at most so many datasets."""
+def recent(history: DataFrame, run_start: dt.datetime, grace_seconds: int = 3600, most: int | None = None) -> DataFrame:
+    """Latest results per dataset not older than the run start minus a grace, for all datasets or the first so many by name."""
     floor = F.lit((run_start - dt.timedelta(seconds=grace_seconds)).isoformat(sep=" ")).cast("timestamp_ntz")
     fresh = history.filter(F.col("run_at") >= floor)
     last = fresh.groupBy("dataset").agg(F.max_by("run_id", F.struct("run_at", "run_id")).alias("run_id"))
-    return fresh.join(last.orderBy("dataset").limit(most), ["dataset", "run_id"], "left_semi")
+    last = last if most is None else last.orderBy("dataset").limit(most)
+    return fresh.join(last, ["dataset", "run_id"], "left_semi")
 
 
 def top_findings(results: DataFrame, n: int = 15) -> DataFrame:

@@ -72,16 +72,6 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, tag: str, least: int = 4 << 20, most: int = 64 << 20) -> DataFrame:
-    """Store a modest input in as many files as there are cores; larger inputs have enough splits and stay as they are.
-
-    For work that reads an input several times and is heavy per row, where one file would keep one core busy.
-    """
-    if not least <= estimated_bytes(df) <= most:
-        return df
-    return materialise(df.repartition(df.sparkSession.sparkContext.defaultParallelism), tag)
-
-
 def small_table(spark: SparkSession, rows: list[dict], schema: pa.Schema) -> DataFrame:
     """A driver-made table (rules, layers, file names); through Arrow it becomes a local relation of known size."""
     cols = [pa.array([r.get(f.name) for r in rows], type=f.type) for f in schema]

@@ -59,7 +59,8 @@ def read_files(spark: SparkSession, paths: list[str], nanos: list[str] | None =
 
     Columns stored in nanoseconds come out of the scan as numbers and become times here.
     """
-    if nanos:
+    if nanos:                                     # a session of its own keeps the setting from other reads
+        spark = spark.newSession()
         spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
     df = spark.read.option("recursiveFileLookup", "true").parquet(*paths)
     path = plain_path(F.col("_metadata.file_path"))
