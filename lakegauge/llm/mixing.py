@@ -34,8 +34,9 @@ def targets(sizes: DataFrame, share: float = 1.5, most: float = 2.0, weights: tu
     every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     level = (F.sum("source_size").over(every) * F.lit(share) - F.coalesce(F.sum("cap").over(upto), F.lit(0.0))
              ) / F.sum("weight").over(after)
-    leveled = w.withColumn("level", level).withColumn("open", F.col("level") * F.col("weight") < F.col("cap"))
-    common = F.min(F.when(F.col("open"), F.struct(F.col("cap") / F.col("weight"), F.col("level")))).over(every)["level"]
+    leveled = w.withColumns({"level": level, "place": F.row_number().over(by_fill)}).withColumn(
+        "open", F.col("level") * F.col("weight") < F.col("cap"))
+    common = F.min(F.when(F.col("open"), F.struct("place", "level"))).over(every)["level"]
     target = F.when(F.col("cap") <= F.coalesce(common, F.lit(float("inf"))) * F.col("weight"), F.col("cap")).otherwise(
         common * F.col("weight"))
     return leveled.select("source", "source_size", target.alias("target"))

@@ -73,9 +73,10 @@ _TARGETS = """
    2.0::DOUBLE * source_size AS cap FROM s),
  l AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE
    - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
-   / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+   / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level,
+   row_number() OVER (ORDER BY cap / weight, source NULLS LAST) AS place FROM w),
  t AS (SELECT source, source_size, least(cap, weight * coalesce(
-   (SELECT arg_min(level, cap / weight) FROM l WHERE level * weight < cap), 'infinity'::DOUBLE)) AS target FROM l)"""
+   (SELECT arg_min(level, place) FROM l WHERE level * weight < cap), 'infinity'::DOUBLE)) AS target FROM l)"""
 
 
 @_query(f"""
