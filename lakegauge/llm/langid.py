@@ -90,8 +90,9 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     usable = docs.where(F.col(lang).isNotNull() & has_letter(F.col(text)))
     ids = usable.select(F.col(lang).alias("lang"), F.col(key).alias("id"), F.xxhash64(F.col(key)).alias("order"))
     # only about twice the sample of each language, those with small hashes, meet in the window that ranks them
-    rows = ids.groupBy("lang").agg(F.count("*").alias("n"))
-    near = ids.join(rows, "lang").where(F.col("order") / F.lit(2.0 ** 64) + 0.5 < 2.0 * sample / F.col("n")).drop("n")
+    rows = {r["lang"]: r["n"] for r in ids.groupBy("lang").agg(F.count("*").alias("n")).collect()}    # one per language
+    part = F.create_map(*[F.lit(x) for lang_, n in rows.items() for x in (lang_, 2.0 * sample / n)]) if rows else None
+    near = ids.where(F.col("order") / F.lit(2.0 ** 64) + 0.5 < part[F.col("lang")]) if rows else ids
     chosen = materialise(near.withColumn("rank", rank).where(F.col("rank") <= sample).drop("order"), "sampled")
     texts = usable.select(F.struct(F.col(lang).alias("lang"), F.col(key).alias("id")).alias("at"), F.col(text).alias("text"))
     drawn = texts.join(chosen.select(F.struct("lang", "id").alias("at"), "rank"), "at").select(
