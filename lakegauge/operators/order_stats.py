@@ -8,8 +8,8 @@ Three narrow scans instead of one full shuffle of the column:
    true minimum and maximum;
 3. only rows of the slices that hold a rank are counted by value, and the value is read off.
 
-An input the planner knows to be small is counted by value in one job instead; the result is the
-same. Every step is an aggregation with map-side combine, so a group with a third of all rows, or one
+A caller who knows that a column has few different values can have it counted by value in one job
+instead; the result is the same. Every step is an aggregation with map-side combine, so a group with a third of all rows, or one
 value on a third of all rows, costs no more than any other. The result is exact for any data:
 the bucket functions only have to be monotone.
 """
@@ -21,11 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from lakegauge.functions.numbers import log_bucket
-from lakegauge.session import estimated_bytes, materialise
+from lakegauge.session import materialise
 
 SLICES = 4096
-# inputs the planner knows to be below this are counted by value in one job instead of three scans
-ONE_JOB_BYTES = 8 << 20
 
 
 def same_group(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
@@ -73,7 +71,7 @@ def _locate(counts: DataFrame, by: list[str], order: str, ranks: Column) -> Data
                 r["name"].alias("name"), (r.k - F.col("_before")).alias("k")))))
 
 
-def exact_ranks(values: DataFrame, group: list[str], ranks: dict[str, object]) -> DataFrame:
+def exact_ranks(values: DataFrame, group: list[str], ranks: dict[str, object], one_job: bool = False) -> DataFrame:
     """Value at each named rank per (group, column).
 
     ``values`` has the group columns, ``column`` and a double ``v``; ``ranks`` maps a name to a
@@ -81,7 +79,7 @@ def exact_ranks(values: DataFrame, group: list[str], ranks: dict[str, object]) -
     """
     by = [*group, "column"]
     wanted = F.array(*[F.struct(F.lit(name).alias("name"), fn(F.col("_n")).alias("k")) for name, fn in ranks.items()])
-    if estimated_bytes(values) <= ONE_JOB_BYTES:
+    if one_job:
         counts = values.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("cnt"))
         return _read_off(_locate(counts, by, "v", wanted), by)
     rows = values.select(*by, "v").withColumn("b1", log_bucket(F.col("v")))
@@ -110,10 +108,10 @@ def _read_off(found: DataFrame, by: list[str]) -> DataFrame:
         *by, F.col("_hit")["name"].alias("name"), F.col("v").alias("value"))
 
 
-def quantiles(values: DataFrame, group: list[str], qs: list[float], definition: str = "lower") -> DataFrame:
+def quantiles(values: DataFrame, group: list[str], qs: list[float], definition: str = "lower", one_job: bool = False) -> DataFrame:
     """Exact quantiles, named by their probability."""
     rank = {"lower": lower_rank, "nearest": nearest_rank}[definition]
-    return exact_ranks(values, group, {str(q): (lambda n, q=q: rank(q, n)) for q in qs})
+    return exact_ranks(values, group, {str(q): (lambda n, q=q: rank(q, n)) for q in qs}, one_job)
 
 
 def median(values: DataFrame, group: list[str]) -> DataFrame:

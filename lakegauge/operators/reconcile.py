@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from dataclasses import dataclass
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakegauge.session import small_table
+from lakegauge.session import materialise, small_table
+from lakegauge.sources import external
 
 
 def source_day(ts: Column, offset_hours: float = 0.0) -> Column:
@@ -18,6 +22,31 @@ def daily_counts(df: DataFrame, day: Column, name: str) -> DataFrame:
     return df.groupBy(day.alias("day")).agg(F.count(F.lit(1)).alias(name))
 
 
+@dataclass
+class SourceCounts:
+    """What reconciliation needs of a source: its column names, rows per day, and all rows."""
+
+    columns: list[str]
+    days: DataFrame | None      # (day, source_rows); None if the source has no time column
+    total: int
+
+
+def count_source(source: DataFrame, time_column: str | None, offset_hours: float = 0.0, day: dt.date | None = None) -> SourceCounts:
+    """Count a source once, by day if it has a time column.
+
+    With ``day`` only that day is read: the bounds are literals on the bare column, so they reach the source. Rows without a
+    time belong to no day but to the total.
+    """
+    if not time_column:
+        return SourceCounts(source.schema.names, None, source.count())
+    if day is not None:
+        source = external.in_window(source, time_column, day, offset_hours)
+    at = source_day(F.col(time_column), offset_hours)
+    days = materialise(daily_counts(source, at, "source_rows"), "source_days")
+    total = days.agg(F.sum("source_rows")).first()[0] or 0
+    return SourceCounts(source.schema.names, days.filter("day IS NOT NULL"), total)
+
+
 def reconcile_counts(landed: DataFrame, source: DataFrame, landed_day: Column, source_day_: Column) -> DataFrame:
     """All days at once: rows landed and rows in the source; a day missing on one side counts zero there."""
     a, b = daily_counts(landed, landed_day, "landed_rows"), daily_counts(source, source_day_, "source_rows")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -26,12 +27,13 @@ class Run:
     exit_code: int                  # 1 if any dataset failed or is broken
 
 
-def run_layers(spark: SparkSession, layers: dict[str, dict[str, Contract]], root: str, *, source: str = "s3",
+def run_layers(spark: SparkSession, layers: dict[str, dict[str, Contract]], root: str, *, where: str = "s3",
                day: str | None = None, rebuild: bool = True, mode: str = "backfill", fallback_latest: bool = False,
-               now: dt.datetime | None = None, **options) -> Run:
+               now: dt.datetime | None = None,
+               sources: dict[str, DataFrame | Callable[[], DataFrame]] | None = None, **options) -> Run:
     """Validate one partition of every dataset: of ``day``, of yesterday by default, the newest for 'auto'.
 
-    Baselines live under ``root/baselines``, results are appended under ``root``.
+    ``sources`` has the relations behind landed tables, by dataset. Baselines live under ``root/baselines``, results are appended under ``root``.
     """
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     chosen = None if day == "auto" else day or yesterday(now)
@@ -42,10 +44,10 @@ def run_layers(spark: SparkSession, layers: dict[str, dict[str, Contract]], root
     def job(c: Contract):
         def run() -> DataFrame:
             if c.name in stale:
-                validate.build_baseline(spark, c, baselines, source)
+                validate.build_baseline(spark, c, baselines, where)
             b = bl.load(spark, baselines, c.name)
-            r = validate.validate(spark, c, b, source=source, day=chosen, fallback_latest=fallback_latest, now=now, mode=mode,
-                                  run_id=run_id, **options)
+            r = validate.validate(spark, c, b, where=where, day=chosen, fallback_latest=fallback_latest, now=now, mode=mode,
+                                  run_id=run_id, source_table=(sources or {}).get(c.name), **options)
             return spark.read.schema(r.schema).parquet(_store(r, root, run_id, c.name))
         return run
 

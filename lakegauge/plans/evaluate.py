@@ -451,14 +451,15 @@ def _join_parts(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def evaluate(frame: DataFrame, c: Contract, base: Baseline, *, now: dt.datetime, mode: str = "backfill",
-             partitions: DataFrame | None = None, unreadable: DataFrame | None = None, source: DataFrame | None = None,
-             source_reason: str | None = None, masters: dict[str, DataFrame] | None = None, samples: int = 0, window_days: int = 1, offset_hours: float = 0.0,
+             partitions: DataFrame | None = None, unreadable: DataFrame | None = None,
+             source: DataFrame | reconcile.SourceCounts | None = None, source_reason: str | None = None,
+             masters: dict[str, DataFrame] | None = None, samples: int = 0, window_days: int = 1, offset_hours: float = 0.0,
              run_id: str | None = None) -> DataFrame:
     """check_results of every partition of ``frame`` (which carries its partition columns).
 
     ``partitions`` (part, part_date, label, bytes, files) makes empty partitions visible and
     enables the size rule; ``unreadable`` (part, part_date, error) turns broken files into
-    findings; ``source`` is the relation behind the landed table; ``masters`` holds the official
+    findings; ``source`` is the relation behind the landed table, or its counts; ``masters`` holds the official
     master tables that the contract's links name.
     """
     spark = frame.sparkSession
@@ -509,18 +510,18 @@ def evaluate(frame: DataFrame, c: Contract, base: Baseline, *, now: dt.datetime,
         p.skip(9, "reconcile", source_reason or ("reconciliation is switched off" if c.source_table
                                                  else "the contract declares no source table"))
     else:
-        lost = [n for n in source.schema.names if n not in compiler.raw_types]
+        counted = source if isinstance(source, reconcile.SourceCounts) else reconcile.count_source(
+            source, c.source_time, c.source_offset_hours)
+        lost = [n for n in counted.columns if n not in compiler.raw_types]
         p.answer(p.rule(9, "source_columns", None), not lost, f"missing {lost}" if lost else None)
         rid = p.rule(9, "row_count", c.source_table)
-        if c.source_time:
-            day = reconcile.source_day(F.col(c.source_time), c.source_offset_hours)
-            # counts per day and, with a null day, of the whole table: what a partition without a date is compared with
-            src = source.select(day.alias("_sd")).groupingSets([[F.col("_sd")], []], F.col("_sd")).agg(
-                F.count(F.lit(1)).alias("_src"), F.grouping_id().alias("_all")).filter("_all = 1 OR _sd IS NOT NULL").drop("_all")
-            m = m.join(src, m[PART_DATE].eqNullSafe(F.col("_sd")), "left").drop("_sd").withColumn(
-                "_src", F.coalesce("_src", F.lit(0)))
+        if counted.days is None:
+            m = m.withColumn("_src", F.lit(counted.total).cast("bigint"))
         else:
-            m = m.withColumn("_src", F.lit(source.count()))
+            # a partition without a date is compared with the whole table
+            src = counted.days.select(F.col("day").alias("_sd"), F.col("source_rows").alias("_src"))
+            m = m.join(src, m[PART_DATE] == F.col("_sd"), "left").drop("_sd").withColumn(
+                "_src", F.when(F.col(PART_DATE).isNull(), F.lit(counted.total)).otherwise(F.coalesce("_src", F.lit(0))))
         p.verdict(rid, F.col("rows") == F.col("_src"), F.col("rows"),
                   observed_text=F.concat(F.lit("source "), F.col("_src").cast("string")))
     m = materialise(m, "metrics")
@@ -587,14 +588,30 @@ def evaluate(frame: DataFrame, c: Contract, base: Baseline, *, now: dt.datetime,
         res = res.join(partitions.select(F.col("part").alias(PART), F.col("label").alias("_label")), PART, "left")
     else:
         res = res.withColumn("_label", F.col(PART))
+    return _results(res, c, run_id or uuid.uuid4().hex, now)
+
+
+def _results(res: DataFrame, c: Contract, run_id: str, now: dt.datetime) -> DataFrame:
     return res.select(
-        F.lit(run_id or uuid.uuid4().hex).alias("run_id"), F.lit(c.name).alias("dataset"),
+        F.lit(run_id).alias("run_id"), F.lit(c.name).alias("dataset"),
         F.col(PART_DATE).alias("part_date"), F.col("_label").alias("partition"), "dim", "category", "rule_id", "rule_kind",
         "column", "severity", "success", "element_count", "missing_count", "unexpected_count", "unexpected_percent",
         "observed_num", "observed_text", "lo", "hi", "sample", "error", "note",
         _instant(now).alias("run_at"))
 
 
+def never_landed(source: reconcile.SourceCounts, partitions: DataFrame, c: Contract, *, now: dt.datetime, run_id: str) -> DataFrame:
+    """A failed row count for every day that the source has and no partition holds."""
+    p = Plan()
+    rid = p.rule(9, "row_count", c.source_table, note="the day never landed")
+    days = source.days.join(partitions.select(F.col("part_date").alias("day")), "day", "left_anti").select(
+        F.col("day").cast("string").alias(PART), F.col("day").alias(PART_DATE), "source_rows")
+    found = _rows(days, [{"rule_id": rid, "success": False, "observed_num": F.lit(0.0),
+                          "observed_text": F.concat(F.lit("source "), F.col("source_rows").cast("string"))}])
+    found = found.join(small_table(days.sparkSession, list(p.meta.values()), _META), "rule_id")
+    return _results(found.withColumns({"sample": F.lit(None).cast("array<string>"), "_label": F.col(PART)}), c, run_id, now)
+
+
 def _z_rules(work: DataFrame, m: DataFrame, p: Plan, threshold: float) -> list[DataFrame]:
     """Outliers by z-score. A partition whose extremes are below the threshold has none; only the others are read again."""
     far = F.lit(False)

@@ -78,11 +78,6 @@ def small_table(spark: SparkSession, rows: list[dict], schema: pa.Schema) -> Dat
     return spark.createDataFrame(pa.Table.from_arrays(cols, schema=schema))
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The planner's size estimate of a frame (an upper bound for scans, projections and filters)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
 def together(**actions: Callable) -> dict:
     """Run independent actions as concurrent Spark jobs, so that the tail of one overlaps with the others."""
     with ThreadPoolExecutor(max_workers=8) as pool:

@@ -21,18 +21,22 @@ def jdbc_table(spark: SparkSession, url: str, table: str, *, split_column: str |
     return r.load()
 
 
-def window_count(source: DataFrame, time_column: str | None = None, day: dt.date | None = None,
-                 offset_hours: float = 0.0) -> DataFrame:
-    """Rows of the source, in the half-open day window if a time column and a day are known.
+def in_window(source: DataFrame, time_column: str, day: dt.date, offset_hours: float = 0.0) -> DataFrame:
+    """Rows of the half-open window of a day.
 
     The bounds are literals on the bare column, so the filter reaches the source.
     """
+    lo = dt.datetime.combine(day, dt.time()) + dt.timedelta(hours=offset_hours)
+    hi = lo + dt.timedelta(days=1)
+    t, kind = F.col(time_column), source.schema[time_column].dataType
+    return source.filter((t >= F.lit(lo.isoformat(sep=" ")).cast(kind)) & (t < F.lit(hi.isoformat(sep=" ")).cast(kind)))
+
+
+def window_count(source: DataFrame, time_column: str | None = None, day: dt.date | None = None,
+                 offset_hours: float = 0.0) -> DataFrame:
+    """Rows of the source, in the window of a day if a time column and a day are known."""
     if time_column and day is not None:
-        lo = dt.datetime.combine(day, dt.time()) + dt.timedelta(hours=offset_hours)
-        hi = lo + dt.timedelta(days=1)
-        t = F.col(time_column)
-        source = source.filter((t >= F.lit(lo.isoformat(sep=" ")).cast(source.schema[time_column].dataType))
-                               & (t < F.lit(hi.isoformat(sep=" ")).cast(source.schema[time_column].dataType)))
+        source = in_window(source, time_column, day, offset_hours)
     return source.agg(F.count(F.lit(1)).alias("source_rows"))
 
 

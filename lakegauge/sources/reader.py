@@ -85,6 +85,14 @@ def align(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
+def shapes(files: DataFrame, probed: DataFrame) -> DataFrame:
+    """(part, shape) of every readable partition; partitions whose files have the same set of schemas share a shape."""
+    schema = F.xxhash64(F.to_json(F.array_sort("columns")))
+    bad = unreadable_parts(files, probed).select("part")
+    return (files.select("path", "part").join(probed.select("path", schema.alias("schema")), "path").join(bad, "part", "left_anti")
+            .groupBy("part").agg(F.xxhash64(F.sort_array(F.collect_set("schema"))).alias("shape")))
+
+
 def read_partitions(spark: SparkSession, files: DataFrame, probed: DataFrame) -> DataFrame:
     """All readable files of the given inventory as one frame.
 

@@ -172,10 +172,10 @@ def _quantile_sql(rank: str) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
-def _quantiles(spark, sf, definition):
+def _quantiles(spark, sf, definition, one_job=False):
     cols = {"value": F.col("value"), "z": F.when(F.col("value") < 60, 0.0).otherwise(F.col("value")), "neg": -F.col("value")}
     long = order_stats.long_values(_events(spark, sf), [PART], cols)
-    q = order_stats.quantiles(long, [PART], [0.5, 0.75, 0.95, 0.99], definition)
+    q = order_stats.quantiles(long, [PART], [0.5, 0.75, 0.95, 0.99], definition, one_job)
     return q.select(F.col(PART).alias("day"), "column", F.col("name").alias("q"), "value")
 
 
@@ -189,6 +189,12 @@ def quantiles_nearest(spark, sf):
     return _quantiles(spark, sf, "nearest")
 
 
+@query("quantiles_in_one_job", _quantile_sql("round_even({q}::DOUBLE * (n - 1), 0)"))
+def quantiles_in_one_job(spark, sf):
+    """The same figures, counted by value at once."""
+    return _quantiles(spark, sf, "nearest", one_job=True)
+
+
 @query("quantiles_of_all_rows", """
 SELECT returnflag, 'l_extendedprice' AS "column", q, v AS value FROM (
   SELECT l_returnflag AS returnflag, l_extendedprice AS v, row_number() OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice) - 1 AS i,

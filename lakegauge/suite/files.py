@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from lakegauge.contract import parse_contract
 from lakegauge.functions import times
 from lakegauge.operators import schema
-from lakegauge.operators.prepare import PART
-from lakegauge.plans import history
+from lakegauge.operators.prepare import PART, with_partition
+from lakegauge.plans import baseline as bl
+from lakegauge.plans import history, validate
 from lakegauge.session import scratch_path
 from lakegauge.sources import external, inventory, reader
 from lakegauge.suite import query
@@ -251,3 +252,36 @@ def contract_catalogue(spark, sf):
         r = table(spark, sf, name).agg(F.lit(name).alias("dataset"), F.count(F.lit(1)).alias("rows"))
         n = r if n is None else n.unionByName(r)
     return c.join(n, "dataset").select("dataset", "columns", F.coalesce("grain", F.lit("-")).alias("grain"), "partitioning", "rows")
+
+
+_WIDE = {"kolom": [{"nama": "event_id", "tipe": "integer"}, {"nama": "ts", "tipe": "datetime"},
+                   {"nama": "value", "tipe": "float", "wajib": False}, {"nama": "filed_at", "tipe": "datetime"}],
+         "kunci": {"surrogate": "event_id", "waktu": "ts"}, "meta_audit": {"wajib": ["filed_at"]}}
+
+
+@query("lake_sweep_schema", f"""
+WITH d AS (SELECT {DAY} AS day, day(ts) AS n, count(*) FILTER (WHERE day(ts) = 20 AND event_type = 'click') AS lost FROM events GROUP BY ALL)
+SELECT day, r AS rule_id, CASE r WHEN '1.column_set' THEN n > 10 WHEN '1.type.filed_at' THEN n > 10 WHEN '1.type.value' THEN n <> 25
+  WHEN '12.audit_columns' THEN n > 10 WHEN '9.source_columns' THEN n > 10 WHEN '9.row_count.events' THEN lost = 0 ELSE true END AS success
+FROM d, (VALUES ('1.column_count'), ('1.column_set'), ('1.type.event_id'), ('1.type.ts'), ('1.type.value'), ('1.type.filed_at'),
+  ('12.audit_columns'), ('9.source_columns'), ('9.row_count.events')) v(r) WHERE n <> 15
+UNION ALL SELECT DISTINCT day, '9.row_count.events', false FROM d WHERE n = 15""")
+def lake_sweep_schema(spark, sf):
+    """All days of a lake with a history, each judged by its own files, and by what the source has of it.
+
+    Up to the tenth day of a month the audit column has an older name, on the 25th a number is text, the 15th never landed and
+    the 20th lacks a kind of event.
+    """
+    root = scratch_path(spark, "drifting")
+    e = table(spark, sf, "events").select("event_id", "ts", "event_type", "value", (F.col("ts") + F.expr("INTERVAL 3 HOURS")).alias("filed_at"))
+    source = e.drop("event_type")
+    n = F.dayofmonth("ts")
+    days = e.filter(~((n == 20) & (F.col("event_type") == "click"))).drop("event_type").withColumn("snapshot_date", F.to_date("ts"))
+    for part in (days.filter(n <= 10).withColumnRenamed("filed_at", "stored_at"), days.filter((n > 10) & ~n.isin(15, 25)),
+                 days.filter(n == 25).withColumn("value", F.col("value").cast("string"))):
+        part.repartition("snapshot_date").write.mode("append").partitionBy("snapshot_date").parquet(root)
+    c = parse_contract("events", {**_WIDE, "sumber": {"s3": root, "sql_server": {"tabel": "events", "kolom_waktu": "ts"}}})
+    learned = bl.learn(with_partition(source, F.to_date("ts")), c)
+    r = validate.validate(spark, c, learned, where="s3", sweep=True, source_table=source)
+    shown = F.col("dim").isin(1, 9) | (F.col("rule_id") == "12.audit_columns")
+    return r.filter(shown).select(F.col("part_date").cast("string").alias("day"), "rule_id", "success")

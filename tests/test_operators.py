@@ -97,10 +97,8 @@ def test_log_bucket_never_decreases(spark):
 
 
 @pytest.mark.parametrize("one_job", [True, False])
-def test_exact_ranks_on_difficult_groups(spark, monkeypatch, one_job):
+def test_exact_ranks_on_difficult_groups(spark, one_job):
     """A hot value, a narrow cluster, negatives, extremes, a single row, and an undated group."""
-    if not one_job:
-        monkeypatch.setattr(order_stats, "ONE_JOB_BYTES", -1)
     rnd = random.Random(7)
     groups = {"hot": [0.0] * 4000 + [rnd.random() for _ in range(999)], "narrow": [1 + rnd.random() * 1e-9 for _ in range(3000)],
               "negative": [-rnd.expovariate(0.01) for _ in range(2001)], "wide": [rnd.choice([-1, 1]) * 10 ** rnd.uniform(-300, 308) for _ in range(1500)],
@@ -109,7 +107,7 @@ def test_exact_ranks_on_difficult_groups(spark, monkeypatch, one_job):
     long = order_stats.long_values(df, ["g"], {"x": F.col("x")})
     qs = [0.0, 0.25, 0.5, 0.75, 0.95, 0.99, 1.0]
     for definition in ("lower", "nearest"):
-        got = {(r["g"], r["name"]): r["value"] for r in order_stats.quantiles(long, ["g"], qs, definition).collect()}
+        got = {(r["g"], r["name"]): r["value"] for r in order_stats.quantiles(long, ["g"], qs, definition, one_job).collect()}
         assert len(got) == len(groups) * len(qs)
         for g, xs in groups.items():
             s = sorted(xs)

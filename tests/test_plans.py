@@ -288,7 +288,7 @@ def lake(spark):
 
 def test_lake_to_findings(spark, lake, learned):
     c = parse_contract("sensor", {**SENSOR, "sumber": {"s3": lake}, "ukuran_berkas": {"rentang": [1, 9000]}})
-    r = outcome(validate.validate(spark, c, learned, source="s3", sweep=True, now=NOW))
+    r = outcome(validate.validate(spark, c, learned, where="s3", sweep=True, now=NOW))
     prefix = "recorded_year=2024/recorded_month=01/recorded_day="
     labels = {k[0] for k in r}
     assert labels == {f"{prefix}01 (2 file)", f"{prefix}02/a.parquet", f"{prefix}03 (2 file)", f"{prefix}04 (2 file)",
@@ -315,12 +315,41 @@ def test_select_one_partition(spark, lake, learned):
     with pytest.raises(inventory.SourceError):
         inventory.select(parts, "mingguan", day="2024-01-09", fallback_latest=True)
     assert str(inventory.select(parts, "mingguan", day="2024-01-07").first()["part_date"]) == "2024-01-01"
-    r = validate.validate(spark, c, learned, source="s3", day="2024-01-02", now=NOW)
+    r = validate.validate(spark, c, learned, where="s3", day="2024-01-02", now=NOW)
     assert {x["partition"] for x in r.collect()} == {"recorded_year=2024/recorded_month=01/recorded_day=02/a.parquet"}
-    only_bad = validate.validate(spark, c, learned, source="s3", day="2024-01-04", now=NOW).collect()
+    only_bad = validate.validate(spark, c, learned, where="s3", day="2024-01-04", now=NOW).collect()
     assert [x["rule_id"] for x in only_bad] == ["11.readable"]
 
 
+def test_lake_sweep_equals_each_day(spark, lake, learned):
+    """Every day alone and in the sweep gives the same rows, whatever the other days' files look like."""
+    c = parse_contract("sensor", {**SENSOR, "sumber": {"s3": lake}})
+    show = lambda df: {k: (x["success"], x["severity"], x["unexpected_count"], x["observed_text"], x["error"]) for k, x in outcome(df).items()}
+    sweep = show(validate.validate(spark, c, learned, where="s3", sweep=True, now=NOW))
+    drifted = {k[1] for k, x in sweep.items() if "day=05" in k[0] and x[0] is False}
+    assert {"1.column_count", "1.column_set", "1.type.id", "1.type.phone"} <= drifted
+    assert all(x[0] for k, x in sweep.items() if "day=02" in k[0] and k[1].startswith("1."))
+    for d in (1, 2, 4, 5, 6):
+        one = show(validate.validate(spark, c, learned, where="s3", day=f"2024-01-0{d}", now=NOW))
+        assert one == {k: x for k, x in sweep.items() if f"day=0{d}" in k[0]}, d
+
+
+def test_source_of_a_lake(spark, lake, learned):
+    c = parse_contract("sensor", {**SENSOR, "sumber": {"s3": lake, "sql_server": {"tabel": "t", "kolom_waktu": "at"}}})
+    src = sensor(spark, sensor_rows(8)).drop(PART, PART_DATE)
+    rows = [r for r in validate.validate(spark, c, learned, where="s3", sweep=True, now=NOW, source_table=lambda: src).collect()
+            if r["rule_id"] == "9.row_count.t"]
+    assert {str(r["part_date"]): r["success"] for r in rows if r["part_date"]} == {
+        "2024-01-01": True, "2024-01-02": True, "2024-01-05": True, "2024-01-06": False, "2024-01-07": False, "2024-01-08": False}
+    one = {r["rule_id"]: r for r in validate.validate(spark, c, learned, where="s3", day="2024-01-02", now=NOW, source_table=src).collect()}
+    assert one["9.row_count.t"]["observed_text"] == "source 96"
+
+    def fails():
+        return spark.read.parquet(f"{lake}/nowhere")
+    lost = {r["rule_id"]: r for r in validate.validate(spark, c, learned, where="s3", day="2024-01-02", now=NOW, source_table=fails).collect()}
+    assert lost["9.reconcile"]["success"] is None and "PATH_NOT_FOUND" in lost["9.reconcile"]["note"]
+
+
 def test_locations(monkeypatch):
     c = parse_contract("d", {"sumber": {"s3": "s3://${NOT_SET_HERE}/x"}, "kolom": ["a"]})
     for source in ("s3", "lokal"):
@@ -389,13 +418,13 @@ def test_batch_over_layers(spark):
     good = parse_contract("good", {**own, "meta_audit": {"wajib": []}})
     lost = parse_contract("lost", {**own, "sumber": {"lokal": f"{root}/none_*.parquet"}})
     strict = parse_contract("strict", own)
-    run = batch.run_layers(spark, {"gold": {"good": good}, "bronze": {"strict": strict, "lost": lost}}, root, source="lokal",
+    run = batch.run_layers(spark, {"gold": {"good": good}, "bronze": {"strict": strict, "lost": lost}}, root, where="lokal",
                            day="2024-01-03", now=NOW)
     got = {(r["layer"], r["dataset"]): r["status"] for r in run.statuses.collect()}
     # the missing audit column counts in bronze; a dataset without files is broken and stops nobody
     assert got == {("gold", "good"): "LOLOS", ("bronze", "strict"): "GAGAL", ("bronze", "lost"): "ERROR"} and run.exit_code == 1
     assert [r["dataset"] for r in run.errors.collect()] == ["lost"]
-    again = batch.run_layers(spark, {"gold": {"good": good}}, root, source="lokal", rebuild=False, day="auto", now=NOW)
+    again = batch.run_layers(spark, {"gold": {"good": good}}, root, where="lokal", rebuild=False, day="auto", now=NOW)
     assert again.exit_code == 0 and {str(r["part_date"]) for r in again.results.select("part_date").distinct().collect()} == {"2024-01-04"}
     assert spark.read.parquet(f"{root}/layer_summary").filter("layer = 'gold' AND dataset IS NULL").first()["checks"] > 0
     history.append_sweep(again.results, root)
