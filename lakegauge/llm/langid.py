@@ -10,7 +10,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,19 +57,34 @@ def vector(count: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return v / n if n else v
 
 
-def _fit_language(pdf: pd.DataFrame, idf: np.ndarray, k: int, rounds: int) -> pd.DataFrame:
+def _packed(count: np.ndarray) -> bytes:
+    """The dimensions that occur, and their counts."""
+    at = np.flatnonzero(count)
+    return at.astype("<u4").tobytes() + count[at].astype("<f4").tobytes()
+
+
+def _unpacked(b: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(b) // 8
+    return np.frombuffer(b, "<u4", n), np.frombuffer(b, "<f4", n, 4 * n)
+
+
+def _fit_language(texts: pa.Table, idf: np.ndarray, k: int, rounds: int) -> pa.Table:
     """Spherical k-means on the vectors of one language: centroids, and the least cosine per length class."""
-    pdf = pdf.sort_values("rank")
-    x = np.stack([vector(np.frombuffer(t, "<f4"), idf) for t in pdf["counts"]])
+    texts = texts.sort_by("rank")
+    x = np.zeros((len(texts), len(idf)), np.float32)
+    for row, packed in zip(x, texts.column("counts")):
+        at, n = _unpacked(packed.as_py())
+        row[at] = vector(n, idf[at])
     c = x[np.linspace(0, len(x) - 1, min(k, len(x))).astype(int)]
     for _ in range(rounds):
         near = (x @ c.T).argmax(1)
-        c = np.stack([x[near == i].sum(0) if (near == i).any() else c[i] for i in range(len(c))])
+        member = (near == np.arange(len(c))[:, None]).astype(np.float32)
+        c = np.where(member.any(1, keepdims=True), member @ x, c)
         c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
-    own, size = (x @ c.T).max(1), pdf["size"].to_numpy()
+    own, size = (x @ c.T).max(1), texts.column("size").to_numpy()
     floor = [float(own[size == i].min()) if (size == i).any() else 0.0 for i in range(8)]
-    return pd.DataFrame({"lang": [pdf["lang"].iloc[0]] * len(c), "centroid": [row.astype("<f4").tobytes() for row in c],
-                         "floor": [floor] * len(c)})
+    return pa.table({"lang": [texts.column("lang")[0].as_py()] * len(c), "centroid": [row.astype("<f4").tobytes() for row in c],
+                     "floor": [floor] * len(c)})
 
 
 def _letters(t: str) -> int:
@@ -98,7 +112,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     drawn = texts.join(chosen.select(F.struct("lang", "id").alias("at"), "rank"), "at").select(
         F.struct("at.lang", "rank").alias("at"), "text")
     train = materialise(per_text(drawn.repartition("at"), "at", "text", lambda: lambda t: (
-        counts(t, dims).astype("<f4").tobytes(), _classes(_letters(t))), "counts binary, size int").select(
+        _packed(counts(t, dims)), _classes(_letters(t))), "counts binary, size int").select(
         "at.*", "counts", "size"), "training")
 
     def seen(batches):                            # documents per dimension: one row of sums per task
@@ -106,7 +120,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
         for b in batches:
             for t in b.column(0).to_pylist():
                 n += 1
-                df += np.frombuffer(t, "<f4") > 0
+                df[_unpacked(t)[0]] += 1
         yield pa.RecordBatch.from_pydict({"n": [n], "df": [df.tolist()]}, schema=pa.schema(
             [("n", pa.int64()), ("df", pa.list_(pa.int64()))]))
 
@@ -115,10 +129,11 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     idf = np.zeros(dims, np.float32)
     for r in total.collect():                     # dims rows
         idf[r["i"]] = np.log((1 + r["n"]) / (1 + r["c"])) + 1
-    def clusters(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _fit_language(pdf, idf, k, ROUNDS)
 
-    got = train.groupBy("lang").applyInPandas(clusters, "lang string, centroid binary, floor array<double>").collect()
+    def clusters(texts: pa.Table) -> pa.Table:
+        return _fit_language(texts, idf, k, ROUNDS)
+
+    got = train.groupBy("lang").applyInArrow(clusters, "lang string, centroid binary, floor array<double>").collect()
     got.sort(key=lambda r: (r["lang"], bytes(r["centroid"])))
     return Model([r["lang"] for r in got],
                  np.stack([np.frombuffer(r["centroid"], "<f4") for r in got]) if got else np.zeros((0, dims), np.float32),
