@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
+from lakegauge.contract import parse_contract
 from lakegauge.functions import text
 from lakegauge.operators import distribution, onepass, rules
 from lakegauge.operators.prepare import with_partition
+from lakegauge.plans import baseline as bl
+from lakegauge.plans.evaluate import evaluate
 from lakegauge.suite import query
 from lakegauge.suite.common import DAILY_EVENTS, PART, PART_DATE, daily_events, rule_sql, rule_table, table
 
@@ -249,3 +254,21 @@ def rule_samples(spark, sf):
     s = onepass.samples(table(spark, sf, "lineitem"), ["l_returnflag"], [
         rules.between("range:l_quantity", "l_quantity", hi=45), rules.in_set("allowed:l_linestatus", "l_linestatus", ["F"])])
     return s.select(F.col("l_returnflag").alias("flag"), "rule_id", F.array_join("sample", ",").alias("sample"))
+
+
+@query("rule_errors", f"""
+SELECT day, '6.predicate.gone' AS rule_id, false AS success, 0::BIGINT AS unexpected, true AS has_error FROM {DAILY_EVENTS} GROUP BY 1
+UNION ALL SELECT day, '6.allowed_values.event_type', count(event_type) = 0, CAST(count(event_type) AS BIGINT), false FROM {DAILY_EVENTS} GROUP BY 1
+UNION ALL SELECT day, '4.not_null.lost', false, 0, true FROM {DAILY_EVENTS} GROUP BY 1
+UNION ALL SELECT day, '4.not_null.event_id', true, 0, false FROM {DAILY_EVENTS} GROUP BY 1""")
+def rule_errors(spark, sf):
+    """Rules that can't work (an unknown column, allowed values of another type) are rows like any other."""
+    c = parse_contract("events", {
+        "kolom": [{"nama": "event_id", "tipe": "integer"}, {"nama": "event_type", "wajib": False}, {"nama": "lost", "tipe": "integer"}],
+        "validasi": {"data_quality": [{"check": "gone", "validation": "no_such_column > 1", "columns": []}]},
+        "distribusi": [{"kolom": "event_type", "expected_values": [1, 2]}]})
+    e = daily_events(spark, sf)
+    r = evaluate(e, c, bl.learn(e, c), now=dt.datetime(2024, 6, 1))
+    shown = r.filter(F.col("rule_id").isin("6.predicate.gone", "6.allowed_values.event_type", "4.not_null.lost", "4.not_null.event_id"))
+    return shown.select(F.col("part_date").cast("string").alias("day"), "rule_id", "success",
+                        F.coalesce("unexpected_count", F.lit(0)).alias("unexpected"), F.col("error").isNotNull().alias("has_error"))

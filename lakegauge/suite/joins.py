@@ -190,6 +190,17 @@ def reconcile_rows(spark, sf):
     return r.groupBy("status").agg(F.count(F.lit(1)).alias("keys"))
 
 
+@query("reconcile_rows_drifted", """
+SELECT CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'changed' ELSE 'match' END AS status, CAST(count(*) AS BIGINT) AS keys
+FROM orders GROUP BY 1""")
+def reconcile_rows_drifted(spark, sf):
+    """A number that landed as text: equal where it still reads as the number, changed where it does not or is null."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    landed = o.withColumn("o_custkey", F.expr("CASE o_orderpriority WHEN '1-URGENT' THEN 'n/a' WHEN '2-HIGH' THEN NULL ELSE CAST(o_custkey AS STRING) END"))
+    r = reconcile.reconcile_rows(o, landed, ["o_orderkey"], ["o_custkey", "o_orderstatus"])
+    return r.groupBy("status").agg(F.count(F.lit(1)).alias("keys"))
+
+
 @query("reconcile_repeated_keys", """
 WITH s AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2),
 l AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem WHERE l_returnflag <> 'A' GROUP BY 1, 2)
@@ -259,10 +270,10 @@ def schema_against_contract(spark, sf):
 
 @query("audit_columns_present", """
 SELECT name AS "column", CASE WHEN name = 'o_orderdate' THEN (SELECT count(*) FROM orders) ELSE 0 END AS present,
-  name = 'o_orderdate' AS success FROM (VALUES ('o_orderdate'), ('bronze_inserted_at'), ('job_run_id')) v(name)""")
+  name = 'o_orderdate' AS success FROM (VALUES ('o_orderdate'), ('filed_at'), ('filed_by')) v(name)""")
 def audit_columns_present(spark, sf):
     """Audit columns that must be in the file and filled, whatever the contract lists."""
-    o, audit = table(spark, sf, "orders"), ["o_orderdate", "bronze_inserted_at", "job_run_id"]
+    o, audit = table(spark, sf, "orders"), ["o_orderdate", "filed_at", "filed_by"]
     lost = schema.missing_audit_columns(o, audit).withColumn("success", F.lit(False))
     kept = reconcile.common_columns(o, o.select(*[a for a in audit if a in o.columns])).withColumn("success", F.lit(True))
     return _present(lost.unionByName(kept), o)
