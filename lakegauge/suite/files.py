@@ -18,7 +18,8 @@ from lakegauge.suite import query
 from lakegauge.suite.common import table
 
 DAY = "CAST(CAST(ts AS DATE) AS VARCHAR)"
-_TABLES = ("customer", "documents", "events", "lineitem", "orders", "pages", "part")
+_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages",
+           "benchmark", "labels", "conversations")
 _LAKES: dict[tuple[str, str, bool], str] = {}
 
 

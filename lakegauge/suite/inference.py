@@ -11,8 +11,9 @@ from lakegauge.plans import infer
 from lakegauge.suite import query
 from lakegauge.suite.common import DAILY_EVENTS, daily_events, table
 
-_PROFILED = {"documents": ["doc_id", "lang", "source", "n_chars"], "customer": ["c_custkey", "c_name", "c_acctbal", "c_mktsegment"]}
-_KINDS = {"doc_id": "integer", "n_chars": "integer", "c_custkey": "integer", "c_acctbal": "float"}
+_PROFILED = {"documents": ["doc_id", "text", "lang", "source", "n_chars"],
+             "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]}
+_KINDS = {"doc_id": "integer", "n_chars": "integer", "c_custkey": "integer", "c_nationkey": "integer", "c_acctbal": "float"}
 
 
 @query("profile_columns", " UNION ALL ".join(
