@@ -1,10 +1,14 @@
 """Personal data: wide generators propose spans, boosted trees judge them, thresholds from held-out counts select.
 
 Strict patterns give the base spans, which always stay. Two wide generators (mail-like and number-like strings) propose
-candidates that overlap them and others. A candidate's features are a few small whole numbers about its format and context,
-so all candidates of the corpus fold into one table of bounded size (the product of the features' levels): documents held out
-or not, features, candidates, and how many of them a strict pattern confirms. Trees are boosted on the fold's training part,
-each generator's threshold comes from its held-out part, and scores are computed as column expressions.
+candidates; those that overlap no base span may be added. What the trees learn and are calibrated on is evidence that the
+strict patterns don't give (``_shown``): a disguised address that reads as a strict one when '(at)' and '(dot)' are undone, an
+area code in parentheses, a checksum in card layout, or a cue word before the candidate. Cue words are no feature, so what
+cued candidates have in common also finds those without a cue. A candidate's features are a few small whole numbers about its
+format and surroundings, so all candidates of the corpus fold into one table of bounded size (the product of the features'
+levels): documents held out or not, features, candidates, and how many of them the evidence shows to be personal. Trees are
+boosted on the fold's training part, each generator's threshold comes from its held-out part, and scores are computed as
+column expressions.
 """
 
 from __future__ import annotations
@@ -26,22 +30,28 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}+",
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    "mail": rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]++(?: ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z0-9-]++)*+",
+    "mail": rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++ ?(?:@|\(at\)|\[at\]) ?[A-Za-z0-9-]++(?:(?:\.| \. ?| ?\(dot\) ?| ?\[dot\] ?)[A-Za-z0-9-]++)*+",
     "number": r"(?<![0-9])[+(]{0,2}[0-9](?:[ ()./:-]{0,2}[0-9]){6,}+",
 }
 _HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][ -]?[0-9]", "phone": r"\+[0-9]", "mail": r"@|[(\[]at[)\]]",
           "number": "[0-9][ ()./:-]{0,2}[0-9]"}
-_CUES = r"(?i)(?:mail|contact|call|phone|tel|fax|mobile|card|visa|account|iban|address|server|host|write)\W*(?:\w+\W+)?$"
-#: feature: (expression over m (match), b (text before), a (text after), d (digits of m), number of levels)
+#: words before a candidate that say what it is; up to two small words may stand between
+_JOIN = r"\W*(?:(?:me|us|at|on|is|to|no|nr|number|address|my|our|under)\W+){0,2}$"
+_CUES = {"mail": rf"(?i)\b(?:e-?mail|mail|contact|write|reach){_JOIN}", "card": rf"(?i)\b(?:card|visa|mastercard|amex){_JOIN}",
+         "phone": rf"(?i)\b(?:call|phone|telephone|tel|telefon|fax|mobile|cell){_JOIN}"}
+_ADDRESS = rf"^{_LOCAL}++@(?:[A-Za-z0-9-]++\.)++[A-Za-z]{{2,}}$"
+_AREA = r"^\((?:0[0-9]{1,4}|[2-9][0-9]{2})\)[ ./-]{0,2}[0-9]{3,4}[ .-]?[0-9]{3,5}$"
+_FOURS = r"^[3-6][0-9]{3}([ ./-]{1,2})[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}$"
+_DATE = r"^(?:[0-9]{1,2}[./-][0-9]{1,2}[./-][0-9]{4}|[0-9]{4}[./-][0-9]{1,2}[./-][0-9]{1,2})(?:[ .:/-]|$)"
+#: feature: (expression over m (match), b (text before), a (text after), d (digits of m), number of levels); no cue words
 FEATURES = {
     "digits": ("CASE WHEN length(d) < 9 THEN 0 WHEN length(d) < 12 THEN 1 WHEN length(d) < 16 THEN 2 WHEN length(d) < 20 THEN 3 ELSE 4 END", 5),
     "marks": (r"CASE WHEN m RLIKE '[()\\[\\]]' THEN 3 WHEN m RLIKE '[ /:-]' THEN 2 WHEN m LIKE '%.%' THEN 1 ELSE 0 END", 4),
     "sign": ("CASE WHEN m LIKE '+%' THEN 2 WHEN m LIKE '%@%' THEN 1 ELSE 0 END", 3),
     "before": (r"CASE WHEN b = '' OR b RLIKE '\\s$' THEN 0 WHEN b RLIKE '[\\p{L}0-9]$' THEN 2 ELSE 1 END", 3),
     "after": (r"CASE WHEN a = '' OR a RLIKE '^\\s' THEN 0 WHEN a RLIKE '^[\\p{L}0-9]' THEN 2 ELSE 1 END", 3),
-    "cue": ("CAST(cue AS INT)", 2),
     "groups": ("least(3, length(regexp_replace(m, '[0-9A-Za-z]+', '')) )", 4),
-    "ending": (r"CASE WHEN m RLIKE '\\.[A-Za-z]{2,}$' THEN 2 WHEN m RLIKE '\\.[0-9]{1,3}$' THEN 1 ELSE 0 END", 3),
+    "ending": (r"CASE WHEN m RLIKE '(\\.|[(\\[]dot[)\\]]) ?[A-Za-z]{2,}$' THEN 2 WHEN m RLIKE '\\.[0-9]{1,3}$' THEN 1 ELSE 0 END", 3),
 }
 ROUNDS, RATE, PRECISION = 24, 0.4, 0.95
 
@@ -83,8 +93,20 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
+def _shown(kind: str, m: Column, b: Column) -> Column:
+    """Whether format, checksum or a cue word shows that a candidate of a wide generator is personal."""
+    if kind == "mail":
+        plain = F.regexp_replace(F.regexp_replace(m, r" ?[(\[]at[)\]] ?", "@"), r" ?[(\[]dot[)\]] ?", ".")
+        return F.when(b.rlike(_CUES["mail"]), F.regexp_replace(plain, " ", "")).otherwise(plain).rlike(_ADDRESS)
+    size = F.length(_digits(m))
+    phone = size.between(7, 15) & (m.rlike(_AREA) | b.rlike(_CUES["phone"]) & ~m.rlike(_DATE))
+    card = size.between(12, 19) & (m.rlike(_FOURS) | b.rlike(_CUES["card"])) & F.call_function("luhn_check", _digits(m))
+    return phone | card
+
+
 def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, base, wide): base spans (start, rank, end), and wide spans with ``confirmed`` (a base span overlaps) and features."""
+    """(key, base, wide): base spans (start, rank, end), and wide spans with ``confirmed`` (a base span overlaps), ``shown`` (evidence that
+    the base patterns don't give) and what features need."""
     rank = {k: i for i, k in enumerate(KINDS)}
 
     def strict(kind):
@@ -95,7 +117,7 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
         return F.transform(F.col(f"_{kind}"), lambda s: F.struct(
             s["start"].alias("start"), F.lit(rank[kind]).alias("rank"), s["end"].alias("end"),
             F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])).alias("confirmed"),
-            s["m"].alias("m"), s["b"].alias("b"), s["a"].alias("a"), _digits(s["m"]).alias("d"), s["b"].rlike(_CUES).alias("cue")))
+            s["m"].alias("m"), s["b"].alias("b"), s["a"].alias("a"), _digits(s["m"]).alias("d"), _shown(kind, s["m"], s["b"]).alias("shown")))
 
     t = docs.select(F.col(key), whole(text).alias("_t"))
     found = t.select(key, *[_spans(F.col("_t"), k).alias(f"_{k}") for k in KINDS])
@@ -106,12 +128,12 @@ def candidates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 def _features(x: str) -> dict[str, str]:
     """Feature expressions of a candidate that is the lambda variable ``x``."""
     import re
-    return {name: re.sub(r"\b(m|b|a|d|cue)\b(?! *\()", rf"{x}.\1", e) if name != "ending" else e.replace("m RLIKE", f"{x}.m RLIKE")
+    return {name: re.sub(r"\b(m|b|a|d)\b(?! *\()", rf"{x}.\1", e) if name != "ending" else e.replace("m RLIKE", f"{x}.m RLIKE")
             for name, (e, _) in FEATURES.items()}
 
 
 def boost(rows: list[tuple[tuple[int, ...], int, int]], rounds: int = ROUNDS, rate: float = RATE) -> tuple[float, list]:
-    """Boosted trees of depth 2 for (features, candidates, confirmed): first score, and trees (f, t, (f, t, lo, hi), (..)).
+    """Boosted trees of depth 2 for (features, candidates, shown to be personal): first score, and trees (f, t, (f, t, lo, hi), (..)).
 
     A split ``(f, t)`` sends values up to ``t`` to its first side. Leaves are Newton steps of the logistic loss.
     """
@@ -156,7 +178,7 @@ def _score_sql(model, features: list[str]) -> str:
 
 
 def threshold(rows: list[tuple[tuple[int, ...], int, int]], model, precision: float = PRECISION) -> float | None:
-    """Least score at and above which the lower Wilson bound (95 %) of the confirmed share reaches ``precision``."""
+    """Least score at and above which the lower Wilson bound (95 %) of the share shown to be personal reaches ``precision``."""
     start, trees = model
     by: dict[float, list[int]] = {}
     for x, n, pos in rows:
@@ -183,10 +205,11 @@ def private(docs: DataFrame, key: str = "doc_id", text: str = "text", precision:
     calibrate a generator, it adds nothing.
     """
     made = materialise(candidates(docs, key, text), "candidates")
-    fold = made.select((F.pmod(F.xxhash64(key), F.lit(3)) == 0).alias("held"), F.explode("wide").alias("x"))
+    fold = made.select((F.pmod(F.xxhash64(key), F.lit(3)) == 0).alias("held"),
+                       F.explode(F.filter("wide", lambda s: ~s["confirmed"])).alias("x"))     # those that may be added
     named = _features("x")
     table = fold.groupBy("held", F.col("x.rank").alias("rank"), *[F.expr(e).alias(n) for n, e in named.items()]).agg(
-        F.count("*").alias("n"), F.count_if("x.confirmed").alias("pos"))
+        F.count("*").alias("n"), F.count_if("x.shown").alias("pos"))
     rows = sorted(table.collect(), key=lambda r: tuple(r))      # at most two times the product of the levels per generator
     chosen = []
     for kind in KINDS[4:]:
