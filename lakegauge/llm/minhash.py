@@ -25,7 +25,6 @@ from lakegauge.llm.common import bounded_batches, whole
 from lakegauge.session import materialise
 
 PERMUTATIONS = 32
-_NO_KEY = (1 << 63) - 1
 
 
 def band_rows(threshold: int, values: int = 2 * PERMUTATIONS, miss: float = 1e-5) -> int:
@@ -51,11 +50,19 @@ def _names(sets: np.ndarray, ends: np.ndarray) -> list[bytes]:
     return [r.tobytes() for r in cut.astype("<u8")]
 
 
+def _node(key: str, row: Column, always: bool) -> Column:
+    """Node of a row, in the order of keys with null keys last; with ``always`` or without a key, each row is its own node."""
+    k, none = F.col(key).cast("long"), F.col(key).isNull()
+    return F.struct(none.cast("int").alias("nokey"), F.coalesce(k, F.lit(0)).alias("key"),
+                    (row if always else F.when(none, row).otherwise(F.lit(0))).alias("row"))
+
+
 def _sketches(size: int, permutations: int, rows: int):
-    schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("c", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    fields = [pa.field("n", pa.int64()), pa.field("c", pa.binary()), pa.field("bands", pa.list_(pa.int64()))]
 
     def run(batches):
         for b in batches:
+            schema = pa.schema([b.schema.field(0), *fields])
             for at, texts in _slices(b.column(1)):
                 sets, ends = shingles.shingle_sets(texts, size)
                 n = np.diff(ends)
@@ -158,20 +165,11 @@ def _residual(star: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
     return by_hub.select(*cols).unionByName(by_index.select(*cols)).distinct()
 
 
-def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, threshold: int = 85,
-                permutations: int = PERMUTATIONS) -> DataFrame:
-    """One row per document: (key, n_shingles, component_id, kept).
-
-    Words are separated by white space, A-Z count as a-z; a document's set has its distinct shingles of ``size`` words, or
-    its whole sequence if it is shorter. Documents link at ``threshold`` per cent of intersection over union; a component's
-    id is its smallest key and that document is kept. Null and empty texts have no set and link with nothing. Rows that share
-    a key belong together whatever their texts; null keys come after all others. Keys are whole numbers. Other columns are
-    ignored; an empty table gives no rows.
-    """
-    bounded_batches(docs.sparkSession)
+def _grouped(light: DataFrame, size: int, threshold: int, permutations: int) -> DataFrame:
+    """(id, n, component) of every row of ``light`` (id, text), a written table; ids are nodes, a component is its smallest."""
     rows = band_rows(threshold, 2 * permutations)
-    light = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(_NO_KEY)).alias("id"), whole(text).alias("text"))
-    sketch = materialise(light.mapInArrow(_sketches(size, permutations, rows), "id long, n long, c binary, bands array<bigint>"),
+    node = light.schema["id"].dataType.simpleString()
+    sketch = materialise(light.mapInArrow(_sketches(size, permutations, rows), f"id {node}, n long, c binary, bands array<bigint>"),
                          "sketches")
     classes = materialise(sketch.where("n > 0").groupBy("c").agg(
         F.min("id").alias("rep"), F.first("n").alias("n"), F.count("*").alias("copies"), F.first("bands").alias("bands")),
@@ -180,7 +178,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     filled = entries.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
     shared = materialise(entries.join(filled, "key"), "buckets")
     scored = shared.join(shared.groupBy("c").agg(F.sum("members").alias("score")), "c")
-    hubs = scored.groupBy("key").agg(F.max_by(F.struct("c", "id", "n"), F.struct("score", -F.col("id"))).alias("h"))
+    hubs = scored.groupBy("key").agg(F.min_by(F.struct("c", "id", "n"), F.struct(-F.col("score"), "id")).alias("h"))
     star = scored.join(hubs, "key").where(F.col("c") != F.col("h.c")).select(
         F.col("c").alias("ca"), F.col("id").alias("a"), F.col("n").alias("na"),
         F.col("h.c").alias("cb"), F.col("h.id").alias("b"), F.col("h.n").alias("nb")).distinct()
@@ -205,14 +203,33 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     named = _labelled(_labelled(classes.select("c", "rep", "copies"), first, "rep", "l1"), second, "l1", "component")
     named = named.where("copies > 1 OR component <> rep").select(F.col("c").alias("_c"), "component")
     out = sketch.join(named, F.col("c") == F.col("_c"), "left")
-    component = F.coalesce("component", "id")
-    own = lambda x: F.nullif(x, F.lit(_NO_KEY).cast("long"))
-    return out.select(own(F.col("id")).alias(key), F.col("n").alias("n_shingles"), own(component).alias("component_id"),
-                      (F.col("id") == component).alias("kept"))
+    return out.select("id", "n", F.coalesce("component", "id").alias("component"))
+
+
+def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 3, threshold: int = 85,
+                permutations: int = PERMUTATIONS) -> DataFrame:
+    """One row per document: (key, n_shingles, component_id, kept).
+
+    Words are separated by white space, A-Z count as a-z; a document's set has its distinct shingles of ``size`` words, or
+    its whole sequence if it is shorter. Documents link at ``threshold`` per cent of intersection over union; a component's
+    id is its smallest key and that document is kept. Null and empty texts have no set and link with nothing. Rows that share
+    a key belong together whatever their texts. A row with a null key is a document of its own and comes after all keys; a
+    component of such rows has no id and keeps one of them. Keys are whole numbers. Other columns are ignored; an empty table
+    gives no rows.
+    """
+    bounded_batches(docs.sparkSession)
+    light = materialise(docs.select(_node(key, F.monotonically_increasing_id(), False).alias("id"), whole(text).alias("text")),
+                        "texts")                          # written, as it is read twice and row numbers must stay
+    named = lambda x: F.when(F.col(x)["nokey"] == 0, F.col(x)["key"])
+    return _grouped(light, size, threshold, permutations).select(
+        named("id").alias(key), F.col("n").alias("n_shingles"), named("component").alias("component_id"),
+        (F.col("id") == F.col("component")).alias("kept"))
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, threshold: int = 80) -> DataFrame:
-    """The documents whose key is the smallest of their component, with their columns."""
-    gone = materialise(near_groups(docs, key, text, size, threshold).where("NOT kept").select(F.col(key).alias("_key")).distinct(),
-                       "near")
-    return docs.join(gone, F.col(key).eqNullSafe(F.col("_key")), "left_anti")
+    """One document of each component with its columns, that of the smallest key; only similar texts link, never equal keys."""
+    bounded_batches(docs.sparkSession)
+    rows = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    light = rows.select(_node(key, F.col("_row"), True).alias("id"), whole(text).alias("text"))
+    gone = materialise(_grouped(light, size, threshold, PERMUTATIONS).where("id <> component").select("id.row"), "near")
+    return rows.join(gone, F.col("_row") == F.col("row"), "left_anti").drop("_row")
