@@ -88,6 +88,13 @@ LICENSES: dict[str, tuple[tuple[str, ...], str, str, str]] = {
     "cc-by-nc-nd": (("by",), r"(?:cc by nc nd|creative commons attribution non ?commercial no ?deriv(?:ative)?s)(?: \d 0)?", r"cc by nc nd \d 0", r"creativecommons org licenses by nc nd \d 0"),
 }
 _SPELLED = "creative commons"
+#: the header of source files: label: (keywords, name, version); the version comes behind the publisher
+HEADERS: dict[str, tuple[tuple[str, ...], str, str]] = {
+    "gpl-1": (("general",), "gnu general", "1(?: 0)?"), "gpl-2": (("general",), "gnu general", "2(?: 0)?"),
+    "gpl-3": (("general",), "gnu general", "3(?: 0)?"), "lgpl-2": (("general",), "gnu (?:library|lesser) general", "2(?: 0)?"),
+    "lgpl-2.1": (("lesser",), "gnu lesser general", "2 1"), "lgpl-3": (("lesser",), "gnu lesser general", "3(?: 0)?"),
+    "agpl-3": (("affero",), "gnu affero general", "3(?: 0)?"),
+}
 _NOTICE = "(?:licen[sc]ed|released|distributed|available|published|provided|covered|offered|redistributed) under (?:the |an? )?(?:terms of (?:the )?)?"
 #: sentences that only one license has
 SENTENCES = {
@@ -112,13 +119,16 @@ class Rule(NamedTuple):
 
 
 def _rules() -> tuple[Rule, ...]:
-    """All rules, highest priority first: tag, sentence, notice, address, later-version form, bare name; base phrases last."""
+    """All rules, highest priority first: tag, sentence, notice and header, later-version form, address, bare name; base phrases last."""
     out = []
     for label, (keys, name, tag, address) in LICENSES.items():
         if keys == ("by",):
             keys = ("cc",) if name.startswith("(?:cc") else keys
         out.append(Rule(label, "tag", 6, 1.0, ("spdx",), f"spdx licen[sc]e identifier {tag}"))
         spelled = [(keys, name)]
+        if label.startswith("cddl"):
+            tail = name[name.index(")") + 1:]
+            spelled = [(("cddl",), "cddl" + tail), (("distribution",), f"common development and distribution {_LIC}" + tail)]
         if _SPELLED in name:                      # the short and the spelled form have different keywords
             short, rest = name[3:].split("|creative commons", 1)
             tail = rest[rest.index(")") + 1:] if "deriv" not in rest else rest[rest.rindex("s)") + 2:]
@@ -131,6 +141,10 @@ def _rules() -> tuple[Rule, ...]:
         if address:
             first = address.split(" ")[0]
             out.append(Rule(label, "address", 2, 0.9, (first,), address))
+    for label, (keys, name, version) in HEADERS.items():
+        out.append(Rule(label, "header", 4, 0.95, (*keys, "published"),
+                        rf"{name} public {_LIC}(?: [al]?gpl)? as published by the free software foundation(?: inc)?(?: either)? {_VER}"
+                        rf"{version}(?! \d )(?: of the {_LIC})?(?: or (?:at your option )?any later version)?"))
     for label, s in SENTENCES.items():
         word = max(re.findall(r"[a-z]+", s), key=len)
         out.append(Rule(label, "sentence", 5, 0.6 if label in ("all-rights-reserved", "public-domain") else 1.0,
