@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegauge.llm import binary, bpe, dedup, langid, licenses, minhash, mixing, pii, quality, secrets
+from lakegauge.llm import binary, bpe, dedup, langid, licenses, merkle, minhash, mixing, pii, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -164,3 +164,54 @@ def op3_personal_data(spark: SparkSession, sf: str) -> DataFrame:
     counts = lambda k: F.size(F.filter("base", lambda s: s["rank"] == pii.KINDS.index(k))).cast("long").alias(f"n_{k}")
     return found.select("doc_id", *[counts(k) for k in pii.KINDS[:4]], F.sha2(line(F.col("base")), 256).alias("base_sha256"),
                         line(F.col("spans")).alias("spans"))
+
+
+_LEVELS = 6                                              # trees of up to 16^6 leaves
+_FIELDS = lambda text: " || ".join(
+    f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')" for c in ("doc_id", "source", "lang", "n_chars", text))
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_CRC = """xor(list_reduce(list_concat([4294967295::UBIGINT], list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+  lambda c: CAST(ascii(c) AS UBIGINT))), lambda a, b: list_reduce(list_concat([xor(a, b)], list_transform(range(8),
+  lambda i: CAST(i AS UBIGINT))), lambda x, i: xor(x >> 1, 3988292384::UBIGINT * (x & 1)))), 4294967295::UBIGINT)"""
+
+
+def _climb(nodes: str, group: str, tag: str) -> str:
+    """CTEs of all levels over ``nodes`` (group, i, d, n); a tree that has one node stays as it is."""
+    out = f"{tag}0 AS (SELECT {group} AS g, i, d, n FROM {nodes})"
+    for k in range(_LEVELS):
+        out += f""", {tag}{k + 1} AS (SELECT g, i // 16 AS i, CASE WHEN any_value(n) > 1 THEN sha256(string_agg(d, '' ORDER BY i))
+          ELSE any_value(d) END AS d, (any_value(n) + 15) // 16 AS n FROM {tag}{k} GROUP BY g, i // 16)"""
+    return out
+
+
+def _fold(start: str, tree: str, tag: str, group: str) -> str:
+    """CTEs that carry (doc_id, ..., f, proof) of ``start`` through the levels of a tree along ``gi``."""
+    out, last = "", start
+    for k in range(_LEVELS):
+        out += f""", {tag}{k} AS (SELECT p.doc_id, any_value(p.{group}) AS {group}, p.gi // 16 AS gi,
+          CASE WHEN any_value(t.n) > 1 THEN sha256(string_agg(CASE WHEN t.i = p.gi THEN p.f ELSE t.d END, '' ORDER BY t.i))
+            ELSE any_value(p.f) END AS f,
+          any_value(p.proof) || coalesce(string_agg(t.d, '' ORDER BY t.i) FILTER (WHERE t.i <> p.gi), '') AS proof
+          FROM {last} p JOIN {tree}{k} t ON t.g = p.{group} AND t.i // 16 = p.gi // 16 GROUP BY p.doc_id, p.gi // 16)"""
+        last = f"{tag}{k}"
+    return out
+
+
+@_query(f"""
+WITH l AS (SELECT doc_id, coalesce('=' || source, '') AS g, sha256({_FIELDS("text")}) AS leaf,
+   CASE WHEN {_CRC} % 5 = 0 THEN sha256({_FIELDS(_LOWER)}) END AS forged FROM documents),
+ r AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS n FROM l),
+ leaves AS (SELECT g, i, leaf AS d, n FROM r), {_climb("leaves", "g", "a")},
+ s AS (SELECT g AS src, d, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n FROM a{_LEVELS}), {_climb("s", "0", "b")},
+ start AS (SELECT doc_id, g, i AS gi, coalesce(forged, leaf) AS f, '' AS proof FROM r)
+ {_fold("start", "a", "x", "g")},
+ up AS (SELECT doc_id, 0 AS top, s.i AS gi, f, proof, d AS subroot FROM x{_LEVELS - 1} JOIN s ON src = x{_LEVELS - 1}.g)
+ {_fold("up", "b", "y", "top")}
+SELECT doc_id, leaf, subroot, b{_LEVELS}.d AS root, sha256(y{_LEVELS - 1}.proof) AS proof_sha256, y{_LEVELS - 1}.f AS folded_root,
+  y{_LEVELS - 1}.f = b{_LEVELS}.d AS verified
+FROM y{_LEVELS - 1} JOIN r USING (doc_id) JOIN up USING (doc_id), b{_LEVELS}""")
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Leaf, proof and folded root of every document; every fifth key's text is tampered with before folding."""
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    fifth = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    return merkle.manifest(_table(spark, sf, "documents"), tamper={"text": lower}, tampered=fifth)
