@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegauge.llm import binary, bpe, dedup, langid, licenses, merkle, minhash, mixing, pii, quality, secrets
+from lakegauge.llm import binary, bpe, codes, dedup, langid, licenses, merkle, minhash, mixing, pii, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -215,3 +215,38 @@ def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
     lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     fifth = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
     return merkle.manifest(_table(spark, sf, "documents"), tamper={"text": lower}, tampered=fifth)
+
+
+def _book(distances: str) -> str:
+    """Nearest entries under a table (id, p, e, d)."""
+    return f"SELECT id, p, arg_min(e, (d, e)) AS e, min(d) AS d FROM {distances} GROUP BY id, p"
+
+
+def _distances(book: str) -> str:
+    return (f"SELECT v.id, v.p, b.e, CAST(list_sum(list_transform(list_zip(v.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d "
+            f"FROM v JOIN {book} b ON b.p = v.p")
+
+
+def _means(codes: str, book: str) -> str:
+    return f"""SELECT b.p, b.e, coalesce(m.x, b.x) AS x FROM {book} b LEFT JOIN (
+      SELECT p, e, list(CAST(floor(s / n) AS BIGINT) ORDER BY i) AS x FROM (
+        SELECT c.p, c.e, i, sum(v.x[i]) AS s, count(*) AS n FROM {codes} c JOIN v USING (id, p), range(1, 1000) r(i)
+        WHERE i <= len(v.x) GROUP BY ALL) GROUP BY p, e) m ON m.p = b.p AND m.e = b.e"""
+
+
+@_query(f"""
+WITH k AS (SELECT vec_id AS id, label, list_transform(embedding, lambda c: CAST(floor(256 * CAST(c AS DOUBLE)) AS BIGINT)) AS x
+   FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+ v AS MATERIALIZED (SELECT id, p, x[p * len(x) // 16 + 1 : (p + 1) * len(x) // 16] AS x FROM k, range(16) r(p)),
+ s AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS e FROM k ORDER BY id LIMIT 64),
+ b0 AS MATERIALIZED (SELECT p, e, x FROM v JOIN s USING (id)),
+ d0 AS ({_distances("b0")}), c0 AS MATERIALIZED ({_book("d0")}), b1 AS MATERIALIZED ({_means("c0", "b0")}),
+ d1 AS ({_distances("b1")}), c1 AS MATERIALIZED ({_book("d1")}), b2 AS MATERIALIZED ({_means("c1", "b1")}),
+ d2 AS ({_distances("b2")}), c2 AS MATERIALIZED ({_book("d2")}),
+ e AS (SELECT id AS vec_id, label, string_agg(printf('%02x', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error
+       FROM c2 JOIN k USING (id) GROUP BY ALL)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM b2) AS codebooks_sha256 FROM e""")
+def op11_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """Code and error of every vector."""
+    return codes.coded(_table(spark, sf, "embeddings")).drop("label")

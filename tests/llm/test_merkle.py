@@ -76,7 +76,7 @@ def test_positions_are_those_of_the_log(n):
         assert [log[merkle.position(level, i, n, height)] for i in range(len(nodes))] == nodes
 
 
-@pytest.mark.parametrize("height", [1, 2, 3])
+@pytest.mark.parametrize("height", [1, 3])
 def test_manifest_against_plain_tree(spark, height):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     assert built(docs, height) == plain([r.asDict() for r in docs.collect()])
