@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakegauge.llm import binary, bpe, codes, dedup, langid, licenses, merkle, minhash, mixing, pii, quality, secrets
+from lakegauge.llm import binary, bpe, codes, dedup, langid, licenses, merkle, minhash, mixing, neighbours, pii, quality, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -250,3 +250,18 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 def op11_vector_codes(spark: SparkSession, sf: str) -> DataFrame:
     """Code and error of every vector."""
     return codes.coded(_table(spark, sf, "embeddings")).drop("label")
+
+
+@_query("""
+WITH RECURSIVE k AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings WHERE embedding IS NOT NULL
+   AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+ l AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM k a JOIN k b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+   WHERE list_cosine_similarity(a.x, b.x) >= 0.95),
+ r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b),
+ g AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY 1),
+ n AS (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY 1)
+SELECT vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM g LEFT JOIN n USING (vec_id)""")
+def op12_near_vectors(spark: SparkSession, sf: str) -> DataFrame:
+    """Links and component of every vector."""
+    return neighbours.near_vectors(_table(spark, sf, "embeddings"))
