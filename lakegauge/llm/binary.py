@@ -13,6 +13,7 @@ import unicodedata
 import uuid
 import zlib
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from lakegauge.llm.common import bounded_batches, whole
 from lakegauge.session import materialise, scratch_path
 
 _NULL_KEY = -(1 << 63)
-#: entries of a task's word cache before it starts anew
+#: entries of a worker's word caches before they start anew
 CACHE = 400_000
 
 
@@ -118,6 +119,12 @@ class WordEncoder:
         return b"".join([get(w) or new(w) for w in text.split()])
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str) -> WordEncoder:
+    """The encoder of a vocabulary, kept with its word caches for all tasks of a Python worker."""
+    return WordEncoder(path)
+
+
 def write_ids(docs: DataFrame, tokenizer: str, end_id: int, folder: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Encode all documents into files below ``folder``; returns the manifest (part, first, file, code, n_docs, n_ids, base).
 
@@ -127,7 +134,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int, folder: str, key: st
     bounded_batches(docs.sparkSession)
 
     def run(batches):
-        encode, part = WordEncoder(tokenizer), TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer), TaskContext.get().partitionId()
         name = f"{folder}/ids-{part:06d}-{TaskContext.get().taskAttemptId()}-{uuid.uuid4().hex[:8]}"
         end, width = encode.pack([end_id]), array(encode.code).itemsize
         fs, path = _fs(name)

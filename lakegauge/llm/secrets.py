@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 
 from lakegauge.llm.common import per_text
 
+#: characters of the longest header that is decoded; key ids and certificate chains fit, and nesting stays shallow
+HEADER = 16384
 _BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 
@@ -35,12 +37,15 @@ def _crc_ok(token: str) -> bool:
 
 
 def _jwt_ok(token: str) -> bool:
-    """The header decodes to JSON that names an algorithm."""
+    """The header decodes to a JSON object that names an algorithm; headers are short, longer ones are none."""
     head = token.split(".")[0]
+    if len(head) > HEADER:
+        return False
     try:
-        return "alg" in json.loads(base64.urlsafe_b64decode(head + "=" * (-len(head) % 4)))
-    except (binascii.Error, ValueError, TypeError):
+        found = json.loads(base64.urlsafe_b64decode(head + "=" * (-len(head) % 4)))
+    except (binascii.Error, ValueError, RecursionError):
         return False
+    return isinstance(found, dict) and isinstance(found.get("alg"), str)
 
 
 class Rule(NamedTuple):
