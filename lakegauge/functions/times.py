@@ -84,6 +84,29 @@ def _valid_date(y: Column, m: Column, d: Column) -> Column:
     return F.try_to_timestamp(text, F.lit("yyyy-MM-dd")).cast("date")
 
 
+#: folders that name a date, as keys of key=value folders
+DATED_FOLDERS = {"day": ("recorded_year", "recorded_month", "recorded_day"),
+                 "week": ("recorded_year", "recorded_month", "recorded_week"), "snapshot": ("snapshot_date",)}
+
+
+def date_from_folders(layout: str) -> Column:
+    """Partition date from the values of its folders, which a scan supplies as constant columns."""
+    v = [F.col(k) for k in DATED_FOLDERS[layout]]
+    if layout == "snapshot":
+        return v[0].try_cast("date")
+    if layout == "day":
+        return _valid_date(*v)
+    n = F.ltrim(v[2], F.lit("Ww")).try_cast("int")
+    return _valid_date(v[0], v[1], (F.lit(1) + (n - 1) * 7).cast("string"))
+
+
+def layout_of(path: Column) -> Column:
+    """Which of ``DATED_FOLDERS`` a path has, as whole folders in a row; null otherwise."""
+    d = r"/recorded_year=\d{4}/recorded_month=\d{2}/"
+    return (F.when(path.rlike(d + r"recorded_day=\d{1,2}/"), "day").when(path.rlike(d + r"recorded_week=[Ww]?\d{1,2}/"), "week")
+            .when(path.rlike(r"/snapshot_date=\d{4}-\d{2}-\d{2}/") & ~path.rlike("(?i)recorded_year="), "snapshot"))
+
+
 def date_from_path(path: Column) -> Column:
     """Partition date named by a path; null when it names none or an impossible one.
 

@@ -22,10 +22,12 @@ def logical_kind(dtype: T.DataType) -> str:
 
 
 def logical_kind_of_footer(t: Column) -> Column:
-    """Logical type of a type name from a parquet footer."""
+    """Logical type of a type name from a parquet footer; a dictionary has the type of its values."""
+    values = F.regexp_extract(t, r"^dictionary<values=(.*), indices=[a-z0-9]+, ordered=\w+>$", 1)
+    t = F.when(values != "", values).otherwise(t)
     return (F.when(t == "bool", "boolean").when(t.startswith("decimal"), "decimal")
-            .when(t.rlike("^int(8|16|32|64)$"), "integer").when(t.isin("halffloat", "float", "double"), "float")
-            .when(t.isin("string", "large_string"), "string").when(t.rlike("^(timestamp|date)"), "datetime")
+            .when(t.rlike("^u?int(8|16|32|64)$"), "integer").when(t.isin("halffloat", "float", "double"), "float")
+            .when(t.isin("string", "large_string", "string_view"), "string").when(t.rlike("^(timestamp|date)"), "datetime")
             .otherwise("unsupported"))
 
 

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from urllib.parse import unquote
+import os
+import re
+from fnmatch import fnmatchcase
+from functools import reduce
+from itertools import takewhile
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +16,7 @@ from pyspark.sql.window import Window
 
 from lakegauge.contract import Contract, unresolved_variables
 from lakegauge.functions import times
-from lakegauge.session import small_table
+from lakegauge.session import materialise, small_table
 
 
 class SourceError(Exception):
@@ -30,28 +34,93 @@ def location(c: Contract, source: str) -> str:
     return path.replace("s3://", "s3a://", 1)
 
 
-def plain_path(col: Column) -> Column:
-    """One spelling for local paths (file:/x and file:///x are the same file)."""
-    return F.regexp_replace(col, r"^file:/+", "/")
+def plain_path(uri: Column) -> Column:
+    """A file's URI as the inventory spells it: decoded, and local files without scheme."""
+    name = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    return F.when(F.startswith(name, F.lit("file:")), F.concat(F.lit("/"), F.ltrim(F.substring(name, 6, 2**31 - 1), F.lit("/")))).otherwise(name)
 
 
-_PATHS = pa.schema([("path", pa.string())])
+_LISTED = "path string, folder boolean, length bigint, siblings bigint"
+
+
+def filesystem(path: str):
+    """File system, path inside it and the part before that path, for a local path or a URI."""
+    from pyarrow import fs
+    if "://" not in path:
+        return fs.LocalFileSystem(), path, ""
+    f, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    return f, inner, path[:len(path) - len(inner)] if path.endswith(inner) else path.split("://")[0] + "://"
+
+
+def _wanted(path: str, pattern: list[str]) -> bool:
+    """Whether a path agrees with a glob, folder by folder, as far as both go."""
+    return all(any(fnmatchcase(p, g) for g in _choices(q)) for p, q in zip(path.split("/"), pattern))
+
+
+def _choices(part: str) -> list[str]:
+    """A glob without its braces: one per alternative."""
+    m = re.search(r"\{([^{}]*)\}", part)
+    return [c for a in m[1].split(",") for c in _choices(part[:m.start()] + a + part[m.end():])] if m else [part]
+
+
+def _lister(pattern: str, deep: bool):
+    """Contents of each folder of a batch, all levels with ``deep``: files that end in .parquet, and folders to go on with."""
+    parts = pattern.split("/")
+
+    def run(batches):
+        for b in batches:
+            out = {"path": [], "folder": [], "length": [], "siblings": []}
+            for top in b.column("path").to_pylist():
+                f, inner, before = filesystem(top)
+                from pyarrow import fs
+                here: dict[str, list] = {}
+                for x in f.get_file_info(fs.FileSelector(inner, recursive=deep)):
+                    name, below = before + x.path, x.path[len(inner):].split("/")
+                    if any(k.startswith(".") or k.startswith("_") and "=" not in k for k in below if k) or not _wanted(name, parts):
+                        continue
+                    if x.type == fs.FileType.Directory:
+                        if not deep:
+                            here.setdefault("", []).append((name, True, 0))
+                    elif name.endswith(".parquet"):
+                        here.setdefault(name.rpartition("/")[0], []).append((name, False, x.size))
+                for rows in here.values():
+                    files = sum(not d for _, d, _ in rows)
+                    for name, is_folder, size in rows:
+                        for k, v in zip(out, (name, is_folder, size, files)):
+                            out[k].append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(
+                out.values(), (pa.string(), pa.bool_(), pa.int64(), pa.int64()))], names=list(out))
+    return run
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """(path, length) of every parquet file under a prefix or glob, empty files included.
+    """(path, length, siblings) of every parquet file under a prefix or glob, empty files included, a written table.
 
-    Spark lists in parallel and the sizes come from a scan that reads no content. That scan
-    leaves out 0-byte files, so they are added from the index's own file names.
+    Folders are listed by tasks, one level after the other until every core has one, then each to its end. Names stay in the
+    tables. ``siblings`` counts the parquet files of a file's folder. Names that begin with a dot or an underscore are no data. A folder
+    that can't be listed is an error, one that doesn't exist is empty.
     """
-    scan = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-            .option("recursiveFileLookup", "true").load(path))
-    # one call for all names; they are URIs there and plain paths in the scan
-    joined = spark._jvm.org.apache.hadoop.util.StringUtils.join("\n", scan._jdf.inputFiles())
-    rows = [{"path": unquote(n)} for n in joined.split("\n") if n]
-    every = small_table(spark, rows, _PATHS).select(plain_path(F.col("path")).alias("path"))
-    sizes = scan.select(plain_path(F.col("path")).alias("path"), "length")
-    return every.join(sizes, "path", "left").select("path", F.coalesce("length", F.lit(0)).alias("length"))
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    if "://" not in path:
+        path = os.path.abspath(path)
+    path = path.rstrip("/")
+    fixed = "/".join(takewhile(lambda p: not re.search(r"[*?\[{]", p), path.split("/")))
+    level = small_table(spark, [{"path": fixed}], pa.schema([("path", pa.string())]))
+    f, inner, _ = filesystem(fixed)
+    info = f.get_file_info(inner)
+    if not info.type.value:                                 # nothing there
+        return spark.createDataFrame([], "path string, length bigint, siblings bigint")
+    if info.is_file:                                        # a single file
+        return level.select("path", F.lit(info.size).cast("bigint").alias("length"), F.lit(0).cast("bigint").alias("siblings"))
+    found, folders = [], 1
+    while folders:
+        deep = folders >= spark.sparkContext.defaultParallelism
+        got = materialise(level.repartition(folders, "path").mapInArrow(_lister(path, deep), _LISTED), "listing")
+        found.append(got.where("NOT folder").drop("folder"))
+        level = got.where("folder").select("path")
+        folders = 0 if deep else level.count()
+    return reduce(DataFrame.unionByName, found)
 
 
 def label_of(path: Column, prefix: str | None) -> Column:

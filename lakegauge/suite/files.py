@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lakegauge.contract import parse_contract
 from lakegauge.functions import times
 from lakegauge.operators import schema
-from lakegauge.operators.prepare import PART, with_partition
+from lakegauge.operators.prepare import PART, PART_DATE, with_partition
 from lakegauge.plans import baseline as bl
 from lakegauge.plans import history, validate
 from lakegauge.session import scratch_path
@@ -193,6 +193,45 @@ def read_drifting_files(spark, sf):
         F.round(F.sum(F.col("value").try_cast("double")), 4).alias("total"))
 
 
+_WIDENING = {"kolom": [{"nama": "event_id", "tipe": "integer"}, {"nama": "value", "tipe": "float"}, {"nama": "amount", "tipe": "decimal"},
+                       {"nama": "at", "tipe": "datetime"}, {"nama": "code", "tipe": "integer"}]}
+
+
+@query("read_widening_files", f"""
+SELECT {DAY} AS day, CAST(count(*) AS BIGINT) AS "rows", CAST(sum(event_id) AS BIGINT) AS ids,
+  round(sum(CASE WHEN event_type = 'click' THEN CAST(CAST(value AS FLOAT) AS DOUBLE) ELSE value END), 3) AS total,
+  CAST(sum(CASE WHEN event_type = 'click' THEN CAST(value AS DECIMAL(10, 2)) ELSE CAST(value AS DECIMAL(18, 4)) END) AS VARCHAR) AS amounts,
+  strftime(max(CASE WHEN event_type = 'click' THEN CAST(CAST(ts AS DATE) AS TIMESTAMP) ELSE ts END), '%Y-%m-%d %H:%M:%S') AS last,
+  string_agg(DISTINCT CASE WHEN event_type = 'click' THEN 'c' || user_id WHEN user_id % 2 = 0 THEN CAST(user_id AS VARCHAR) END, ',' ORDER BY
+    CASE WHEN event_type = 'click' THEN 'c' || user_id WHEN user_id % 2 = 0 THEN CAST(user_id AS VARCHAR) END) AS codes,
+  'code' AS failed, 4 AS passed FROM events GROUP BY 1""")
+def read_widening_files(spark, sf):
+    """Files of one day whose columns differ in width only are one scan of the wider types, and pass their type rules.
+
+    Clicks have whole numbers of 32 bits, floats, short decimals and dates; only ``code``, text there, can't be widened.
+    """
+    root = scratch_path(spark, "widening")
+    e = table(spark, sf, "events").withColumn("snapshot_date", F.to_date("ts"))
+    click, v = F.col("event_type") == "click", F.col("value")
+    narrow = e.where(click).select(F.col("event_id").cast("int").alias("event_id"), v.cast("float").alias("value"),
+                                   v.cast("decimal(10,2)").alias("amount"), F.to_date("ts").alias("at"),
+                                   F.concat(F.lit("c"), "user_id").alias("code"), "snapshot_date")
+    wide = e.where(~click).select("event_id", "value", v.cast("decimal(18,4)").alias("amount"), F.col("ts").alias("at"),
+                                  F.when(F.col("user_id") % 2 == 0, F.col("user_id")).alias("code"), "snapshot_date")
+    for part in (narrow, wide):
+        part.repartition("snapshot_date").write.mode("append").partitionBy("snapshot_date").parquet(root)
+    files = inventory.dated(inventory.list_files(spark, root), root)
+    df = reader.read_partitions(spark, files, reader.footers(files))
+    types = schema.schema_diff(df.drop(PART, PART_DATE), parse_contract("events", _WIDENING)).agg(
+        F.array_join(F.sort_array(F.collect_list(F.when(F.col("status") != "ok", F.col("column")))), ",").alias("failed"),
+        F.count_if(F.col("status") == "ok").cast("int").alias("passed")).first()
+    return df.groupBy(F.col(PART).alias("day")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("event_id").alias("ids"), F.round(F.sum("value"), 3).alias("total"),
+        F.sum("amount").cast("string").alias("amounts"), F.date_format(F.max("at"), "yyyy-MM-dd HH:mm:ss").alias("last"),
+        F.array_join(F.sort_array(F.collect_set("code")), ",").alias("codes"),
+        F.lit(types["failed"]).alias("failed"), F.lit(types["passed"]).alias("passed"))
+
+
 @query("unreadable_files", f"""
 SELECT day, CAST(count(*) AS BIGINT) AS good_rows, CASE WHEN day IN ((SELECT min({DAY}) FROM events), (SELECT max({DAY}) FROM events)) THEN 1 ELSE 0 END AS bad_files
 FROM (SELECT *, {DAY} AS day FROM events) e GROUP BY 1""")
