@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import decimal
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column
@@ -84,20 +85,31 @@ def free_of(rule_id: str, name: str, pattern: str) -> RowRule:
     return _one(rule_id, name, text.finds(F.col(name), pattern))
 
 
-def _comparable(name: str, sample) -> Column:
-    """The column in the kind of a literal; null where it can't be, so that a value of another kind is a finding, no abort."""
-    if isinstance(sample, bool) or not isinstance(sample, (int, float)):
-        return F.col(name).try_cast("boolean" if isinstance(sample, bool) else "string") if not isinstance(
-            sample, (dt.date, dt.datetime)) else F.col(name)
-    return F.col(name).cast("string").try_cast("double")
+def _kind(value) -> str:
+    if isinstance(value, bool):
+        return "boolean"
+    if isinstance(value, (int, float, decimal.Decimal)):
+        return "double"
+    return "timestamp_ntz" if isinstance(value, dt.date) else "string"
+
+
+def _one_of(name: str, values: list) -> Column:
+    """Whether a column is one of some literals, of any kinds: it is read as each kind, and what can't be is none of them."""
+    c, out = F.col(name), F.lit(False)
+    for kind in dict.fromkeys(map(_kind, (v for v in values if v is not None))):
+        as_kind = c.cast("string").try_cast(kind) if kind != "boolean" else c.try_cast(kind)
+        of_kind = [F.lit(float(v) if kind == "double" else v if kind == "boolean" else str(v)).cast(kind)
+                   for v in values if v is not None and _kind(v) == kind]
+        out = out | F.coalesce(as_kind.isin(*of_kind), F.lit(False))
+    return out
 
 
 def in_set(rule_id: str, name: str, allowed: list) -> RowRule:
-    return _one(rule_id, name, ~F.coalesce(_comparable(name, allowed[0]).isin(*allowed), F.lit(False)))
+    return _one(rule_id, name, ~_one_of(name, allowed))
 
 
 def constant(rule_id: str, name: str, value) -> RowRule:
-    return _one(rule_id, name, ~F.coalesce(_comparable(name, value) == F.lit(value), F.lit(False)))
+    return _one(rule_id, name, ~_one_of(name, [value]))
 
 
 def in_window(rule_id: str, name: str, part_date: Column, days: int = 1, offset_hours: float = 0.0) -> RowRule:

@@ -29,11 +29,12 @@ class Run:
 
 def run_layers(spark: SparkSession, layers: dict[str, dict[str, Contract]], root: str, *, where: str = "s3",
                day: str | None = None, rebuild: bool = True, mode: str = "backfill", fallback_latest: bool = False,
-               now: dt.datetime | None = None,
+               limits: dict[str, float] | None = None, parallel: int = 4, now: dt.datetime | None = None,
                sources: dict[str, DataFrame | Callable[[], DataFrame]] | None = None, **options) -> Run:
     """Validate one partition of every dataset: of ``day``, of yesterday by default, the newest for 'auto'.
 
-    ``sources`` has the relations behind landed tables, by dataset. Baselines live under ``root/baselines``, results are appended under ``root``.
+    Datasets run ``parallel`` at a time, each under its limit in seconds if ``limits`` names one. ``sources`` has the relations
+    behind landed tables, by dataset. Baselines live under ``root/baselines``, results are appended under ``root``.
     """
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     chosen = None if day == "auto" else day or yesterday(now)
@@ -46,12 +47,11 @@ def run_layers(spark: SparkSession, layers: dict[str, dict[str, Contract]], root
             if c.name in stale:
                 validate.build_baseline(spark, c, baselines, where)
             b = bl.load(spark, baselines, c.name)
-            r = validate.validate(spark, c, b, where=where, day=chosen, fallback_latest=fallback_latest, now=now, mode=mode,
+            return validate.validate(spark, c, b, where=where, day=chosen, fallback_latest=fallback_latest, now=now, mode=mode,
                                   run_id=run_id, source_table=(sources or {}).get(c.name), **options)
-            return spark.read.schema(r.schema).parquet(_store(r, root, run_id, c.name))
         return run
 
-    results, errors = history.run_all(spark, {n: job(c) for n, c in contracts.items()})
+    results, errors = history.run_all(spark, {n: job(c) for n, c in contracts.items()}, limits, parallel)
     members = small_table(spark, [{"layer": k, "dataset": n} for k, ms in layers.items() for n in ms], _MEMBERS)
     if results is None:
         empty = members.limit(0).selectExpr("layer", "dataset", "cast(null as string) category", "cast(null as string) severity",
@@ -63,10 +63,3 @@ def run_layers(spark: SparkSession, layers: dict[str, dict[str, Contract]], root
         history.append_layer_summary(layered, root, now.date().isoformat())
         statuses = summary.dataset_status(layered, members)
     return Run(results, errors, statuses, summary.layer_gate(statuses).first()[0])
-
-
-def _store(results: DataFrame, root: str, run_id: str, dataset: str) -> str:
-    """Results of one dataset, evaluated once; the history table reads the same files."""
-    path = f"{root.rstrip('/')}/runs/run={run_id}/dataset={dataset}"
-    results.write.mode("overwrite").parquet(path)
-    return path

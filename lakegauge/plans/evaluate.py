@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from lakegauge.contract import Contract
 from lakegauge.functions import numbers, text, times
-from lakegauge.operators import distribution, keys, membership, onepass, order_stats, reconcile, rules, schema
+from lakegauge.operators import distribution, keys, membership, onepass, order_stats, predicates, reconcile, rules, schema
 from lakegauge.operators.prepare import PART, PART_DATE, expected_column, number_column, prepare
 from lakegauge.plans.baseline import QS, Baseline
 from lakegauge.plans.catalog import BLOCKING, CATEGORIES, SKIPPED, WARNING
@@ -43,6 +43,7 @@ class Plan:
 
     meta: dict[str, dict] = field(default_factory=dict)
     row_rules: list[rules.RowRule] = field(default_factory=list)
+    predicates: list[rules.RowRule] = field(default_factory=list)   # may raise errors of their own
     metrics: dict[str, Column] = field(default_factory=dict)
     metric_of: dict[str, str] = field(default_factory=dict)     # metric or rule count -> column it reads
     verdicts: list[dict] = field(default_factory=list)          # over the metrics table
@@ -372,7 +373,7 @@ class Compiler:
             except (AnalysisException, ParseException) as wrong:
                 p.answer(rid, False, error=str(wrong).splitlines()[0][:500])
                 continue
-            self.row(rules.predicate(rid, q["expression"], q["null_passes"]))
+            p.predicates.append(rules.predicate(rid, q["expression"], q["null_passes"]))
         for n, share in c.expected_ratios.items():
             rid = p.rule(7, "expected_ratio", n, lo=share - c.ratio_tolerance, hi=share + c.ratio_tolerance)
             if self.usable(rid, n, family="boolean"):
@@ -546,6 +547,8 @@ def evaluate(frame: DataFrame, c: Contract, base: Baseline, *, now: dt.datetime,
             sets = counts.filter(F.col("column").isin(*p.sets))
             s = _named(membership.same_set(sets, GROUP, base.master), "column", p.sets)
             out.append(_shape(s.withColumn("observed_num", (F.col("known_values") + F.col("unknown_values")).cast("double"))))
+    if p.predicates:
+        out.append(_shape(predicates.isolated(work, GROUP, p.predicates, held.select(*GROUP))))
     for rid, key in p.unique.items():
         out.append(_shape(keys.uniqueness(work, GROUP, key, rid)))
     for rid, (key, limit) in p.surplus.items():
@@ -580,12 +583,13 @@ def evaluate(frame: DataFrame, c: Contract, base: Baseline, *, now: dt.datetime,
     res = res.withColumn("severity", F.when(F.col("success").isNull(), SKIPPED).otherwise(F.col("severity")))
     if samples:
         failing = [r for r in p.row_rules if r.skip != "never"]
-        smp = onepass.samples(work, GROUP, failing, samples).drop(PART_DATE)
-        res = res.join(smp, [PART, "rule_id"], "left")
+        smp = onepass.samples(work, GROUP, failing, samples).select(F.col(PART).alias("_p2"), F.col("rule_id").alias("_r2"), "sample")
+        res = res.join(smp, F.col(PART).eqNullSafe(F.col("_p2")) & (F.col("rule_id") == F.col("_r2")), "left")
     else:
         res = res.withColumn("sample", F.lit(None).cast("array<string>"))
     if partitions is not None:
-        res = res.join(partitions.select(F.col("part").alias(PART), F.col("label").alias("_label")), PART, "left")
+        res = res.join(partitions.select(F.col("part").alias("_p3"), F.col("label").alias("_label")),
+                       F.col(PART).eqNullSafe(F.col("_p3")), "left")
     else:
         res = res.withColumn("_label", F.col(PART))
     return _results(res, c, run_id or uuid.uuid4().hex, now)

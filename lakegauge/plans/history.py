@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
 from collections.abc import Callable
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,15 +17,48 @@ from lakegauge.contract import Contract
 from lakegauge.plans import baseline as bl
 from lakegauge.plans import summary
 from lakegauge.plans.catalog import BLOCKING, CATEGORIES, FIT, UNFIT
-from lakegauge.session import small_table
+from lakegauge.session import materialise, small_table
+
+
+def commit(table: DataFrame, root: str, name: str, keys: list[str], covers: DataFrame | None = None) -> str:
+    """Write a table below ``root/name`` so that readers see it whole or not at all.
+
+    Rows are staged in a folder of their own; then a manifest says for which values of ``keys`` that folder now holds
+    the rows. Committing the same keys again replaces what they had, and a write that stopped before its manifest is never
+    read. ``covers`` has the keys of a commit where some of them may have no rows.
+    """
+    spark, base, ident = table.sparkSession, f"{root.rstrip('/')}/{name}", uuid.uuid4().hex
+    staged = f"{base}/data/commit={ident}"
+    table.write.mode("errorifexists").parquet(staged)
+    written = spark.read.schema(table.schema).parquet(staged).groupBy(*keys).agg(F.count("*").alias("rows"))
+    if covers is not None:
+        written = covers.select(*keys).distinct().withColumn("rows", F.lit(0).cast("bigint")).unionByName(written).groupBy(*keys).agg(
+            F.sum("rows").alias("rows"))
+    written.withColumns({"commit": F.lit(ident), "committed_at": F.current_timestamp()}).coalesce(1).write.mode("append").parquet(
+        f"{base}/commits")
+    return ident
+
+
+def committed(spark: SparkSession, root: str, name: str, keys: list[str]) -> DataFrame:
+    """What the newest commit of every key holds; commits that were replaced are not even scanned."""
+    base = f"{root.rstrip('/')}/{name}"
+    newest = spark.read.parquet(f"{base}/commits").groupBy(*keys).agg(
+        F.max_by("commit", F.struct("committed_at", "commit")).alias("_commit"))
+    newest = newest.withColumnsRenamed({k: f"_{k}" for k in keys})
+    rows = spark.read.parquet(f"{base}/data")
+    same = F.col("commit") == F.col("_commit")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return rows.join(newest, same, "left_semi").drop("commit")
+
+
+RUN_KEYS = ["run_id", "dataset"]
 
 
 def append(results: DataFrame, root: str) -> str:
-    """Append check results to the history table, laid out by run date and dataset."""
-    path = f"{root.rstrip('/')}/check_results"
-    (results.withColumn("run_date", F.to_date("run_at")).withColumn("ds", F.col("dataset"))
-     .write.mode("append").partitionBy("run_date", "ds").parquet(path))
-    return path
+    """Commit check results to the history; a run that is repeated replaces its results, per dataset."""
+    commit(results, root, "check_results", RUN_KEYS)
+    return f"{root.rstrip('/')}/check_results"
 
 
 _RESET = pa.schema([("dataset", pa.string()), ("reset_at", pa.string())])
@@ -34,8 +71,8 @@ def reset(spark: SparkSession, root: str, at: dt.datetime, dataset: str | None =
 
 
 def read(spark: SparkSession, root: str) -> DataFrame:
-    """Results since the last reset."""
-    h = spark.read.parquet(f"{root.rstrip('/')}/check_results").drop("ds")
+    """Committed results since the last reset."""
+    h = committed(spark, root, "check_results", RUN_KEYS)
     p = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/resets")
     if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
         return h
@@ -47,15 +84,24 @@ def read(spark: SparkSession, root: str) -> DataFrame:
 
 
 def append_sweep(results: DataFrame, root: str) -> None:
-    """Sweep tables of a run: verdict per partition, and the blocking failures."""
-    base = root.rstrip("/")
-    summary.sweep(results).write.mode("append").parquet(f"{base}/sweep_verdicts")
-    summary.blocking_failures(results).write.mode("append").parquet(f"{base}/sweep_failures")
+    """Commit the sweep tables of a run: verdict per partition, and the blocking failures (none is a result, too)."""
+    commit(summary.sweep(results, ("run_id",)), root, "sweep_verdicts", RUN_KEYS, results)
+    commit(summary.blocking_failures(results, by=("run_id",)), root, "sweep_failures", RUN_KEYS, results)
+
+
+def read_sweep(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
+    """Verdicts and blocking failures of all committed runs."""
+    return tuple(committed(spark, root, n, RUN_KEYS) for n in ("sweep_verdicts", "sweep_failures"))
 
 
 def append_layer_summary(layered: DataFrame, root: str, day: str) -> None:
-    """Summary table of all layers of a run, replaced when the day is run again."""
-    summary.layer_summary(layered).write.mode("overwrite").parquet(f"{root.rstrip('/')}/layer_summary/run_date={day}")
+    """Commit the summary table of all layers of a day; running the day again replaces it."""
+    dated = lambda d: d.withColumn("run_date", F.lit(day).cast("date"))
+    commit(dated(summary.layer_summary(layered)), root, "layer_summary", ["run_date"], dated(layered.select()))
+
+
+def read_layer_summary(spark: SparkSession, root: str) -> DataFrame:
+    return committed(spark, root, "layer_summary", ["run_date"])
 
 
 def write_json(results: DataFrame, path: str) -> None:
@@ -78,15 +124,44 @@ def catalogue(spark: SparkSession, contracts: dict[str, Contract], baselines: st
 _RUN = pa.schema([("dataset", pa.string()), ("error", pa.string())])
 
 
-def run_all(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]]) -> tuple[DataFrame | None, DataFrame]:
-    """Plan every dataset; one that cannot be planned becomes an error row and does not stop the others."""
+def run_all(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]], limits: dict[str, float] | None = None,
+            parallel: int = 4) -> tuple[DataFrame | None, DataFrame]:
+    """Run every dataset to its end, ``parallel`` at a time, each in a scheduler pool of its own.
+
+    One that fails, while it is planned or while it runs, or takes longer than its limit in seconds becomes an error row and holds
+    no other: its Spark jobs carry a tag and are cancelled. Results are written tables; ``limits`` counts from a dataset's start.
+    """
     results, failed = None, []
-    for name, job in jobs.items():
-        try:
-            df = job()
-            results = df if results is None else results.unionByName(df)
-        except Exception as exc:
-            failed.append({"dataset": name, "error": f"{type(exc).__name__}: {exc}"[:500]})
+    sc, run = spark.sparkContext, uuid.uuid4().hex[:12]
+    started: dict[str, float] = {}
+
+    def one(name: str, job: Callable[[], DataFrame]):
+        def go() -> DataFrame:
+            sc.addJobTag(f"{run}-{name}")
+            sc.setLocalProperty("spark.scheduler.pool", name)
+            started[name] = time.monotonic()
+            return materialise(job(), "dataset")
+        return go
+
+    pool = ThreadPoolExecutor(max_workers=max(1, parallel))
+    waiting = {pool.submit(inheritable_thread_target(spark)(one(n, j))): n for n, j in jobs.items()}
+    try:
+        while waiting:
+            for f in wait(waiting, timeout=0.2, return_when=FIRST_COMPLETED).done:
+                name = waiting.pop(f)
+                try:
+                    df = f.result()
+                    results = df if results is None else results.unionByName(df)
+                except Exception as exc:
+                    failed.append({"dataset": name, "error": f"{type(exc).__name__}: {exc}"[:500]})
+            for f, name in list(waiting.items()):
+                limit = (limits or {}).get(name)
+                if limit is not None and name in started and time.monotonic() - started[name] > limit:
+                    sc.cancelJobsWithTag(f"{run}-{name}")
+                    del waiting[f]
+                    failed.append({"dataset": name, "error": f"took longer than {limit:g} seconds"})
+    finally:
+        pool.shutdown(wait=False, cancel_futures=True)
     return results, small_table(spark, failed, _RUN)
 
 

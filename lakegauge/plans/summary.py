@@ -37,10 +37,10 @@ def verdicts(results: DataFrame, by: tuple[str, ...] = ("dataset", "partition"))
     return results.groupBy(*by).agg(*_counts()).withColumn("verdict", verdict_of(F.col("fail_blocking")))
 
 
-def sweep(results: DataFrame) -> DataFrame:
-    """Verdict per partition with its row count."""
+def sweep(results: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Verdict per partition with its row count; ``by`` keeps runs apart."""
     rows = F.max(F.when(F.col("rule_id") == "2.not_empty", F.col("observed_num"))).cast("bigint").alias("rows")
-    return (results.groupBy("dataset", "part_date", "partition").agg(rows, *_counts())
+    return (results.groupBy(*by, "dataset", "part_date", "partition").agg(rows, *_counts())
             .withColumn("verdict", verdict_of(F.col("fail_blocking"))))
 
 
@@ -50,9 +50,9 @@ def sweep_totals(swept: DataFrame) -> DataFrame:
                                         F.count_if(F.col("verdict") != FIT).alias("unfit"))
 
 
-def blocking_failures(results: DataFrame, shown: int = 5) -> DataFrame:
+def blocking_failures(results: DataFrame, shown: int = 5, by: tuple[str, ...] = ()) -> DataFrame:
     return results.filter((F.col("success") == F.lit(False)) & (F.col("severity") == BLOCKING)).select(
-        "dataset", "partition", "rule_id", "observed_num", "observed_text", "unexpected_count",
+        *by, "dataset", "partition", "rule_id", "observed_num", "observed_text", "unexpected_count",
         F.slice("sample", 1, shown).alias("sample"), "error")
 
 

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL_SCRATCH: dict[str, str] = {}
@@ -28,6 +29,7 @@ def build_session(app: str = "lakegauge", master: str | None = None, **conf) ->
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.ui.enabled": "false",
+        "spark.scheduler.mode": "FAIR",
     }
     base.update(conf)
     for k, v in base.items():
@@ -79,7 +81,11 @@ def small_table(spark: SparkSession, rows: list[dict], schema: pa.Schema) -> Dat
 
 
 def together(**actions: Callable) -> dict:
-    """Run independent actions as concurrent Spark jobs, so that the tail of one overlaps with the others."""
+    """Run independent actions as concurrent Spark jobs, so that the tail of one overlaps with the others.
+
+    They keep the caller's scheduler pool and job tags.
+    """
+    inherited = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(max_workers=8) as pool:
-        running = {k: pool.submit(f) for k, f in actions.items()}
+        running = {k: pool.submit(inherited(f)) for k, f in actions.items()}
         return {k: f.result() for k, f in running.items()}

@@ -81,7 +81,7 @@ def _lister(pattern: str, deep: bool):
                     if x.type == fs.FileType.Directory:
                         if not deep:
                             here.setdefault("", []).append((name, True, 0))
-                    elif name.endswith(".parquet"):
+                    elif name.endswith(".parquet") and name.count("/") >= len(parts) - 1:
                         here.setdefault(name.rpartition("/")[0], []).append((name, False, x.size))
                 for rows in here.values():
                     files = sum(not d for _, d, _ in rows)

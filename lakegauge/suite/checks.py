@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from lakegauge.contract import parse_contract
+from lakegauge.contract import ColumnContract, parse_contract
 from lakegauge.functions import text
 from lakegauge.operators import distribution, onepass, rules
 from lakegauge.operators.prepare import with_partition
@@ -256,19 +256,37 @@ def rule_samples(spark, sf):
     return s.select(F.col("l_returnflag").alias("flag"), "rule_id", F.array_join("sample", ",").alias("sample"))
 
 
+_RAISING = {"zero": "100 / (event_id % 7) > 0", "zero_on_a_day": "1 / (day(ts) - 5) <> 0", "overflow": "event_id * 9223372036854775807L >= 0",
+            "bad_cast": "CAST(event_type AS INT) > 0", "fine": "value > 10", "gone": "no_such_column > 1"}
+
+
 @query("rule_errors", f"""
-SELECT day, '6.predicate.gone' AS rule_id, false AS success, 0::BIGINT AS unexpected, true AS has_error FROM {DAILY_EVENTS} GROUP BY 1
-UNION ALL SELECT day, '6.allowed_values.event_type', count(event_type) = 0, CAST(count(event_type) AS BIGINT), false FROM {DAILY_EVENTS} GROUP BY 1
-UNION ALL SELECT day, '4.not_null.lost', false, 0, true FROM {DAILY_EVENTS} GROUP BY 1
-UNION ALL SELECT day, '4.not_null.event_id', true, 0, false FROM {DAILY_EVENTS} GROUP BY 1""")
+WITH d AS (SELECT day, CAST(count(*) AS BIGINT) AS n, CAST(count(event_type) AS BIGINT) AS typed, max(event_id) AS most, count(*) FILTER (WHERE event_id % 7 = 0) AS zeros,
+  CAST(count(*) FILTER (WHERE NOT coalesce(value > 10, false)) AS BIGINT) AS low, day(CAST(day AS DATE)) AS of_month FROM {DAILY_EVENTS} GROUP BY 1),
+r AS (SELECT day, '6.predicate.gone' AS rule_id, 0::BIGINT AS unexpected, true AS has_error FROM d
+UNION ALL SELECT day, '6.predicate.zero', 0, zeros > 0 FROM d
+UNION ALL SELECT day, '6.predicate.zero_on_a_day', 0, of_month = 5 FROM d
+UNION ALL SELECT day, '6.predicate.overflow', 0, most > 1 FROM d
+UNION ALL SELECT day, '6.predicate.bad_cast', 0, typed > 0 FROM d
+UNION ALL SELECT day, '6.predicate.fine', low, false FROM d
+UNION ALL SELECT day, '6.allowed_values.event_type', typed, false FROM d
+UNION ALL SELECT day, '6.allowed_values.props', n, false FROM d
+UNION ALL SELECT day, '4.not_null.lost', 0, true FROM d
+UNION ALL SELECT day, '4.not_null.event_id', 0, false FROM d)
+SELECT *, unexpected = 0 AND NOT has_error AS success FROM r""")
 def rule_errors(spark, sf):
-    """Rules that can't work (an unknown column, allowed values of another type) are rows like any other."""
+    """Rules that can't work or raise errors are rows like any other, failed in the partitions where they do.
+
+    Division by zero everywhere and on one day, overflow, a bad cast, an unknown column, allowed values of other types.
+    """
     c = parse_contract("events", {
         "kolom": [{"nama": "event_id", "tipe": "integer"}, {"nama": "event_type", "wajib": False}, {"nama": "lost", "tipe": "integer"}],
-        "validasi": {"data_quality": [{"check": "gone", "validation": "no_such_column > 1", "columns": []}]},
+        "validasi": {"data_quality": [{"check": k, "validation": v, "columns": []} for k, v in _RAISING.items()]},
         "distribusi": [{"kolom": "event_type", "expected_values": [1, 2]}]})
+    c.columns.append(ColumnContract("props", allowed=[dt.date(2024, 1, 1), dt.datetime(2024, 1, 2, 3), True]))
     e = daily_events(spark, sf)
     r = evaluate(e, c, bl.learn(e, c), now=dt.datetime(2024, 6, 1))
-    shown = r.filter(F.col("rule_id").isin("6.predicate.gone", "6.allowed_values.event_type", "4.not_null.lost", "4.not_null.event_id"))
+    shown = r.filter((F.col("rule_kind") == "predicate") | F.col("rule_id").isin(
+        "6.allowed_values.event_type", "6.allowed_values.props", "4.not_null.lost", "4.not_null.event_id"))
     return shown.select(F.col("part_date").cast("string").alias("day"), "rule_id", "success",
                         F.coalesce("unexpected_count", F.lit(0)).alias("unexpected"), F.col("error").isNotNull().alias("has_error"))

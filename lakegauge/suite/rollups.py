@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from lakegauge.contract import parse_contract
 from lakegauge.functions import text
 from lakegauge.operators.distribution import EDGE_FRACTIONS
-from lakegauge.operators.prepare import PART
+from lakegauge.operators.prepare import PART, with_partition
 from lakegauge.plans import baseline as bl
 from lakegauge.plans import evaluate as ev
 from lakegauge.plans import history, summary
@@ -303,12 +305,79 @@ def result_json_sink(spark, sf):
         F.count(F.lit(1)).alias("checks"), F.sum("unexpected_count").alias("unexpected"))
 
 
-@query("run_many_datasets", """SELECT 'orders' AS dataset, 'ok' AS outcome, CAST(count(*) AS BIGINT) AS "rows" FROM orders
-UNION ALL SELECT 'events', 'ok', count(*) FROM events UNION ALL SELECT 'broken', 'error', 0""")
+_PRICES = {"kolom": [{"nama": "o_orderkey", "tipe": "integer"},
+                     {"nama": "o_totalprice", "tipe": "float", "rentang": [0, 200000], "profil_distribusi": True}]}
+_VALUES = {"kolom": [{"nama": "event_id", "tipe": "integer"}, {"nama": "value", "tipe": "float", "rentang": [0, 100], "profil_distribusi": True},
+                     {"nama": "props"}]}
+
+
+@query("run_many_datasets", """
+SELECT 'orders' AS dataset, 'ok' AS outcome, rule_id, CAST(sum(n) AS BIGINT) AS unexpected, CAST(count(*) AS BIGINT) AS partitions FROM (
+  SELECT year(o_orderdate), r AS rule_id, count(*) FILTER (WHERE r = '7.physical_range.o_totalprice' AND o_totalprice > 200000) AS n FROM orders,
+    (VALUES ('4.not_null.o_orderkey'), ('7.physical_range.o_totalprice')) v(r) GROUP BY ALL) GROUP BY ALL
+UNION ALL SELECT 'events', 'ok', rule_id, CAST(sum(n) AS BIGINT), CAST(count(*) AS BIGINT) FROM (
+  SELECT CAST(ts AS DATE), r AS rule_id, count(*) FILTER (WHERE r = '7.physical_range.value' AND value > 100) AS n FROM events,
+    (VALUES ('4.not_null.event_id'), ('7.physical_range.value')) v(r) GROUP BY ALL) GROUP BY ALL
+UNION ALL SELECT d, 'error', '-', 0, 0 FROM (VALUES ('missing'), ('raising'), ('hanging')) v(d)""")
 def run_many_datasets(spark, sf):
-    """One dataset cannot be planned; the others still run."""
-    def count(name, t):
-        return lambda: table(spark, sf, t).agg(F.lit(name).alias("dataset"), F.lit("ok").alias("outcome"), F.count(F.lit(1)).alias("rows"))
-    done, failed = history.run_all(spark, {"orders": count("orders", "orders"), "broken": count("broken", "no_such_table"),
-                                           "events": count("events", "events")})
-    return done.unionByName(failed.select("dataset", F.lit("error").alias("outcome"), F.lit(0).cast("bigint").alias("rows")))
+    """Two datasets are validated at the same time as one that can't be planned, one that fails while it runs, and one over its limit."""
+    def checked(name, spec, frame, part):
+        def run():
+            df, c = with_partition(frame(), part), parse_contract(name, spec)
+            return ev.evaluate(df, c, bl.learn(df, c, now=NOW), now=NOW, run_id="run-1").filter(
+                F.col("rule_id").isin("4.not_null.o_orderkey", "4.not_null.event_id") | (F.col("rule_kind") == "physical_range"))
+        return run
+
+    def asleep(batches):
+        for b in batches:
+            time.sleep(600)
+            yield b
+
+    events = lambda: table(spark, sf, "events")
+    day = F.to_date("ts")
+    done, failed = history.run_all(spark, {
+        "orders": checked("orders", _PRICES, lambda: table(spark, sf, "orders"), F.make_date(F.year("o_orderdate"), F.lit(1), F.lit(1))),
+        "missing": checked("missing", _VALUES, lambda: table(spark, sf, "no_such_table"), day),
+        "raising": checked("raising", _VALUES, lambda: events().withColumn("value", F.col("event_type").cast("double")), day),
+        "hanging": checked("hanging", _VALUES, lambda: events().mapInArrow(asleep, events().schema), day),
+        "events": checked("events", _VALUES, events, day)}, limits={"hanging": 4.0}, parallel=5)
+    return done.groupBy("dataset", F.lit("ok").alias("outcome"), "rule_id").agg(
+        F.sum("unexpected_count").alias("unexpected"), F.count("*").alias("partitions")).unionByName(
+        failed.select("dataset", F.lit("error").alias("outcome"), F.lit("-").alias("rule_id"), F.lit(0).cast("bigint").alias("unexpected"),
+                      F.lit(0).cast("bigint").alias("partitions")))
+
+
+@query("sweep_sinks", f"""
+WITH r AS (SELECT dataset, run_id, partition, severity, success FROM {RESULTS}),
+v AS (SELECT run_id, dataset, CAST(count(DISTINCT partition) AS BIGINT) AS partitions FROM r GROUP BY ALL),
+f AS (SELECT run_id, dataset, CAST(count(*) AS BIGINT) AS failures FROM r WHERE NOT success AND severity = 'blocking' AND run_id <> 'run-1' GROUP BY ALL)
+SELECT run_id, dataset, partitions, coalesce(failures, 0) AS failures FROM v LEFT JOIN f USING (run_id, dataset)""")
+def sweep_sinks(spark, sf):
+    """Two runs are committed, the first one once more without its failures, which replaces it; a run without manifest stays unseen."""
+    none = lambda t: F.lit(None).cast(t)
+    root, r = scratch_path(spark, "sinks"), derived_results(spark, sf).withColumns({
+        "part_date": F.to_date("partition", "yyyy-MM"), "observed_num": none("double"), "observed_text": none("string"),
+        "sample": none("array<string>"), "error": none("string")})
+    for run in ("run-1", "run-2"):
+        history.append_sweep(r.filter(F.col("run_id") == run), root)
+    history.append_sweep(r.filter("run_id = 'run-1'").withColumn("success", F.col("success") | F.lit(True)), root)
+    stopped, by = r.filter("run_id = 'run-2'").withColumn("run_id", F.lit("run-3")), ("run_id",)
+    for name, made in (("sweep_verdicts", summary.sweep(stopped, by)), ("sweep_failures", summary.blocking_failures(stopped, by=by))):
+        made.write.parquet(f"{root}/{name}/data/commit=stopped")
+    verdicts, failures = history.read_sweep(spark, root)
+    n = failures.groupBy("run_id", "dataset").agg(F.count("*").alias("failures"))
+    return verdicts.groupBy("run_id", "dataset").agg(F.count_distinct("partition").alias("partitions")).join(
+        n, ["run_id", "dataset"], "left").withColumn("failures", F.coalesce("failures", F.lit(0)))
+
+
+@query("layer_summary_sink", f"""
+SELECT d AS run_date, layer, coalesce(dataset, '(all)') AS dataset, coalesce(category, '(all)') AS category, {_COUNTS}
+FROM {_LAYERED}, (VALUES ('2024-02-01'), ('2024-02-02')) v(d) WHERE d = '2024-02-01' OR run_id = 'run-2'
+GROUP BY GROUPING SETS ((d, layer, dataset, category), (d, layer, dataset), (d, layer))""")
+def layer_summary_sink(spark, sf):
+    """Summaries of two days; the second day is run again with one run only, which replaces it."""
+    root, layered = scratch_path(spark, "layers"), summary.with_layers(derived_results(spark, sf), members(spark))
+    for day, rows in (("2024-02-01", layered), ("2024-02-02", layered), ("2024-02-02", layered.filter("run_id = 'run-2'"))):
+        history.append_layer_summary(rows, root, day)
+    return history.read_layer_summary(spark, root).withColumns({
+        "run_date": F.col("run_date").cast("string"), **{c: F.coalesce(c, F.lit("(all)")) for c in ("dataset", "category")}})

@@ -426,9 +426,12 @@ def test_batch_over_layers(spark):
     assert [r["dataset"] for r in run.errors.collect()] == ["lost"]
     again = batch.run_layers(spark, {"gold": {"good": good}}, root, where="lokal", rebuild=False, day="auto", now=NOW)
     assert again.exit_code == 0 and {str(r["part_date"]) for r in again.results.select("part_date").distinct().collect()} == {"2024-01-04"}
-    assert spark.read.parquet(f"{root}/layer_summary").filter("layer = 'gold' AND dataset IS NULL").first()["checks"] > 0
+    assert history.read_layer_summary(spark, root).filter("layer = 'gold' AND dataset IS NULL").first()["checks"] > 0
     history.append_sweep(again.results, root)
-    assert spark.read.parquet(f"{root}/sweep_verdicts").first()["verdict"] == "LAYAK"
+    assert history.read_sweep(spark, root)[0].first()["verdict"] == "LAYAK"
+    rows = history.read(spark, root).count()
+    history.append(again.results, root)                 # the same run once more replaces itself
+    assert history.read(spark, root).count() == rows
 
 
 def test_master_tables(spark, learned):
