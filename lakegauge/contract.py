@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import os
 import re
-from dataclasses import dataclass, field
+import zlib
+from dataclasses import asdict, dataclass, field
 from typing import Any
 
 # The contract file format.
@@ -81,6 +82,10 @@ class Contract:
     ratio_tolerance: float = 0.1
     warnings: list[str] = field(default_factory=list)
 
+    def fingerprint(self) -> int:
+        """Changes with anything the contract says about its data."""
+        return zlib.crc32(repr({k: v for k, v in asdict(self).items() if k not in ("warnings", "thresholds", "lag_days")}).encode())
+
     def column(self, name: str) -> ColumnContract | None:
         return next((c for c in self.columns if c.name == name), None)
 

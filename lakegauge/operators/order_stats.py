@@ -1,17 +1,13 @@
-"""Exact order statistics per group without shuffling or sorting the values.
+"""Exact order statistics per group without shuffling or sorting all values.
 
-Three narrow scans instead of one full shuffle of the column:
+A group's count, least and largest value come from one narrow scan. Where a group holds more values than one task should sort,
+a KLL sketch of them brackets every wanted rank, the next scan counts the zones between the brackets' ends, and only zones
+that hold a rank go on, by a sketch of their own as long as they are still too large. What is left, a bounded number of
+values per zone, is counted by value and read off.
 
-1. count rows per (group, column, logarithmic bucket); prefix sums over the few buckets of a
-   group tell which bucket holds each wanted rank;
-2. only rows of those buckets are counted again, now in 4096 equal slices between the bucket's
-   true minimum and maximum;
-3. only rows of the slices that hold a rank are counted by value, and the value is read off.
-
-A caller who knows that a column has few different values can have it counted by value in one job
-instead; the result is the same. Every step is an aggregation with map-side combine, so a group with a third of all rows, or one
-value on a third of all rows, costs no more than any other. The result is exact for any data:
-the bucket functions only have to be monotone.
+The counts alone decide which zone holds a rank, so the result is exact however far off a sketch may be. Every step is an
+aggregation with map-side combine: a group with a third of all rows, or one value on a third of them, costs no more than any
+other. A caller who knows that a column has few different values can have it counted by value in one job instead.
 """
 
 from __future__ import annotations
@@ -20,10 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lakegauge.functions.numbers import log_bucket
 from lakegauge.session import materialise
 
-SLICES = 4096
+#: rows of a zone that are counted by value; sketch size, and the grid of ranks that brackets are taken from
+BOUND, SKETCH_K, GRID = 16384, 1024, 128
 
 
 def same_group(big: DataFrame, small: DataFrame, on: list[str]) -> DataFrame:
@@ -71,36 +67,66 @@ def _locate(counts: DataFrame, by: list[str], order: str, ranks: Column) -> Data
                 r["name"].alias("name"), (r.k - F.col("_before")).alias("k")))))
 
 
-def exact_ranks(values: DataFrame, group: list[str], ranks: dict[str, object], one_job: bool = False) -> DataFrame:
+def sketch(v: str | Column = "v") -> Column:
+    """Mergeable sketch of a column's distribution."""
+    return F.kll_sketch_agg_double(v, F.lit(SKETCH_K))
+
+
+def _inside(rows: DataFrame, zones: DataFrame, by: list[str]) -> DataFrame:
+    """Rows that lie in one of the zones of their group, with the zone's columns."""
+    return same_group(rows, zones, by).where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+
+
+def exact_ranks(values: DataFrame, group: list[str], ranks: dict[str, object], one_job: bool = False,
+                weight: str | None = None, sketches: DataFrame | None = None, bound: int = BOUND) -> DataFrame:
     """Value at each named rank per (group, column).
 
-    ``values`` has the group columns, ``column`` and a double ``v``; ``ranks`` maps a name to a
-    function from the group's value count to a zero-based rank. Output: group, column, name, value.
+    ``values`` has the group columns, ``column`` and a double ``v``, and with ``weight`` stands for that many rows; ``ranks``
+    maps a name to a function from the group's value count to a zero-based rank. ``sketches`` (group, column, sketch) spares the first
+    sketching scan. Output: group, column, name, value.
     """
     by = [*group, "column"]
+    w = F.sum(weight) if weight else F.count(F.lit(1))
     wanted = F.array(*[F.struct(F.lit(name).alias("name"), fn(F.col("_n")).alias("k")) for name, fn in ranks.items()])
+    rows = values.select(*by, "v", *([weight] if weight else []))
     if one_job:
-        counts = values.groupBy(*by, "v").agg(F.count(F.lit(1)).alias("cnt"))
+        counts = rows.groupBy(*by, "v").agg(w.alias("cnt"))
         return _read_off(_locate(counts, by, "v", wanted), by)
-    rows = values.select(*by, "v").withColumn("b1", log_bucket(F.col("v")))
-    c1 = rows.groupBy(*by, "b1").agg(F.count(F.lit(1)).alias("cnt"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    t1 = materialise(_locate(c1, by, "b1", wanted).select(*by, "b1", "lo", "hi", F.col("_inside").alias("want")),
-                     "ranks1")
-
-    slice_no = F.when(F.col("hi") > F.col("lo"),
-                      F.floor((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")) * SLICES)).otherwise(0)
-    # an infinite or overflowing span gives no usable slice; such a bucket stays whole
-    slice_no = F.when(F.col("hi") - F.col("lo") < float("inf"), slice_no).otherwise(0).cast("bigint")
-    sliced = same_group(rows, t1.select(*by, "b1", "lo", "hi"), [*by, "b1"]).withColumn("b2", slice_no)
-    c2 = sliced.groupBy(*by, "b1", "b2").agg(F.count(F.lit(1)).alias("cnt"))
-    c2 = same_group(c2, t1.select(*by, "b1", "want"), [*by, "b1"])
-    t2 = materialise(_locate(c2, [*by, "b1"], "b2", F.col("want")).select(*by, "b1", "b2", F.col("_inside").alias("want")),
-                     "ranks2")
-
-    fine = same_group(sliced, t2.select(*by, "b1", "b2"), [*by, "b1", "b2"])
-    c3 = fine.groupBy(*by, "b1", "b2", "v").agg(F.count(F.lit(1)).alias("cnt"))
-    c3 = same_group(c3, t2.select(*by, "b1", "b2", "want"), [*by, "b1", "b2"])
-    return _read_off(_locate(c3, [*by, "b1", "b2"], "v", F.col("want")), by)
+    zones = rows.groupBy(*by).agg(w.alias("_n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    zones = materialise(zones.withColumn("want", wanted).withColumnRenamed("_n", "cnt"), "zones")
+    done, size = [], F.col("cnt") > bound
+    open_zones = zones.where(size & (F.col("lo") < F.col("hi")))
+    while not open_zones.isEmpty():
+        done.append(zones.where(~size | (F.col("lo") >= F.col("hi"))))
+        if sketches is None:
+            known = _inside(rows, open_zones.select(*by, "lo", "hi"), by).groupBy(*by, "lo").agg(sketch().alias("sketch"))
+            sketched = same_group(open_zones, known, [*by, "lo"])
+        else:
+            sketched, sketches = same_group(open_zones, sketches.select(*by, "sketch"), by), None
+        grid = F.kll_sketch_get_quantile_double("sketch", F.array(*[F.lit(i / GRID) for i in range(GRID + 1)]))
+        at = F.transform("want", lambda r: F.floor(r["k"] / F.col("cnt") * GRID).cast("int"))
+        ends = F.flatten(F.transform(at, lambda i: F.array(F.greatest(i - 1, F.lit(0)), F.least(i + 2, F.lit(GRID)))))
+        edges = F.array_sort(F.array_distinct(F.transform(ends, lambda i: F.get(F.col("_grid"), i))))
+        cut = materialise(sketched.withColumn("_grid", grid).withColumn("edges", edges).select(
+            *by, "lo", "hi", "edges", "want"), "brackets")
+        # an end is a zone of its own: a value on very many rows is singled out, and every round leaves less
+        zone = F.size(F.filter("edges", lambda e: e < F.col("v"))) + F.size(F.filter("edges", lambda e: e <= F.col("v")))
+        counted = _inside(rows, cut.select(*by, "lo", "hi", "edges"), by).groupBy(*by, "lo", zone.alias("zone")).agg(
+            w.alias("cnt"), F.min("v").alias("_min"), F.max("v").alias("_max"))
+        counted = same_group(counted, cut.select(*by, "lo", "want"), [*by, "lo"])
+        zones = materialise(_locate(counted, [*by, "lo"], "zone", F.col("want")).select(
+            *by, "cnt", F.col("_min").alias("lo"), F.col("_max").alias("hi"), F.col("_inside").alias("want")), "zones")
+        open_zones = zones.where(size & (F.col("lo") < F.col("hi")))
+    done.append(zones)
+    last = done[0]
+    for d in done[1:]:
+        last = last.unionByName(d)
+    flat = last.where("lo = hi").select(*by, F.explode("want").alias("_hit"), F.col("lo").alias("v")).select(
+        *by, F.col("_hit")["name"].alias("name"), F.col("v").alias("value"))
+    few = last.where("lo < hi")
+    fine = _inside(rows, few.select(*by, "lo", "hi"), by).groupBy(*by, "lo", "v").agg(w.alias("cnt"))
+    fine = same_group(fine, few.select(*by, "lo", "want"), [*by, "lo"])
+    return flat.unionByName(_read_off(_locate(fine, [*by, "lo"], "v", F.col("want")), by))
 
 
 def _read_off(found: DataFrame, by: list[str]) -> DataFrame:
@@ -108,10 +134,11 @@ def _read_off(found: DataFrame, by: list[str]) -> DataFrame:
         *by, F.col("_hit")["name"].alias("name"), F.col("v").alias("value"))
 
 
-def quantiles(values: DataFrame, group: list[str], qs: list[float], definition: str = "lower", one_job: bool = False) -> DataFrame:
+def quantiles(values: DataFrame, group: list[str], qs: list[float], definition: str = "lower", one_job: bool = False,
+              **how) -> DataFrame:
     """Exact quantiles, named by their probability."""
     rank = {"lower": lower_rank, "nearest": nearest_rank}[definition]
-    return exact_ranks(values, group, {str(q): (lambda n, q=q: rank(q, n)) for q in qs}, one_job)
+    return exact_ranks(values, group, {str(q): (lambda n, q=q: rank(q, n)) for q in qs}, one_job, **how)
 
 
 def median(values: DataFrame, group: list[str]) -> DataFrame:

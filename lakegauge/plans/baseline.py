@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -17,10 +18,11 @@ from pyspark.sql import functions as F
 
 from lakegauge.contract import Contract
 from lakegauge.functions import numbers, times
-from lakegauge.operators import distribution, keys, membership, order_stats
+from lakegauge.operators import distribution, keys, membership, onepass, order_stats
 from lakegauge.operators.prepare import PART, PART_DATE
 from lakegauge.plans import patterns
 from lakegauge.session import materialise, small_table, together
+from lakegauge.sources import commits
 
 QS = (0.5, 0.75, 0.95, 0.99)                 # corridor quantiles
 GLOBAL_QS = (0.5, 0.75, 0.9, 0.95, 0.99)     # informational
@@ -155,6 +157,16 @@ def histogram(frame: DataFrame, values: dict[str, Column], bins: dict[str, list[
     return frame.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
+def histogram_of_counts(numbers: DataFrame, bins: dict[str, list[float]]) -> DataFrame:
+    """Rows per column and bin, from counted values (column, v, n): folded per bin before the shuffle."""
+    index = F.lit(None).cast("int")
+    for name, edges in bins.items():
+        x = F.col("v")
+        inner = F.size(F.filter(F.array(*[F.lit(float(e)) for e in edges[1:-1]]), lambda e: e <= x))
+        index = F.when((F.col("column") == name) & x.between(float(edges[0]), float(edges[-1])), inner).otherwise(index)
+    return numbers.select("column", index.alias("bin"), "n").where("bin IS NOT NULL").groupBy("column", "bin").agg(F.sum("n").alias("rows"))
+
+
 def reject_rows(frame: DataFrame, c: Contract) -> DataFrame:
     """Values outside their physical range, with the key columns that identify the row."""
     tests, ident = [], [k for k in dict.fromkeys([c.surrogate_key, *c.business_key]) if k and k in frame.columns]
@@ -194,28 +206,70 @@ def quantile_bounds(lo: float, hi: float, bounds: tuple | None, low_margin: floa
     return lo - (1 - low_margin) * abs(lo), min(top, cap)
 
 
-def learn(frame: DataFrame, c: Contract, exclude: list[str] | None = None, corridors: str = "signed",
+#: what is remembered of a partition; every table has its partition column, and tables of partitions add up by union
+STATES = ("stats", "numbers", "sketches", "quantiles", "codes", "pairs", "parts", "rejects")
+
+
+def gather(frame: DataFrame, c: Contract) -> dict[str, DataFrame]:
+    """States of all partitions of ``frame``, written tables.
+
+    ``stats`` has counts, moments and extremes per column, ``numbers``, ``codes`` and ``pairs`` the counted values of profiled, of text
+    and reference columns and of relations, ``sketches`` the distributions, ``quantiles`` the exact order statistics, ``parts``
+    entities and periods, ``rejects`` rows out of range. A baseline follows from the states alone (``merge``).
+    """
+    nums = profiled_numbers(frame, c)
+    coded = [n for n in dict.fromkeys([*c.text_columns, *c.reference_columns]) if n in frame.columns]
+    rel = [p for p in c.relations if p[0] in frame.columns and p[1] in frame.columns]
+
+    def parts() -> DataFrame:
+        ts = times.as_time(F.col(c.event_time), frame.schema[c.event_time].dataType, c.epoch_unit) if c.event_time in frame.columns \
+            and c.grain in ("jam", "hari") else None
+        period = F.lit(None).cast("bigint") if ts is None else times.distinct_periods(F.hour(ts)) if c.grain == "jam" \
+            else F.count_distinct(F.to_date(ts))
+        out = frame.groupBy(PART).agg(period.alias("periods"))
+        if not c.business_key or c.business_key[0] not in frame.columns:
+            return out.withColumn("entities", F.lit(None).cast("bigint"))
+        n = keys.distinct_count(frame, [PART], c.business_key[0], "entities").withColumnRenamed(PART, "_p")
+        return out.join(n, F.col(PART).eqNullSafe(F.col("_p")), "left").drop("_p")
+
+    def numbers_and_quantiles() -> dict[str, DataFrame]:
+        long = order_stats.long_values(frame, [PART], nums) if nums else frame.select(
+            PART, F.lit("").alias("column"), F.lit(0.0).alias("v")).where("false")
+        counted = materialise(long.groupBy(PART, "column", "v").agg(F.count("*").alias("n")), "numbers")
+        return {"numbers": counted,
+                "sketches": materialise(long.groupBy(PART, "column").agg(order_stats.sketch().alias("sketch")), "sketches"),
+                "quantiles": materialise(order_stats.quantiles(counted, [PART], list(GLOBAL_QS), weight="n"), "quantiles")}
+
+    none = frame.select(PART, F.lit("").alias("column"), F.lit("").alias("code"), F.lit(0).cast("bigint").alias("_cnt")).where("false")
+    no_pair = frame.select(PART, *[F.lit("").alias(k) for k in ("relation", "a", "b")], F.lit(0).cast("bigint").alias("_cnt")).where("false")
+    got = together(
+        stats=lambda: materialise(column_stats(frame, c, [PART, PART_DATE]), "column_stats"),
+        numeric=numbers_and_quantiles,
+        codes=lambda: materialise(onepass.value_counts(frame, [PART], coded) if coded else none, "codes"),
+        pairs=lambda: materialise(membership.pair_counts(frame, [PART], rel) if rel else no_pair, "pairs"),
+        parts=lambda: materialise(parts(), "parts"),
+        rejects=lambda: materialise(reject_rows(frame, c), "rejects"))
+    return {**{k: v for k, v in got.items() if k != "numeric"}, **got["numeric"]}
+
+
+def merge(states: dict[str, DataFrame], c: Contract, left_out: list[str], corridors: str = "signed",
           now: dt.datetime | None = None) -> Baseline:
-    """Learn the baseline of a dataset from a frame that carries its partition columns."""
-    spark = frame.sparkSession
-    history, left_out = exclude_partitions(frame, exclude)
-    stats = materialise(column_stats(history, c, [PART, PART_DATE]), "column_stats")
-    first = next(k.name for k in c.columns if k.name in frame.columns)
+    """The baseline of the partitions whose states are given; no row of the dataset is read."""
+    stats, codes, numbers = states["stats"], states["codes"], states["numbers"]
+    have = [r["column"] for r in stats.select("column").distinct().collect()]
+    first = next(k.name for k in c.columns if k.name in have) if have else None
     part_rows = stats.filter(F.col("column") == first).select(PART, PART_DATE, "rows")
     b = Baseline(c.name)
     t = c.thresholds
     reference = corridors == "reference"
-
     vol = volume_corridor(part_rows, t["toleransi_volume"]).first().asDict()
     if not vol["partitions"]:
         raise ValueError(f"{c.name}: every partition is excluded, no baseline can be built")
-    nums = profiled_numbers(history, c)
-    texts = [n for n in c.text_columns if n in frame.columns]
-    refs = [n for n in c.reference_columns if n in frame.columns]
-    rel = [p for p in c.relations if p[0] in frame.columns and p[1] in frame.columns]
+    texts = [n for n in c.text_columns if n in have]
+    refs = [n for n in c.reference_columns if n in have]
+    rel = [p for p in c.relations if p[0] in have and p[1] in have]
     learned_texts = [n for n in texts if not c.column(n).patterns]
-    b.rejects = reject_rows(history, c)
-    b.partitions = part_rows.select(PART, PART_DATE, "rows")
+    b.rejects, b.partitions = states["rejects"], part_rows
 
     def value_sets(build, by: str):
         def run():
@@ -223,30 +277,12 @@ def learn(frame: DataFrame, c: Contract, exclude: list[str] | None = None, corri
             return table, {r[by]: r["n"] for r in table.groupBy(by).agg(F.count(F.lit(1)).alias("n")).collect()}
         return run
 
-    def entities():
-        if not c.business_key or c.business_key[0] not in frame.columns:
-            return None, None
-        return tuple(keys.distinct_count(history, [PART], c.business_key[0]).agg(
-            F.min("distinct_count"), F.max("distinct_count")).first())
-
-    def periods():
-        if c.event_time not in frame.columns or c.grain not in ("jam", "hari"):
-            return None
-        ts = times.as_time(F.col(c.event_time), frame.schema[c.event_time].dataType, c.epoch_unit)
-        if c.grain == "jam":
-            per = history.groupBy(PART).agg(times.distinct_periods(F.hour(ts)).alias("p"))
-        else:
-            per = keys.distinct_count(history.withColumn("_day", F.to_date(ts)), [PART], "_day", "p")
-        return per.agg(F.max("p")).first()[0] or None
-
     def quantiles():
-        """Per partition and, with a null partition, over the whole history."""
-        long = order_stats.long_values(history, [PART], nums).withColumn(PART, F.explode(F.array(F.col(PART), F.lit(None))))
-        q = order_stats.quantiles(long, [PART], list(GLOBAL_QS), "lower")
-        part = F.col(PART).isNotNull()
-        return q.groupBy("column", "name").agg(
-            F.min(F.when(part, F.col("value"))).alias("lo"), F.max(F.when(part, F.col("value"))).alias("hi"),
-            F.max(F.when(~part, F.col("value"))).alias("whole")).collect()
+        """Range over partitions, and the quantiles of the whole history from merged sketches and counted values."""
+        per = states["quantiles"].groupBy("column", "name").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+        merged = states["sketches"].groupBy("column").agg(F.kll_merge_agg_double("sketch", F.lit(order_stats.SKETCH_K)).alias("sketch"))
+        whole = order_stats.quantiles(numbers, [], list(GLOBAL_QS), weight="n", sketches=materialise(merged, "merged"))
+        return per.join(whole.withColumnRenamed("value", "whole"), ["column", "name"]).collect()
 
     def numeric():
         d = {r["column"]: r.asDict() for r in numeric_corridor(stats).collect()}
@@ -257,54 +293,62 @@ def learn(frame: DataFrame, c: Contract, exclude: list[str] | None = None, corri
             bounds = c.column(name).bounds or (d[name]["min"], d[name]["max"])
             bins[name] = distribution.edges(float(bounds[0]), float(bounds[1]))
         hist = {n: [0] * (len(bins[n]) - 1) for n in d}
-        for r in histogram(history, {n: nums[n] for n in d}, bins).collect():
+        for r in histogram_of_counts(numbers, bins).collect():
             hist[r["column"]][r["bin"]] = r["rows"]
         return d, bins, hist
 
+    def text_sets():
+        """Patterns, and exact and estimated numbers of distinct values, from the distinct values of all partitions."""
+        values = materialise(codes.where(F.col("column").isin(*texts) & F.col("code").isNotNull()).select(
+            "column", F.col("code").alias("value")).distinct(), "text_values")
+        seen = {r["column"]: r for r in values.groupBy("column").agg(
+            F.count("*").alias("n"), F.hll_sketch_estimate(F.hll_sketch_agg("value")).alias("about")).collect()}
+        return patterns.derive_from_values(values.where(F.length("value") > 0), learned_texts), seen
+
     jobs = {
-        "entities": entities, "periods": periods, "rejected": b.rejects.count,
+        "parts": lambda: states["parts"].agg(F.min("entities"), F.max("entities"), F.max("periods")).first(),
+        "rejected": b.rejects.count,
         "nulls": lambda: null_corridor(stats, t["margin_null"]).collect(),
         "lengths": lambda: stats.filter(F.col("len_min").isNotNull()).groupBy("column").agg(
             F.min("len_min").alias("lo"), F.max("len_max").alias("hi")).collect(),
+        "quantiles": quantiles, "numeric": numeric,
     }
-    if nums:
-        jobs |= {"quantiles": quantiles, "numeric": numeric}
     if texts:
-        jobs["patterns"] = lambda: patterns.derive(history, learned_texts)
-        jobs["distinct"] = lambda: history.agg(*[F.approx_count_distinct(F.col(n)).alias(f"d{i}")
-                                                 for i, n in enumerate(texts)]).first()
+        jobs["texts"] = text_sets
     if refs:
-        jobs["master"] = value_sets(lambda: membership.code_list(history, refs), "column")
+        jobs["master"] = value_sets(lambda: codes.where(F.col("column").isin(*refs) & F.col("code").isNotNull()).select(
+            "column", "code").distinct(), "column")
     if rel:
-        jobs["relations"] = value_sets(lambda: membership.relation_map(history, rel), "relation")
+        jobs["relations"] = value_sets(lambda: states["pairs"].where("a IS NOT NULL AND b IS NOT NULL").select(
+            "relation", "a", "b").distinct(), "relation")
     got = together(**jobs)
 
-    b.volume = {**vol, "entities_min": got["entities"][0], "entities_max": got["entities"][1], "periods": got["periods"]}
+    low, high, most = got["parts"]
+    b.volume = {**vol, "entities_min": low, "entities_max": high, "periods": most or None}
     for r in got["nulls"]:
         d = r.asDict()
         k = c.column(d.pop("column"))
         b.missing[k.name] = {**d, "min_present": 1.0 if k.required else d["min_present"]}
-    if nums:
-        dist, bins, hist = got["numeric"]
-        for name, d in dist.items():
-            bounds, total = c.column(name).bounds, sum(hist[name])
-            mine = sorted((r for r in got["quantiles"] if r["column"] == name), key=lambda r: float(r["name"]))
-            d.pop("column")
-            d["bins"], d["weights"] = bins[name], [h / total if total else 0.0 for h in hist[name]]
-            d["mean_low"], d["mean_high"] = mean_bounds(d, bounds, t["margin_mean"], reference)
-            d["sd_high"] = round(max(d["sd_max"] * t["margin_stdev"], 1e-6), 6)
-            d["quantiles"] = {r["name"]: r["whole"] for r in mine}
-            d["quantile_range"] = {r["name"]: (r["lo"], r["hi"]) for r in mine if float(r["name"]) in QS}
-            d["quantile_corridor"] = {
-                q: quantile_bounds(lo, hi, bounds, t["margin_kuantil_bawah"], t["margin_kuantil_atas"], reference)
-                for q, (lo, hi) in d["quantile_range"].items()}
-            b.distribution[name] = d
+    dist, bins, hist = got["numeric"]
+    for name, d in dist.items():
+        bounds, total = c.column(name).bounds, sum(hist[name])
+        mine = sorted((r for r in got["quantiles"] if r["column"] == name), key=lambda r: float(r["name"]))
+        d.pop("column")
+        d["bins"], d["weights"] = bins[name], [h / total if total else 0.0 for h in hist[name]]
+        d["mean_low"], d["mean_high"] = mean_bounds(d, bounds, t["margin_mean"], reference)
+        d["sd_high"] = round(max(d["sd_max"] * t["margin_stdev"], 1e-6), 6)
+        d["quantiles"] = {r["name"]: r["whole"] for r in mine}
+        d["quantile_range"] = {r["name"]: (r["lo"], r["hi"]) for r in mine if float(r["name"]) in QS}
+        d["quantile_corridor"] = {
+            q: quantile_bounds(lo, hi, bounds, t["margin_kuantil_bawah"], t["margin_kuantil_atas"], reference)
+            for q, (lo, hi) in d["quantile_range"].items()}
+        b.distribution[name] = d
     lens = {r["column"]: r for r in got["lengths"]}
-    for i, n in enumerate(texts):
+    for n in texts:
         if n in lens:
-            own = c.column(n).patterns
-            b.text[n] = {"patterns": own or got["patterns"][n], "declared": bool(own), "len_min": lens[n]["lo"],
-                         "len_max": lens[n]["hi"], "distinct_values": got["distinct"][i]}
+            own, (found, seen) = c.column(n).patterns, got["texts"]
+            b.text[n] = {"patterns": own or found[n], "declared": bool(own), "len_min": lens[n]["lo"], "len_max": lens[n]["hi"],
+                         "distinct_values": seen[n]["n"] if n in seen else 0, "distinct_estimate": seen[n]["about"] if n in seen else 0}
     if refs:
         b.master, b.master_sizes = got["master"]
     if rel:
@@ -316,6 +360,46 @@ def learn(frame: DataFrame, c: Contract, exclude: list[str] | None = None, corri
     return b
 
 
+def learn(frame: DataFrame, c: Contract, exclude: list[str] | None = None, corridors: str = "signed",
+          now: dt.datetime | None = None) -> Baseline:
+    """Learn the baseline of a dataset from a frame that carries its partition columns."""
+    history, left_out = exclude_partitions(frame, exclude)
+    return merge(gather(history, c), c, left_out, corridors, now)
+
+
+def remembered(spark: SparkSession, c: Contract, store: str) -> DataFrame:
+    """Partitions whose states are stored, with the fingerprint of what they were learned from."""
+    if not commits.any_commit(spark, _states(c, store), "parts"):
+        return spark.createDataFrame([], f"{PART} string, fingerprint long")
+    return commits.committed(spark, _states(c, store), "parts", [PART]).select(PART, "fingerprint")
+
+
+def _states(c: Contract, store: str) -> str:
+    return f"{store.rstrip('/')}/dataset={c.name}/states"
+
+
+def relearn(spark: SparkSession, c: Contract, store: str, partitions: DataFrame, read: Callable[[DataFrame], DataFrame], *,
+            exclude: list[str] | None = None, corridors: str = "signed", now: dt.datetime | None = None) -> Baseline:
+    """The baseline of ``partitions`` (part, part_date, fingerprint); only those that aren't remembered as they are now are read.
+
+    ``read`` gets the partitions to read (part) and returns their rows. States are committed per partition, ``parts`` last, so
+    a run that stopped is simply repeated; what was learned of a partition with another fingerprint is replaced. The newest partition
+    is left out, or those that ``exclude`` names. Equal to ``learn`` over the same partitions.
+    """
+    named = partitions.select(F.col("part").alias(PART), F.col("part_date").alias(PART_DATE), "fingerprint")
+    used, left_out = exclude_partitions(named, exclude)
+    used = materialise(used, "partitions")
+    fresh = used.join(remembered(spark, c, store), [PART, "fingerprint"], "left_anti")
+    if not fresh.isEmpty():
+        found, where = gather(read(fresh.select(F.col(PART).alias("part"))), c), _states(c, store)
+        found["parts"] = found["parts"].join(fresh.select(PART, "fingerprint"), PART)
+        for name in sorted(STATES, key=lambda n: n == "parts"):
+            commits.commit(found[name], where, name, [PART], fresh)
+    keep = used.select(PART)
+    states = {n: commits.committed(spark, _states(c, store), n, [PART]).join(keep, PART, "left_semi") for n in STATES}
+    return merge(states, c, left_out, corridors, now)
+
+
 def save(b: Baseline, root: str, spark: SparkSession) -> str:
     """Write a baseline below ``root/dataset=<name>``: one JSON document of scalars and the tables."""
     base = f"{root.rstrip('/')}/dataset={b.dataset}"

@@ -96,8 +96,19 @@ def derive(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
         return {}
     df = df.select(*columns)
     known = _estimates(df, columns)
-    values = text_values(df, columns, known)
-    shaped = [c for c in columns if known[c][2] <= _SHAPES_WORTH_COUNTING]
+    return _derived(text_values(df, columns, known), columns, {c: known[c][2] for c in columns})
+
+
+def derive_from_values(values: DataFrame, columns: list[str]) -> dict[str, list[str]]:
+    """As ``derive``, from a table of the distinct non-empty values (column, value)."""
+    if not columns:
+        return {}
+    found = values.groupBy("column").agg(F.approx_count_distinct(F.regexp_replace("value", text.ALNUM_RUN, "")).alias("n")).collect()
+    return _derived(values, columns, {**dict.fromkeys(columns, 0), **{r["column"]: r["n"] for r in found}})
+
+
+def _derived(values: DataFrame, columns: list[str], skeletons: dict[str, int]) -> dict[str, list[str]]:
+    shaped = [c for c in columns if skeletons[c] <= _SHAPES_WORTH_COUNTING]
     info = {r["column"]: r for r in text_profile(values, shaped).collect()}
     out = {c: ["^.*$"] for c in columns if c not in info}
     few = [c for c in info if c in shaped and info[c]["shapes"] <= _SHAPES_WORTH_COUNTING]

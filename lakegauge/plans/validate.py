@@ -31,11 +31,17 @@ def open_dataset(spark: SparkSession, c: Contract, where: str = "lokal"):
 
 def build_baseline(spark: SparkSession, c: Contract, root: str, where: str = "lokal",
                    exclude: list[str] | None = None) -> bl.Baseline:
-    """Learn and store the baseline; ``exclude`` names partitions by label."""
-    files, parts, probed, _ = open_dataset(spark, c, where)
-    frame = reader.read_partitions(spark, files, probed)
+    """Learn and store the baseline; ``exclude`` names partitions by label.
+
+    What was learned of partitions whose files are still the same is remembered below ``root``: only new or changed ones are read.
+    """
+    files, parts, probed, broken = open_dataset(spark, c, where)
     names = [r["part"] for r in parts.filter(F.col("label").isin(exclude)).collect()] if exclude else None
-    b = bl.learn(frame, c, names)
+    columns = probed.filter("readable").select("path", F.xxhash64(F.to_json("columns")).alias("schema"))
+    mark = F.sum(F.xxhash64("path", "length", "schema", F.lit(c.fingerprint())) % (1 << 31)).alias("fingerprint")
+    known = files.join(columns, "path").join(broken, "part", "left_anti").groupBy("part", "part_date").agg(mark)
+    read = lambda new: reader.read_partitions(spark, files.join(new, "part", "left_semi"), probed)
+    b = bl.relearn(spark, c, root, materialise(known, "fingerprints"), read, exclude=names)
     bl.save(b, root, spark)
     return bl.load(spark, root, c.name)
 

@@ -212,4 +212,41 @@ def baseline_to_build(spark, sf):
     return out
 
 
+@query("baseline_incremental", f"""
+WITH h AS (SELECT day, {_IN} AS v, event_type FROM {HISTORY}),
+r AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS i, count(*) OVER () AS n FROM h WHERE v IS NOT NULL)
+SELECT 'value' AS "column", (SELECT CAST(count(*) AS BIGINT) FROM h) AS "rows", (SELECT CAST(count(DISTINCT day) AS BIGINT) FROM h) AS partitions,
+  1::BIGINT AS days_read, true AS equals_full, (SELECT min(v) FROM r WHERE i = floor(0.5::DOUBLE * (n - 1))) AS median,
+  (SELECT min(v) FROM r WHERE i = floor(0.99::DOUBLE * (n - 1))) AS p99, (SELECT CAST(count(DISTINCT event_type) AS BIGINT) FROM h) AS types""")
+def baseline_incremental(spark, sf):
+    """A baseline after one more day: only that day is read, and it equals one learned from all days at once."""
+    store, e, c, now = scratch_path(spark, "states"), daily_events(spark, sf), contract(), dt.datetime(2024, 2, 1)
+    days, seen = e.groupBy(F.col(PART).alias("part"), F.col(PART_DATE).alias("part_date")).agg(F.xxhash64(F.count("*")).alias("fingerprint")), []
+
+    def read(new):
+        seen.append(new.count())
+        return e.join(new.withColumnRenamed("part", PART), PART, "left_semi")
+
+    last = days.agg(F.max("part")).first()[0]
+    bl.relearn(spark, c, store, days.filter(F.col("part") != last), read, exclude=["none"], now=now)
+    b = bl.relearn(spark, c, store, days, read, exclude=["none"], now=now)
+    full = bl.learn(e, c, exclude=["none"], now=now)
+    same = all(getattr(b, k) == getattr(full, k) for k in bl.Baseline.SCALARS if k not in ("text", "distribution")) and all(
+        _close(getattr(b, k), getattr(full, k)) for k in ("text", "distribution"))
+    b = bl.relearn(spark, c, store, days, read, now=now)                   # all is remembered; the newest day is left out
+    v = b.distribution["value"]
+    return b.partitions.agg(F.lit("value").alias("column"), F.sum("rows").alias("rows"), F.count("*").alias("partitions")).withColumns({
+        "days_read": F.lit(sum(seen[1:])).cast("bigint"), "equals_full": F.lit(same), "median": F.lit(v["quantiles"]["0.5"]),
+        "p99": F.lit(v["quantiles"]["0.99"]), "types": F.lit(b.text["event_type"]["distinct_values"]).cast("bigint")})
+
+
+def _close(a, b):
+    """Equal but for the last digits of sums that were added up in another order."""
+    if isinstance(a, dict):
+        return a.keys() == b.keys() and all(_close(a[k], b[k]) for k in a)
+    if isinstance(a, (list, tuple)):
+        return len(a) == len(b) and all(map(_close, a, b))
+    return abs(a - b) <= 1e-9 * max(1.0, abs(a)) if isinstance(a, float) else a == b
+
+
 __all__ = ["EVENTS", "HISTORY", "PART_DATE", "contract", "history", "with_partition"]
