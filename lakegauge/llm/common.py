@@ -39,6 +39,11 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit("[^ \\t-\\r]++")).cast("long")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """(doc, row): all columns of a row in one struct, safe from other names, and a number of its own once this is written."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.monotonically_increasing_id().alias("row"))
+
+
 def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches of at most ``rows`` documents, unless the session already asks for fewer: texts can be long."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -1,21 +1,22 @@
 """Exact deduplication through an extendible-hash index on shared files.
 
 Normalised texts are hashed to 64 bits. A directory of 2^depth slots over the leading bits leads to buckets; while a bucket
-holds more keys than its capacity the directory doubles and that bucket splits by one more bit. The index is written to
-shared files, each bucket, a key range, by one owner task. Texts with equal hashes chain within their bucket and are told
-apart by comparing their bytes: the aggregation that fills the index has the hash and the normalised text as its key, and
-combines copies before the shuffle, so a text with very many copies costs one row per map task.
+holds more keys than its capacity the directory doubles and that bucket splits by one more bit. Copies are combined before the
+shuffle, so a text with very many copies costs one row per map task, and go through the directory to their bucket, a key range
+with one owner task. The owner chains entries with equal hashes. Documents look up slot, bucket and hash: where a hash has one
+entry that is their group, where it has several they are compared with the chain's texts byte by byte.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from decimal import Decimal
 from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakegauge.llm.common import squeezed, whole
+from lakegauge.llm.common import packed, squeezed, whole
 from lakegauge.session import materialise
 
 #: keys that fit into a bucket
@@ -56,63 +57,67 @@ def _best(n_chars: Column, key: Column) -> Column:
     return n_chars.cast("decimal(18,0)") * _SHIFT + (F.lit(_TOP) - F.coalesce(key.cast("decimal(20,0)"), F.lit(_TOP)))
 
 
-def index(docs: DataFrame, light: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    """The index on shared files, one entry per distinct normalised text: (bucket, h, chain, sha, n, keep, keep_chars)."""
-    slots, depth = directory(light.select("h").distinct(), capacity)
-    norm = squeezed(whole(text))
-    raw = docs.select(F.col(key).alias("id"), F.length(whole(text)).alias("chars"), norm.alias("norm")).withColumn(
-        "h", F.xxhash64("norm"))
-    filled = raw.groupBy("h", "norm").agg(F.count("*").alias("n"), F.max(_best(F.col("chars"), F.col("id"))).alias("best"))
+def _entry(group: list[str]):
+    """Counts and the row that stays of each group of a frame with id and chars."""
     rest = F.col("best") % _SHIFT
-    found = filled.select("h", F.unhex(F.sha2("norm", 256)).alias("sha"), "n",
-                          F.when(rest > 0, F.lit(_TOP) - rest).cast("long").alias("keep"),
-                          ((F.col("best") - rest) / _SHIFT).cast("long").alias("keep_chars"))
-    owned = found.join(slots, _slot("h", depth) == F.col("slot")).drop("slot")
-    chain = F.row_number().over(Window.partitionBy("bucket", "h").orderBy("sha"))
-    return materialise(owned.repartition("bucket").sortWithinPartitions("bucket", "h").withColumn("chain", chain), "index")
-
-
-def light_of(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row, without its text: (id, chars, h, sha), written to shared files."""
-    norm = docs.select(F.col(key).alias("id"), F.length(whole(text)).cast("long").alias("chars"),
-                       squeezed(whole(text)).alias("norm"))
-    return materialise(norm.select("id", "chars", F.xxhash64("norm").alias("h"), F.unhex(F.sha2("norm", 256)).alias("sha")),
-                       "texts")
+    return lambda d: d.groupBy(*group).agg(F.count("*").alias("n"), F.max(_best(F.col("chars"), F.col("id"))).alias("best")).select(
+        *group, "n", F.when(rest > 0, F.lit(_TOP) - rest).cast("long").alias("keep"),
+        ((F.col("best") - rest) / _SHIFT).cast("long").alias("keep_chars"))
 
 
-def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
+def _groups(rows: DataFrame, capacity: int, hashed: Callable[[Column], Column], carry: tuple[str, ...] = ()) -> DataFrame:
+    """Group (bucket, h, chain), its size n, keep and keep_chars of each of ``rows`` (id, text and ``carry``)."""
+    norm = squeezed(whole("text"))
+    base = rows.select("id", *carry, F.length(whole("text")).cast("long").alias("chars"), norm.alias("norm")).withColumn(
+        "h", hashed(F.col("norm")))
+    light = materialise(base.select("id", *carry, "chars", "h", F.unhex(F.sha2("norm", 256)).alias("sha")), "texts")
+    slots, depth = directory(light.select("h").distinct(), capacity)
+    found = lambda d: d.join(slots, _slot("h", depth) == F.col("slot")).drop("slot")
+    same = Window.partitionBy("bucket", "h")
+    owned = found(_entry(["h", "norm"])(base).drop("norm")).repartition("bucket").sortWithinPartitions("bucket", "h")
+    index = materialise(owned.withColumns({"chain": F.row_number().over(same.orderBy("keep_chars", "keep", "n")),
+                                           "chained": F.count("*").over(same)}), "index")
+    at = ["bucket", "h"]
+    copies = index.where("chained = 1 AND n > 1").select(*at, "chain", "n", "keep", "keep_chars")
+    clash = materialise(index.where("chained > 1").select(*at).distinct(), "clashes")
+    clear = found(light).join(clash, at, "left_anti").join(copies, at, "left")
+    out = ["id", *carry, "chars", "h", "sha", "bucket", "chain", "n", "keep", "keep_chars"]
+    if clash.isEmpty():
+        return clear.select(*out)
+    met = found(base.withColumn("sha", F.unhex(F.sha2("norm", 256)))).join(clash, at, "left_semi")
+    chains = materialise(_entry([*at, "norm"])(met).withColumn("chain", F.row_number().over(same.orderBy("norm"))), "chains")
+    return clear.select(*out).unionByName(met.join(chains, [*at, "norm"]).select(*out))
+
+
+def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
+                 hashed: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """One row per document: (key, keep_id, group_size, kept, chars, h, text_sha256).
 
     Of texts that are equal without white space the row with the most code points, then the smallest key stays. Null texts
     are empty and equal each other. Keys are whole numbers; a null key counts as larger than any other. Rows that repeat key
     and text are all marked kept if their key stays (``deduplicate`` leaves one). Other columns are ignored, an empty table
     gives no rows. Only entries with copies are joined back, and a text with very many copies meets its single entry in a
-    join that Spark may split.
+    join that Spark may split. ``hashed`` gives the 64-bit hash; results don't depend on it.
     """
-    light = light_of(docs, key, text)
-    copies = index(docs, light, key, text, capacity).where("n > 1").select(
-        F.col("h").alias("_h"), F.col("sha").alias("_sha"), "n", "keep", "keep_chars")
-    j = light.join(copies, (F.col("h") == F.col("_h")) & (F.col("sha") == F.col("_sha")), "left")
-    own = F.col("n").isNull()
-    return j.select(
+    rows = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text"))
+    own = F.coalesce(F.col("n"), F.lit(1)) == 1
+    return _groups(rows, capacity, hashed).select(
         F.col("id").alias(key), F.when(own, F.col("id")).otherwise(F.col("keep")).alias("keep_id"),
         F.coalesce("n", F.lit(1).cast("long")).alias("group_size"),
         (own | (F.col("id").eqNullSafe(F.col("keep")) & (F.col("chars") == F.col("keep_chars")))).alias("kept"),
         "chars", "h", F.lower(F.hex("sha")).alias("text_sha256"))
 
 
-def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    """The documents that stay, with their columns: exactly one row of each group of equal texts."""
-    got = materialise(exact_groups(docs, key, text, capacity), "groups")
-    at = ["_k", "_h", "_c"]
-    named = lambda d: d.select(F.col(key).alias("_k"), F.col("h").alias("_h"), F.col("chars").alias("_c"))
-    dropped = materialise(named(got.where("NOT kept")).distinct(), "dropped")
-    again = materialise(named(got.where("kept AND group_size > 1")).groupBy(*at).count().where("count > 1").drop("count"),
-                        "repeated")
-    marked = docs.withColumns({"_h0": F.xxhash64(squeezed(whole(text))), "_c0": F.length(whole(text)).cast("long")})
-    on = F.col(key).eqNullSafe(F.col("_k")) & (F.col("_h0") == F.col("_h")) & (F.col("_c0") == F.col("_c"))
-    stay = marked.join(dropped, on, "left_anti")
-    if not again.isEmpty():                       # the staying row itself is there several times
-        one = stay.join(again, on, "left_semi").dropDuplicates([key, "_h0", "_c0"])
-        stay = stay.join(again, on, "left_anti").unionByName(one)
-    return stay.select(*docs.columns)
+def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
+                hashed: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+    """The documents that stay, with their columns, of any names: exactly one row of each group of equal texts.
+
+    It is the row that ``exact_groups`` keeps, any one of rows that repeat its key and length. An empty table gives no rows.
+    """
+    rows = materialise(packed(docs), "rows")
+    got = _groups(rows.select(F.col(f"doc.`{key}`").alias("id"), F.col(f"doc.`{text}`").alias("text"), "row"), capacity, hashed, ("row",))
+    got = materialise(got.where("n > 1").select("row", "bucket", "h", "chain", (
+        F.col("id").eqNullSafe(F.col("keep")) & (F.col("chars") == F.col("keep_chars"))).alias("kept")), "groups")
+    stay = got.where("kept").groupBy("bucket", "h", "chain").agg(F.min("row").alias("row"))
+    gone = materialise(got.select("row").join(stay.select("row"), "row", "left_anti"), "gone")
+    return rows.join(gone, "row", "left_anti").select("doc.*")
