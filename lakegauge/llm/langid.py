@@ -1,12 +1,14 @@
 """Language identification by nearest centroid.
 
 Texts become normalised TF-IDF vectors over hashed byte n-grams of letters. Each language has several centroids, found by
-spherical k-means on a bounded sample of its labelled texts. A text gets the language of the centroid with the largest cosine
-and is rejected if its distance to it is larger than what the centroid's language shows on its own labelled texts.
+spherical k-means on a bounded sample of its labelled texts, which document frequencies and the distances for rejection come
+from as well. A text gets the language of the centroid with the largest cosine and is rejected if its distance to it is larger
+than what the centroid's language shows on that sample for texts of its length.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -82,35 +84,43 @@ def _fit_language(texts: pa.Table, idf: np.ndarray, k: int, rounds: int) -> pa.T
         c = np.where(member.any(1, keepdims=True), member @ x, c)
         c /= np.maximum(np.linalg.norm(c, axis=1, keepdims=True), 1e-9)
     own, size = (x @ c.T).max(1), texts.column("size").to_numpy()
-    floor = [float(own[size == i].min()) if (size == i).any() else 0.0 for i in range(8)]
+    held = np.unique(size)                        # a class without texts takes the floor of the nearest one that has some
+    floor = [float(own[size == held[np.abs(held - i).argmin()]].min()) for i in range(8)]
     return pa.table({"lang": [texts.column("lang")[0].as_py()] * len(c), "centroid": [row.astype("<f4").tobytes() for row in c],
                      "floor": [floor] * len(c)})
 
 
+_ASCII = re.compile(r"[\x00-\x7f]+")
+_NO_LETTERS = bytes(b for b in range(256) if not (65 <= b <= 90 or 97 <= b <= 122))
+
+
 def _letters(t: str) -> int:
-    return sum(map(str.isalpha, t)) if len(t) < 4096 else len(t)
+    """Letters of the whole text."""
+    n = len(t.encode("ascii", "ignore").translate(None, _NO_LETTERS))
+    return n if t.isascii() else n + sum(map(str.isalpha, _ASCII.sub("", t)))
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE,
         dims: int = DIMS, k: int = CENTROIDS, slack: float = 0.5) -> Model:
-    """Fit on at most ``sample`` labelled texts per language, those first in a hash order of their keys.
+    """Fit on at most ``sample`` labelled texts per language, those first in a hash order of keys and texts; equal rows count once.
 
     Rows without language or without a letter are no training rows. Without any, the model knows no language. Only vectors of
     fixed size leave the tasks that read the texts. A text is later rejected below ``slack`` times the least cosine that its language's
     sample shows in its length class.
     """
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "id"))
-    # ids first, so that no text is sorted; then the texts of the chosen ones
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("order", "id", "h"))
+    # keys and hashes of texts first, so that no text is sorted; then the texts of the chosen ones. Equal rows are one.
     usable = docs.where(F.col(lang).isNotNull() & has_letter(F.col(text)))
-    ids = usable.select(F.col(lang).alias("lang"), F.col(key).alias("id"), F.xxhash64(F.col(key)).alias("order"))
+    of_row = [F.col(lang).alias("lang"), F.col(key).alias("id"), F.xxhash64(F.col(text)).alias("h")]
+    ids = usable.select(*of_row).withColumn("order", F.xxhash64("id", "h"))
     # only about twice the sample of each language, those with small hashes, meet in the window that ranks them
     rows = {r["lang"]: r["n"] for r in ids.groupBy("lang").agg(F.count("*").alias("n")).collect()}    # one per language
     part = F.create_map(*[F.lit(x) for lang_, n in rows.items() for x in (lang_, 2.0 * sample / n)]) if rows else None
     near = ids.where(F.col("order") / F.lit(2.0 ** 64) + 0.5 < part[F.col("lang")]) if rows else ids
-    chosen = materialise(near.withColumn("rank", rank).where(F.col("rank") <= sample).drop("order"), "sampled")
-    texts = usable.select(F.struct(F.col(lang).alias("lang"), F.col(key).alias("id")).alias("at"), F.col(text).alias("text"))
-    drawn = texts.join(chosen.select(F.struct("lang", "id").alias("at"), "rank"), "at").select(
-        F.struct("at.lang", "rank").alias("at"), "text")
+    chosen = materialise(near.distinct().withColumn("rank", rank).where(F.col("rank") <= sample).drop("order"), "sampled")
+    texts = usable.select(F.struct(*of_row).alias("at"), F.col(text).alias("text"))
+    drawn = texts.join(chosen.select(F.struct("lang", "id", "h").alias("at"), "rank"), "at").select(
+        F.struct("at.lang", "rank").alias("at"), "text").dropDuplicates(["at"])
     train = materialise(per_text(drawn.repartition("at"), "at", "text", lambda: lambda t: (
         _packed(counts(t, dims)), _classes(_letters(t))), "counts binary, size int").select(
         "at.*", "counts", "size"), "training")
@@ -177,13 +187,17 @@ def split(key: Column) -> Column:
 
 
 def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """The rows whose text the model does not reject, with their columns, in one pass over the rows."""
+    """The rows whose text the model does not reject, with their columns, of any names, in one pass over the rows.
+
+    Null texts and texts without a letter go; equal texts share one decision; an empty table gives no rows.
+    """
     one_pass = _judge(docs.sparkSession.sparkContext.broadcast(model))
 
     def make():
         one = one_pass()
         return lambda t: (t, one(t)[2])
-    others = F.struct(*[F.col(c) for c in docs.columns if c != text], F.lit(0).alias("_row")).alias("_row")
-    shown = docs.select(others, F.when(has_letter(F.col(text)), F.col(text)).otherwise("").alias("_text"))
-    kept = per_text(shown, "_row", "_text", make, "_text string, rejected boolean").where("NOT rejected")
-    return kept.select(*[F.col("_text").alias(text) if c == text else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+    others = [c for c in docs.columns if c != text]
+    row = F.struct(*[F.col(f"`{c}`").alias(f"f{i}") for i, c in enumerate(others)], F.lit(0).alias("end")).alias("row")
+    shown = docs.select(row, F.when(has_letter(F.col(f"`{text}`")), F.col(f"`{text}`")).otherwise("").alias("text"))
+    kept = per_text(shown, "row", "text", make, "text string, rejected boolean").where("NOT rejected")
+    return kept.select(*[F.col("text").alias(c) if c == text else F.col(f"row.f{others.index(c)}").alias(c) for c in docs.columns])

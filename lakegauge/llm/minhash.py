@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakegauge.llm import shingles
-from lakegauge.llm.common import bounded_batches, whole
+from lakegauge.llm.common import bounded_batches, packed, whole
 from lakegauge.session import materialise
 
 PERMUTATIONS = 32
@@ -227,9 +227,13 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, threshold: int = 80) -> DataFrame:
-    """One document of each component with its columns, that of the smallest key; only similar texts link, never equal keys."""
+    """One document of each component with its columns, of any names: that of the smallest key, null keys last.
+
+    Only similar texts link, never equal keys; null and empty texts link with nothing and stay, as does a text that is
+    shorter than a shingle unless another equals it. An empty table gives no rows.
+    """
     bounded_batches(docs.sparkSession)
-    rows = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "rows")
-    light = rows.select(_node(key, F.col("_row"), True).alias("id"), whole(text).alias("text"))
+    rows = materialise(packed(docs), "rows")
+    light = rows.select(_node(f"doc.`{key}`", F.col("row"), True).alias("id"), whole(F.col(f"doc.`{text}`")).alias("text"))
     gone = materialise(_grouped(light, size, threshold, PERMUTATIONS).where("id <> component").select("id.row"), "near")
-    return rows.join(gone, F.col("_row") == F.col("row"), "left_anti").drop("_row")
+    return rows.join(gone, "row", "left_anti").select("doc.*")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakegauge.llm.common import BLANK, whole, word_count
+from lakegauge.llm.common import BLANK, packed, whole, word_count
 from lakegauge.session import materialise
 
 #: weights by rank of the source in code-point order, repeating
@@ -96,17 +96,18 @@ def shares(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
 
 def mixture(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", seed: str = "",
             share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """The mixed rows themselves, with the columns of ``docs``: one row per epoch, the last one cut where the budget ends.
+    """The mixed rows themselves, with the columns of ``docs``, of any names: one row per epoch, the last one cut where the budget ends.
 
-    Documents of which nothing is taken, empty ones too, are left out. Rows with equal keys and sizes share one decision.
+    Documents of which nothing is taken, null and empty ones too, are left out. Rows with equal keys and sizes share one
+    decision. An empty table gives no rows.
     """
     got = shares(docs, key, text, source, seed, share, most).where("taken > 0").groupBy(
-        F.col(key).alias("_key"), F.col("source").alias("_of"), F.col("size").alias("_size")).agg(F.max("taken").alias("_taken"))
-    sized = docs.withColumn("_n", word_count(whole(text)))
-    j = sized.join(got, F.col(key).eqNullSafe(F.col("_key")) & F.col(source).eqNullSafe(F.col("_of"))
-                   & (F.col("_n") == F.col("_size")))
+        F.col(f"`{key}`").alias("_key"), F.col("source").alias("_of"), F.col("size").alias("_size")).agg(F.max("taken").alias("_taken"))
+    field = lambda name: F.col(f"doc.`{name}`")
+    sized = packed(docs).drop("row").withColumn("_n", word_count(whole(field(text))))
+    j = sized.join(got, field(key).eqNullSafe(F.col("_key")) & field(source).eqNullSafe(F.col("_of")) & (F.col("_n") == F.col("_size")))
     j = j.withColumn("_epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.ceil(F.col("_taken") / F.col("_n")))))
     left = F.col("_taken") - (F.col("_epoch") - 1) * F.col("_n")
     first = F.concat(F.lit(f"^(?:{BLANK}*+[^ \\t-\\r]++){{"), left.cast("string"), F.lit("}+"))
-    cut = F.call_function("regexp_extract", F.col(text), first, F.lit(0))
-    return j.withColumn(text, F.when(left < F.col("_n"), cut).otherwise(F.col(text))).select(*docs.columns)
+    cut = F.call_function("regexp_extract", field(text), first, F.lit(0))
+    return j.select(*[(F.when(left < F.col("_n"), cut).otherwise(field(c)) if c == text else field(c)).alias(c) for c in docs.columns])
