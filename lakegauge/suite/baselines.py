@@ -50,14 +50,19 @@ def baseline_exclude_named(spark, sf):
 _IN = "CASE WHEN value BETWEEN 0.05 AND 140 THEN value END"
 
 
+def _sized(column: str, text: bool) -> str:
+    low, high = (f"{f}(length({column}))" if text else "-1" for f in ("min", "max"))
+    return (f"SELECT day, '{column}', count(*), count(*) - count({column}), {low}, {high}, -1, NULL, NULL, NULL, NULL, -1 "
+            f"FROM {HISTORY} GROUP BY 1")
+
+
 @query("baseline_partition_stats", f"""
 SELECT day, 'value' AS "column", CAST(count(*) AS BIGINT) AS "rows", CAST(count(*) - count(value) AS BIGINT) AS nulls, -1::BIGINT AS len_min,
   -1::BIGINT AS len_max, CAST(count({_IN}) AS BIGINT) AS n, round(avg({_IN}), 6) AS mean, round(stddev_pop({_IN}), 6) AS sd,
   min({_IN}) AS low, max({_IN}) AS high, CAST(count(*) FILTER (WHERE {_IN} = 0) AS BIGINT) AS zeros FROM {HISTORY} GROUP BY 1
-UNION ALL SELECT day, 'event_type', count(*), count(*) - count(event_type), min(length(event_type)), max(length(event_type)), -1, NULL, NULL,
-  NULL, NULL, -1 FROM {HISTORY} GROUP BY 1""")
+UNION ALL """ + " UNION ALL ".join(_sized(c, c in ("event_type", "props")) for c in ("event_id", "ts", "user_id", "event_type", "props")))
 def baseline_partition_stats(spark, sf):
-    s = bl.column_stats(history(spark, sf), contract(), [PART]).filter(F.col("column").isin("value", "event_type"))
+    s = bl.column_stats(history(spark, sf), contract(), [PART])
     whole = [F.coalesce(F.col(c).cast("bigint"), F.lit(-1)).alias(c) for c in ("len_min", "len_max", "n", "zeros")]
     return s.select(F.col(PART).alias("day"), "column", "rows", "nulls", *whole, F.round("mean", 6).alias("mean"),
                     F.round("sd", 6).alias("sd"), F.col("min").alias("low"), F.col("max").alias("high"))
@@ -83,15 +88,15 @@ def baseline_entities_and_periods(spark, sf):
         F.min("distinct_count").alias("entities_min"), F.max("distinct_count").alias("entities_max"), F.max("p").alias("periods"))
 
 
+_RATES = " UNION ALL ".join(f"""SELECT day, '{c}' AS "column", 1.0 - count({c}) * 1.0::DOUBLE / count(*) AS r FROM {HISTORY} GROUP BY 1"""
+                           for c in ("event_id", "ts", "user_id", "event_type", "value", "props"))
+
+
 @query("baseline_null_rates", f"""
 SELECT "column", round(min(r), 6) AS null_min, round(max(r), 6) AS null_max, round(avg(r), 6) AS null_mean,
-  round_even(greatest(0.0, 1.0 - (max(r) + 0.05)), 4) AS min_present FROM (
-  SELECT day, 'event_type' AS "column", 1.0 - count(event_type) * 1.0::DOUBLE / count(*) AS r FROM {HISTORY} GROUP BY 1
-  UNION ALL SELECT day, 'value', 1.0 - count(value) * 1.0::DOUBLE / count(*) FROM {HISTORY} GROUP BY 1
-  UNION ALL SELECT day, 'props', 1.0 - count(props) * 1.0::DOUBLE / count(*) FROM {HISTORY} GROUP BY 1) x GROUP BY 1""")
+  round_even(greatest(0.0, 1.0 - (max(r) + 0.05)), 4) AS min_present FROM ({_RATES}) x GROUP BY 1""")
 def baseline_null_rates(spark, sf):
-    s = bl.column_stats(history(spark, sf), contract(), [PART]).filter(F.col("column").isin("value", "event_type", "props"))
-    n = bl.null_corridor(s, 0.05)
+    n = bl.null_corridor(bl.column_stats(history(spark, sf), contract(), [PART]), 0.05)
     return n.select("column", *[F.round(c, 6).alias(c) for c in ("null_min", "null_max", "null_mean")], "min_present")
 
 
