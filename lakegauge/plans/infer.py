@@ -6,6 +6,8 @@ per column or pair.
 
 from __future__ import annotations
 
+import json
+import re
 from dataclasses import dataclass, field
 from itertools import combinations
 
@@ -251,20 +253,30 @@ def infer(frame: DataFrame, max_partitions: int | None = None) -> Draft:
     return d
 
 
+_PLAIN = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
+_WORDS = {"y", "n", "yes", "no", "true", "false", "on", "off", "null"}
+
+
+def _scalar(name: str) -> str:
+    """A name as a YAML scalar; quoted unless it can only be read as itself."""
+    return name if _PLAIN.fullmatch(name) and name.lower() not in _WORDS else json.dumps(name, ensure_ascii=False)
+
+
 def to_yaml(d: Draft, name: str, local: str | None = None, remote: str | None = None, partitioning: str = "harian") -> str:
     """The draft as a contract block; lines that are guesses say so."""
-    out = [f"  {name}:", f'    deskripsi: "TODO: describe {name}"', "    sumber:"]
-    out += [f'      lokal: "{local}"'] if local else []
-    out += [f'      s3: "{remote}"'] if remote else []
+    out = [f"  {_scalar(name)}:", f"    deskripsi: {json.dumps('TODO: describe ' + name, ensure_ascii=False)}", "    sumber:"]
+    out += [f"      lokal: {json.dumps(local, ensure_ascii=False)}"] if local else []
+    out += [f"      s3: {json.dumps(remote, ensure_ascii=False)}"] if remote else []
     out += [f"      partisi: {partitioning}", "    kunci:"]
     guess = "   # guess, please check"
-    keys = [("surrogate", d.surrogate), ("bisnis", f"[{', '.join(d.business_key)}]" if len(d.business_key) > 1 else None),
-            ("waktu", d.event_time), ("waktu_muat", d.load_time), ("granularitas", d.grain)]
+    one = lambda n: _scalar(n) if n else None
+    keys = [("surrogate", one(d.surrogate)), ("bisnis", f"[{', '.join(map(_scalar, d.business_key))}]" if len(d.business_key) > 1 else None),
+            ("waktu", one(d.event_time)), ("waktu_muat", one(d.load_time)), ("granularitas", d.grain)]
     shown = [f"      {k}: {v}{guess}" for k, v in keys if v]
     out = out + shown if shown else out[:-1]
     out.append("    kolom:")
     for i in d.columns:
-        parts = [f"nama: {i['column']}", f"tipe: {'string' if i['kind'] == 'unsupported' else i['kind']}"]
+        parts = [f"nama: {_scalar(i['column'])}", f"tipe: {'string' if i['kind'] == 'unsupported' else i['kind']}"]
         parts += ["wajib: false"] if not i["required"] else []
         parts += ["referensi: true"] if i["column"] in d.references else []
         note = [f"{i['nulls'] / i['rows']:.1%} null"] if i["nulls"] and i["rows"] else []
@@ -281,10 +293,10 @@ def to_yaml(d: Draft, name: str, local: str | None = None, remote: str | None =
     for key, pairs in (("relasi", d.relations), ("sama_nilai", d.equal_pairs), ("urutan_waktu", d.ordered_pairs)):
         if pairs:
             out.append(f"    {key}:{guess}")
-            out += [f"      - [{a}, {b}]" for a, b in pairs]
+            out += [f"      - [{_scalar(a)}, {_scalar(b)}]" for a, b in pairs]
     if d.flags:
         out.append(f"    flag_dq:{guess}")
         for f in d.flags:
-            out += [f"      - flag: {f['flag']}", f"        harus: {str(f['harus']).lower()}",
+            out += [f"      - flag: {_scalar(f['flag'])}", f"        harus: {str(f['harus']).lower()}",
                     f"        severity: {f['severity']}"]
     return "\n".join(out) + "\n"

@@ -17,16 +17,16 @@ from lakegauge.sources import inventory
 
 NOW = dt.datetime(2024, 6, 1)
 SENSOR = {
-    "sumber": {"partisi": "harian"}, "meta_audit": {"wajib": ["loaded_at", "job_run_id"]},
+    "sumber": {"partisi": "harian"}, "meta_audit": {"wajib": ["loaded_at", "batch_no"]},
     "kunci": {"surrogate": "id", "bisnis": ["unit", "at"], "waktu": "at", "waktu_muat": "loaded_at", "granularitas": "jam"},
     "kolom": [{"nama": "id", "tipe": "integer"}, {"nama": "unit", "referensi": True}, {"nama": "at", "tipe": "datetime"},
               {"nama": "loaded_at", "tipe": "datetime"}, {"nama": "area", "referensi": True},
-              {"nama": "v", "tipe": "decimal", "wajib": False, "rentang": [0, 1000], "profil_distribusi": True},
-              {"nama": "ok", "tipe": "boolean"}, {"nama": "phone", "wajib": False, "regex": r"^08\d{9,11}$"}],
+              {"nama": "v", "tipe": "decimal", "wajib": False, "rentang": [0, 1005], "profil_distribusi": True},
+              {"nama": "ok", "tipe": "boolean"}, {"nama": "plot", "wajib": False, "regex": r"^K\d\d-PLOT$"}],
     "relasi": [["unit", "area"]], "urutan_waktu": [["loaded_at", "at"]],
     "flag_dq": [{"flag": "ok", "kolom": "v", "aturan": "ada_dan_dalam_rentang"}]}
 SCHEMA = ("id bigint, unit string, at timestamp_ntz, loaded_at timestamp_ntz, area string, v decimal(18,4), ok boolean, "
-          "phone string")
+          "plot string")
 
 
 def sensor_rows(days=5, units=4, seed=1):
@@ -37,7 +37,7 @@ def sensor_rows(days=5, units=4, seed=1):
                 at = dt.datetime(2024, 1, 1 + d, h)
                 v = None if (h + u) % 11 == 0 else round(rnd.expovariate(0.02) % 900, 2)
                 rows.append((n, f"U-{u:02d}", at, at + dt.timedelta(hours=3), f"A{u % 2}", v, v is not None,
-                             None if h % 5 else f"0812345678{u}{h % 10}"))
+                             None if h % 5 else f"K{u}{h % 10}-PLOT"))
                 n += 1
     return rows
 
@@ -69,7 +69,7 @@ def derive(spark, values):
 
 
 def test_patterns_of_known_shapes(spark):
-    assert derive(spark, ["MTI-8J9X8ZYUJ8PG", "AB-1A2B3C4D"]) == [r"^[A-Z]{2,3}\-[A-Z0-9]{8,12}$"]
+    assert derive(spark, ["KX-77Q2M9RB41", "PLM-5T0W8Y"]) == [r"^[A-Z]{2,3}\-[A-Z0-9]{6,10}$"]
     assert derive(spark, ["a", "b"]) == ["^[a-z]$"]
     assert derive(spark, ["A1", "B2", "x"]) == [r"^[A-Z]\d$", "^[a-z]$"]
     assert derive(spark, ["aB1c", "zZ9y"]) == ["^[A-Za-z0-9]{4}$"]
@@ -190,8 +190,8 @@ def fault(rows, change, pick=lambda r: r[2].day == 2):
     ("flag lies", lambda rows: fault(rows, lambda r: (*r[:6], not r[6], r[7]), lambda r: r[0] == 100), {"6.flag_agrees.ok"}),
     ("loaded before it happened", lambda rows: fault(rows, lambda r: (*r[:3], r[2] - dt.timedelta(hours=1), *r[4:]), lambda r: r[0] == 100),
      {"3.lag.loaded_at", "6.ordered.loaded_at,at"}),
-    ("phone", lambda rows: fault(rows, lambda r: (*r[:7], "12345"), lambda r: r[0] == 100),
-     {"8.pattern.phone", "8.length.phone", "10.format.phone"}),
+    ("plot", lambda rows: fault(rows, lambda r: (*r[:7], "12345"), lambda r: r[0] == 100),
+     {"8.pattern.plot", "8.length.plot", "10.format.plot"}),
     ("stuck sensor", lambda rows: fault(rows, lambda r: (*r[:5], 999.0, True, r[7])), {"7.mean_corridor.v", "7.quantile_shape.v", "7.kl_divergence.v"}),
     ("off the grid", lambda rows: fault(rows, lambda r: (*r[:2], r[2] + dt.timedelta(seconds=1), *r[3:]), lambda r: r[0] == 100),
      {"3.on_grid.at"}),
@@ -214,12 +214,12 @@ def test_sweep_equals_single_partition(spark, contract, learned):
 
 
 def test_missing_column_and_type_drift_fail_without_stopping(spark, contract, learned):
-    df = sensor(spark).drop("area").withColumn("phone", F.lit(5)).withColumn("extra", F.lit(1)).withColumn("ok", F.lit("yes"))
+    df = sensor(spark).drop("area").withColumn("plot", F.lit(5)).withColumn("extra", F.lit(1)).withColumn("ok", F.lit("yes"))
     r = outcome(evaluate(df, contract, learned, now=NOW))
     day = {k[1]: x for k, x in r.items() if k[0] == "2024-01-01"}
     assert day["1.column_set"]["success"] is False and "area" in day["1.column_set"]["observed_text"]
-    assert day["1.type.phone"]["success"] is False and day["1.type.area"]["error"]
-    for rule in ("4.not_null.area", "8.no_blank.area", "6.in_master.area", "10.format.phone", "6.flag_agrees.ok"):
+    assert day["1.type.plot"]["success"] is False and day["1.type.area"]["error"]
+    for rule in ("4.not_null.area", "8.no_blank.area", "6.in_master.area", "10.format.plot", "6.flag_agrees.ok"):
         assert day[rule]["success"] is False and day[rule]["error"], rule
     assert day["6.relation.unit->area"]["success"] is False
     assert day["4.not_null.id"]["success"] is True
@@ -235,7 +235,7 @@ def test_undated_partition_skips_its_window(spark, contract, learned):
 
 def test_reconciliation_against_a_source(spark, learned):
     c = parse_contract("sensor", {**SENSOR, "sumber": {"sql_server": {"tabel": "dbo.t", "kolom_waktu": "at"}}})
-    src = sensor(spark).drop(PART, PART_DATE).withColumnRenamed("phone", "telephone")
+    src = sensor(spark).drop(PART, PART_DATE).withColumnRenamed("plot", "plot_code")
     landed = sensor(spark, [r for r in sensor_rows() if r[0] != 100])
     r = outcome(evaluate(landed, c, learned, now=NOW, source=src))
     assert r["2024-01-02", "9.row_count.dbo.t"]["success"] is False and r["2024-01-03", "9.row_count.dbo.t"]["success"] is True
@@ -275,7 +275,7 @@ def lake(spark):
             write(day.filter("id % 2 = 0"), d, "a")
             write(day.filter("id % 2 = 1"), d, "b")
         elif d == 5:
-            write(day.drop("phone").withColumn("id", F.col("id").cast("string")), d, "a")
+            write(day.drop("plot").withColumn("id", F.col("id").cast("string")), d, "a")
         else:
             write(day, d, "a")
     for d, data in ((3, b""), (4, b"garbage")):
@@ -327,7 +327,7 @@ def test_lake_sweep_equals_each_day(spark, lake, learned):
     show = lambda df: {k: (x["success"], x["severity"], x["unexpected_count"], x["observed_text"], x["error"]) for k, x in outcome(df).items()}
     sweep = show(validate.validate(spark, c, learned, where="s3", sweep=True, now=NOW))
     drifted = {k[1] for k, x in sweep.items() if "day=05" in k[0] and x[0] is False}
-    assert {"1.column_count", "1.column_set", "1.type.id", "1.type.phone"} <= drifted
+    assert {"1.column_count", "1.column_set", "1.type.id", "1.type.plot"} <= drifted
     assert all(x[0] for k, x in sweep.items() if "day=02" in k[0] and k[1].startswith("1."))
     for d in (1, 2, 4, 5, 6):
         one = show(validate.validate(spark, c, learned, where="s3", day=f"2024-01-0{d}", now=NOW))
@@ -401,6 +401,18 @@ def test_inferred_contract_loads_and_holds(spark, tmp_path):
     assert bad == set()
 
 
+def test_a_draft_with_odd_names_loads_again(tmp_path):
+    names = ["a: b, c", "no", "x#y", "[z]", "ü 'q' \"r\"", "plain"]
+    columns = [{"column": n, "kind": "integer", "required": True, "nulls": 0, "rows": 3, "min": 1.0, "max": 2.0} for n in names]
+    d = infer.Draft(columns=columns)
+    d.business_key, d.relations = ["no", "x#y"], [("[z]", "a: b, c")]
+    p = tmp_path / "odd.yml"
+    p.write_text("datasets:\n" + infer.to_yaml(d, "data: set", local='C:\\"x"/*.parquet'))
+    c = load_contracts(str(p))["data: set"]
+    assert c.column_names == names and c.local == 'C:\\"x"/*.parquet'
+    assert c.business_key == ["no", "x#y"] and c.relations == [("[z]", "a: b, c")]
+
+
 def test_dependency_ignores_rows_with_a_null(spark):
     df = spark.createDataFrame([("a", None), (None, "x"), ("a", "x"), ("b", "y"), ("b", "y")], "l string, r string")
     got = {(r["left_column"], r["right_column"]): r["determines"] for r in infer.dependencies(df, ["l", "r"]).collect()}
