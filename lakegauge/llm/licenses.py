@@ -95,6 +95,29 @@ HEADERS: dict[str, tuple[tuple[str, ...], str, str]] = {
     "lgpl-2.1": (("lesser",), "gnu lesser general", "2 1"), "lgpl-3": (("lesser",), "gnu lesser general", "3(?: 0)?"),
     "agpl-3": (("affero",), "gnu affero general", "3(?: 0)?"),
 }
+#: short names with a version: label: (keyword, name and version)
+_ONLY = r"(?! \d )"
+ACRONYMS: dict[str, tuple[str, str]] = {
+    "gpl-1": ("gpl", rf"(?:gnu )?gpl {_VER}1(?: 0)?{_ONLY}"), "gpl-2": ("gpl", rf"(?:gnu )?gpl {_VER}2(?: 0)?{_ONLY}"),
+    "gpl-3": ("gpl", rf"(?:gnu )?gpl {_VER}3(?: 0)?{_ONLY}"), "lgpl-2": ("lgpl", rf"(?:gnu )?lgpl {_VER}2(?: 0)?{_ONLY}"),
+    "lgpl-2.1": ("lgpl", rf"(?:gnu )?lgpl {_VER}2 1"), "lgpl-3": ("lgpl", rf"(?:gnu )?lgpl {_VER}3(?: 0)?{_ONLY}"),
+    "agpl-3": ("agpl", rf"(?:gnu )?agpl {_VER}3(?: 0)?{_ONLY}"), "gfdl-1.1": ("fdl", rf"(?:gnu )?g?fdl {_VER}1 1"),
+    "gfdl-1.2": ("fdl", rf"(?:gnu )?g?fdl {_VER}1 2"), "gfdl-1.3": ("fdl", rf"(?:gnu )?g?fdl {_VER}1 3"),
+    "mpl-1.0": ("mpl", rf"mpl {_VER}1 0"), "mpl-1.1": ("mpl", rf"mpl {_VER}1 1"), "mpl-2.0": ("mpl", rf"mpl {_VER}2(?: 0)?{_ONLY}"),
+    "epl-1.0": ("epl", rf"epl {_VER}1 0"), "epl-2.0": ("epl", rf"epl {_VER}2 0"), "eupl-1.1": ("eupl", rf"eupl {_VER}1 1"),
+    "eupl-1.2": ("eupl", rf"eupl {_VER}1 2"), "apache-2": ("apache", rf"apache {_VER}2 0"),
+    "bsd-2-clause": ("bsd", "(?:bsd (?:2|two) clause|(?:2|two) clause bsd)"),
+    "bsd-3-clause": ("bsd", "(?:bsd (?:3|three) clause|(?:3|three) clause bsd)"),
+    "bsd-4-clause": ("bsd", "(?:bsd (?:4|four) clause|(?:4|four) clause bsd)"),
+}
+#: short names written as one word with their version, as in GPLv3
+JOINED = {"gpl": ("gpl-1", "gpl-2", "gpl-3"), "lgpl": ("lgpl-2", "lgpl-3"), "agpl": ("agpl-3",), "mpl": ("mpl-2.0",)}
+#: families named without a version: label: (keyword, name)
+FAMILIES: dict[str, tuple[str, str]] = {
+    "gpl": ("gpl", r"(?:gnu )?gpl"), "lgpl": ("lgpl", r"(?:gnu )?lgpl"), "agpl": ("agpl", r"(?:gnu )?agpl"), "mpl": ("mpl", "mpl"),
+    "apache": ("apache", f"apache(?: software)? {_LIC}"), "bsd": ("bsd", f"bsd(?: style)? {_LIC}d?"),
+    "mit": ("mit", "mit licen[sc]ed"), "artistic": ("artistic", f"artistic {_LIC}"),
+}
 _NOTICE = "(?:licen[sc]ed|released|distributed|available|published|provided|covered|offered|redistributed) under (?:the |an? )?(?:terms of (?:the )?)?"
 #: sentences that only one license has
 SENTENCES = {
@@ -104,6 +127,19 @@ SENTENCES = {
     "unlicense": "this is free and unencumbered software released into the public domain",
     "zlib": "this software is provided as is without any express or implied warranty in no event will the authors be held liable",
     "wtfpl": "everyone is permitted to copy and distribute verbatim or modified copies of this license document and changing it is allowed",
+    "apache-2": "you may not use this file except in compliance with the license",
+    "bsd-3-clause": r"neither the name of (?:\S+ ){1,12}nor the names of its contributors may be used to endorse or promote products",
+    "bsd-4-clause": "all advertising materials mentioning features or use of this software must display the following acknowledge?ment",
+    "mpl-2.0": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "gpl-3": "the gnu general public license is a free copyleft license for software and other kinds of works",
+    "agpl-3": "the gnu affero general public license is a free copyleft license for software and other kinds of works",
+    "bsl-1.0": "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation",
+    "postgresql": "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement",
+    "openssl": "this product includes software developed by the openssl project",
+    "php-3.01": "this product includes php software freely available from",
+    "psf-2.0": "psf is making python available to licensee on an as is basis",
+    "lppl-1.3": "this work may be distributed and or modified under the conditions of the latex project public license",
+    "cc0-1.0": "the person who associated a work with this deed has dedicated the work to the public domain",
     "all-rights-reserved": "all rights reserved",
     "public-domain": "(?:dedicated|released|placed) (?:in|into|to) the public domain",
 }
@@ -119,12 +155,19 @@ class Rule(NamedTuple):
 
 
 def _rules() -> tuple[Rule, ...]:
-    """All rules, highest priority first: tag, sentence, notice and header, later-version form, address, bare name; base phrases last."""
+    """All rules, highest priority first: tag, sentence, notice and header, later-version form, address, bare name; base phrases last.
+
+    A rule with a group ``at`` is placed where that group is; the rest of its expression is context.
+    """
     out = []
+    tags = "|".join(sorted((t for _, _, t, _ in LICENSES.values()), key=lambda t: (-len(t), t)))
     for label, (keys, name, tag, address) in LICENSES.items():
         if keys == ("by",):
             keys = ("cc",) if name.startswith("(?:cc") else keys
         out.append(Rule(label, "tag", 6, 1.0, ("spdx",), f"spdx licen[sc]e identifier {tag}"))
+        out.append(Rule(label, "expression", 6, 1.0, ("spdx",),
+                        f"spdx licen[sc]e identifier (?:(?:{tags}) (?:or|and|with) ){{1,8}}(?P<at>{tag})"))
+        out.append(Rule(label, "field", 3, 0.9, ("licen",), f"licen[sc]es? (?:is |are )?(?:the )?(?P<at>{tag})"))
         spelled = [(keys, name)]
         if label.startswith("cddl"):
             tail = name[name.index(")") + 1:]
@@ -141,6 +184,22 @@ def _rules() -> tuple[Rule, ...]:
         if address:
             first = address.split(" ")[0]
             out.append(Rule(label, "address", 2, 0.9, (first,), address))
+    short = [(label, k, n) for label, (k, n) in ACRONYMS.items()]
+    short += [(label, k, f"(?:gnu )?{k}v?{label[len(k) + 1]}{_ONLY}") for k, ls in JOINED.items() for label in ls]
+    for label, k, n in short:
+        out.append(Rule(label, "notice", 4, 0.95, (k, "under"), _NOTICE + n))
+        out.append(Rule(label, "later", 3, 0.9, (k, "later"), f"{n} or (?:at your option )?(?:any )?later(?: version)?"))
+        out.append(Rule(label, "acronym", 1, 0.7, (k,), n))
+    for label, (k, n) in FAMILIES.items():
+        if label in ("gpl", "lgpl", "agpl", "mpl"):
+            out.append(Rule(label, "family", 2, 0.6, (k, "under"), rf"{_NOTICE}{n}(?: {_LIC})?(?! v?\d| version)"))
+        else:
+            out.append(Rule(label, "family", 1, 0.6, (k,), rf"{n}(?! v?\d| version)"))
+    for a, b in ((r"(?P<at>mit)", "apache"), ("mit", "(?P<at>apache")):    # a choice of two short names
+        name, close = ("apache-2", ")") if b[0] == "(" else ("mit", "")
+        tail = rf" {_VER}2(?: 0)?{close}{_ONLY}"
+        out.append(Rule(name, "choice", 2, 0.8, ("mit", "apache"), f"{a} (?:or|and) (?:the )?{b}{tail}"))
+        out.append(Rule(name, "choice", 2, 0.8, ("mit", "apache"), rf"{b} {_VER}2(?: 0)?{close} (?:{_LIC} )?(?:or|and) (?:the )?{a}"))
     for label, (keys, name, version) in HEADERS.items():
         out.append(Rule(label, "header", 4, 0.95, (*keys, "published"),
                         rf"{name} public {_LIC}(?: [al]?gpl)? as published by the free software foundation(?: inc)?(?: either)? {_VER}"
@@ -176,6 +235,7 @@ def detector(rules: tuple[Rule, ...] = RULES) -> Callable[[str], tuple[int, list
     automaton.make_automaton()
     number = {k: i for i, k in enumerate(keys)}
     ready = [(frozenset(number[k] for k in r.keywords), re.compile(f"(?<= ){r.pattern}(?= )"), r) for r in rules]
+    place = {r.pattern: "at" if "(?P<at>" in r.pattern else 0 for r in rules}
 
     def detect(text: str):
         lower = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")     # A-Z only
@@ -190,8 +250,9 @@ def detector(rules: tuple[Rule, ...] = RULES) -> Callable[[str], tuple[int, list
             at += len(w) + 1
         base, found = [], []
         for p, r in open_rules:
+            g = place[r.pattern]
             for m in p.finditer(line):
-                d = Detection(bisect_right(starts, m.start()) - 1, bisect_right(starts, m.end() - 1), r.label, r.form,
+                d = Detection(bisect_right(starts, m.start(g)) - 1, bisect_right(starts, m.end(g) - 1), r.label, r.form,
                               r.priority, r.score)
                 (base if r.form == "base" else found).append(d)
         return len(words), base, suppress(found + base)

@@ -1,8 +1,10 @@
 """Keywords never rule out a text that the expression matches, and headers of source files have a label."""
 
+import re
 from re import _constants as c
 from re import _parser
 
+import pyarrow.parquet as pq
 import pytest
 
 from lakegauge.llm import licenses
@@ -53,3 +55,32 @@ def test_gnu_headers(name, version, label):
                  f"; either version {version}, or (at your option)\n * any later version.", f", version {version} of the License."):
         assert found(head + tail) == [(label, "header")], tail
     assert found(head + "; either version 9 of the License") == []
+
+
+@pytest.mark.parametrize("text,labels", [
+    ("Licensed under GPLv3", "gpl-3"), ("GPL-3.0", "gpl-3"), ("GPL-2.0-or-later", "gpl-2"), ("License: Apache-2.0", "apache-2"),
+    ("License: MIT", "mit"), ("a BSD license", "bsd"), ("MIT licensed", "mit"), ("LGPL v2.1", "lgpl-2.1"), ("LGPLv2", "lgpl-2"),
+    ("AGPLv3", "agpl-3"), ("MIT or Apache 2", "apache-2,mit"), ("Apache 2.0 or MIT", "apache-2,mit"), ("GNU GPL version 2", "gpl-2"),
+    ("released under the GPL", "gpl"), ("under the terms of the new BSD license", "bsd-3-clause"), ("BSD-3-Clause", "bsd-3-clause"),
+    ("SPDX-License-Identifier: (MIT OR Apache-2.0)", "apache-2,mit"),
+    ("SPDX-License-Identifier: GPL-2.0-only WITH x", "gpl-2"), ("SPDX-License-Identifier: MIT AND (ISC OR Zlib)", "isc,mit,zlib"),
+    ("You may not use this file except in compliance with the License.", "apache-2"),
+    ("Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products", "bsd-3-clause"),
+    ("Apache 2.4 serves pages, permit or apache", ""), ("gpl 9", ""), ("the MIT campus", ""), ("MPL 2.0", "mpl-2.0"), ("", "")])
+def test_short_forms(text, labels):
+    assert ",".join(sorted({label for label, _ in found(text)})) == labels
+
+
+def test_base_places_against_brute_force():
+    """Every place where the words of a base phrase follow each other, in all texts of a table."""
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()
+    texts += ["Under the MIT license", "apache license, version 2.0 / CC-BY-NC; cc by nc by nc", "CC BY\nNC-SA cc by n", None, "\x7funder\x80the mit"]
+    detect, n_found = licenses.detector(), 0
+    for t in texts:
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+        want = sorted((i, label) for p, label in licenses.PHRASES.items() for i in range(len(words))
+                      if words[i:i + len(p.split())] == p.split())
+        n, base, kept = detect(t or "")
+        assert (n, sorted((d.first, d.label) for d in base)) == (len(words), want), t
+        n_found += len(want)
+    assert n_found > 3
