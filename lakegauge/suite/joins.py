@@ -212,6 +212,22 @@ def reconcile_repeated_keys(spark, sf):
     return r.groupBy("status").agg(F.count(F.lit(1)).alias("keys"))
 
 
+_DRIFT = "o_orderkey % 1009 = 7"
+
+
+@query("reconcile_rows_differences", f"""
+SELECT o_orderkey, CAST(1 AS BIGINT) AS source_rows, CAST(CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS BIGINT) AS landed_rows,
+  CASE WHEN o_orderstatus = 'F' THEN 'missing' ELSE 'changed' END AS status FROM orders WHERE {_DRIFT}
+UNION ALL SELECT -o_orderkey, 0, 1, 'extra' FROM orders WHERE o_orderkey % 5003 = 11""")
+def reconcile_rows_differences(spark, sf):
+    """Only keys that do not match, found by descending a digest tree to ranges of a few rows."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    landed = o.filter(f"NOT ({_DRIFT} AND o_orderstatus = 'F')").withColumn(
+        "o_totalprice", F.expr(f"o_totalprice + CASE WHEN {_DRIFT} THEN 1 ELSE 0 END"))
+    extra = o.filter("o_orderkey % 5003 = 11").withColumn("o_orderkey", F.expr("-o_orderkey"))
+    return reconcile.digest_tree(o, landed.unionByName(extra), ["o_orderkey"], ranges=64, range_rows=16).differences()
+
+
 def _present(names, df):
     """Add how many rows of the table hold a value in each named column; none where it has no such column."""
     have = df.columns
