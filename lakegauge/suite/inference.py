@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lakegauge.operators.prepare import PART, with_partition
 from lakegauge.plans import infer
+from lakegauge.session import small_table
 from lakegauge.suite import query
 from lakegauge.suite.common import DAILY_EVENTS, daily_events, table
 
@@ -112,6 +114,27 @@ def functional_dependencies(spark, sf):
     return infer.dependencies(d, ["lang", "source", "region"])
 
 
+_CODES = {"flag": "l_returnflag", "status": "l_linestatus", "flag_status": "concat(l_returnflag, l_linestatus)", "lower_flag": "lower(l_returnflag)",
+          "line": "CAST(l_linenumber AS VARCHAR(9))", "year": "CAST(year(l_shipdate) AS VARCHAR(9))",
+          "month": "concat(CAST(year(l_shipdate) AS VARCHAR(9)), '-', CAST(month(l_shipdate) AS VARCHAR(9)))",
+          "seen_year": "CASE WHEN l_linenumber > 1 THEN CAST(year(l_shipdate) AS VARCHAR(9)) END"}
+_CODE_TABLE = "l AS (SELECT " + ", ".join(f'{e} AS "{n}"' for n, e in _CODES.items()) + " FROM lineitem)"
+
+
+@query("relations_discovered", f"WITH {_CODE_TABLE} " + " UNION ALL ".join(
+    f"""SELECT '{a}' AS left_column, '{b}' AS right_column, coalesce(max(t) = 1 AND count(*) > 1, false) AS determines,
+  (SELECT count(*) > 0 AND count(*) FILTER (WHERE "{a}" <> "{b}") = 0 FROM l WHERE "{a}" IS NOT NULL AND "{b}" IS NOT NULL) AS equal
+FROM (SELECT "{a}", count(DISTINCT "{b}") AS t FROM l WHERE "{a}" IS NOT NULL AND "{b}" IS NOT NULL GROUP BY 1) x"""
+    for a in _CODES for b in _CODES if a != b))
+def relations_discovered(spark, sf):
+    """Dependencies and equal columns among all code columns, for every ordered pair."""
+    li = table(spark, sf, "lineitem").select(*[F.expr(e).alias(n) for n, e in _CODES.items()])
+    found = infer.discover(li, list(_CODES))
+    rows = [{"left_column": a, "right_column": b, "determines": d, "equal": (a, b) in found.equal or (b, a) in found.equal}
+            for (a, b), d in found.determines.items()]
+    return small_table(spark, rows, pa.schema([("left_column", pa.string()), ("right_column", pa.string()), ("determines", pa.bool_()), ("equal", pa.bool_())]))
+
+
 @query("identical_columns", """
 WITH l AS (SELECT l_returnflag AS a, CASE WHEN l_linenumber > 1 THEN l_returnflag END AS b, l_linestatus AS c FROM lineitem)
 SELECT 'a' AS left_column, 'b' AS right_column, CAST(count(*) FILTER (WHERE a IS NOT NULL AND b IS NOT NULL) AS BIGINT) AS compared, CAST(count(*) FILTER (WHERE a <> b) AS BIGINT) AS different, true AS equal FROM l
