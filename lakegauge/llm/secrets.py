@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import hashlib
 import json
 import re
 import zlib
@@ -48,6 +49,55 @@ def _jwt_ok(token: str) -> bool:
     return isinstance(found, dict) and isinstance(found.get("alg"), str)
 
 
+_BECH32 = "qpzry9x8gf2tvdw0s3jn54khce6mua7l"
+_BASE58 = "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"
+
+
+def _bech32_ok(token: str) -> bool:
+    """The six characters at the end are the BCH checksum of the name before the last '1' and the data behind it."""
+    name, data = token.lower().rsplit("1", 1)
+    left = [ord(c) >> 5 for c in name] + [0] + [ord(c) & 31 for c in name] + [_BECH32.index(c) for c in data]
+    state = 1
+    for v in left:
+        top, state = state >> 25, (state & 0x1FFFFFF) << 5 ^ v
+        for i, g in enumerate((0x3B6A57B2, 0x26508E6D, 0x1EA119FA, 0x3D4233DD, 0x2A1462B3)):
+            state ^= g if top >> i & 1 else 0
+    return state == 1
+
+
+def _base58_ok(token: str) -> bool:
+    """The last four bytes are the start of the double SHA-256 of the bytes before them."""
+    n = 0
+    for c in token:
+        n = n * 58 + _BASE58.index(c)
+    raw = n.to_bytes((n.bit_length() + 7) // 8, "big")
+    return hashlib.sha256(hashlib.sha256(raw[:-4]).digest()).digest()[:4] == raw[-4:]
+
+
+def _bytes_ok(part: str, size: int) -> bool:
+    """URL-safe base64 of exactly so many bytes: the bits beyond them are zero."""
+    raw = base64.urlsafe_b64decode(part + "=" * (-len(part) % 4))
+    return len(raw) == size and base64.urlsafe_b64encode(raw).rstrip(b"=").decode() == part
+
+
+def _macaroon_ok(part: str) -> bool:
+    """A binary macaroon: version 2, then a location and an identifier with their lengths, inside the token."""
+    if len(part) > HEADER or len(part) % 4 == 1:
+        return False
+    raw = base64.urlsafe_b64decode(part + "=" * (-len(part) % 4))
+    at = 1
+    for kind in (1, 2):
+        if raw[:1] != b"\x02" or len(raw) < at + 2 or raw[at] != kind:
+            return False
+        size, at = raw[at + 1], at + 2
+        if size > 127:                             # the length has a second byte
+            if len(raw) <= at:
+                return False
+            size, at = (size & 127) + (raw[at] << 7), at + 1
+        at += size
+    return at < len(raw)
+
+
 class Rule(NamedTuple):
     kind: str
     keywords: tuple[str, ...]                     # lower case; empty: the expression is searched for
@@ -71,6 +121,21 @@ RULES = (
     Rule("map_key", ("aiza",), r"AIza[A-Za-z0-9_-]{35}(?![A-Za-z0-9_-])"),
     Rule("pay_key", ("sk_live_", "rk_live_"), r"[sr]k_live_[A-Za-z0-9]{24,}"),
     Rule("lab_token", ("glpat-",), r"glpat-[A-Za-z0-9_-]{20}(?![A-Za-z0-9_-])"),
+    Rule("age_key", ("age-secret-key-1",), r"AGE-SECRET-KEY-1[QPZRY9X8GF2TVDW0S3JN54KHCE6MUA7L]{58}(?![A-Z0-9])",
+         lambda m: _bech32_ok(m[0])),
+    Rule("note_key", ("nsec1",), r"nsec1[qpzry9x8gf2tvdw0s3jn54khce6mua7l]{58}(?![a-z0-9])", lambda m: _bech32_ok(m[0])),
+    Rule("wallet_key", ("xprv", "yprv", "zprv", "tprv"), r"[xyzt]prv[1-9A-HJ-NP-Za-km-z]{107}(?![A-Za-z0-9])", lambda m: _base58_ok(m[0])),
+    Rule("mail_key", ("sg.",), r"SG\.([A-Za-z0-9_-]{22})\.([A-Za-z0-9_-]{43})(?![A-Za-z0-9_-])",
+         lambda m: _bytes_ok(m[1], 16) and _bytes_ok(m[2], 32)),
+    Rule("index_token", ("pypi-ag",), r"pypi-(Ag[A-Za-z0-9_-]{50,})", lambda m: _macaroon_ok(m[1])),
+    Rule("model_token", ("hf_",), r"hf_[A-Za-z]{34}(?![A-Za-z0-9])"),
+    Rule("vault_token", ("hvs.", "hvb."), r"hv[sb]\.[A-Za-z0-9_-]{24,}"),
+    Rule("shop_token", ("shpat_", "shpca_", "shppa_", "shpss_"), r"shp(?:at|ca|pa|ss)_[A-Fa-f0-9]{32}(?![A-Za-z0-9])"),
+    Rule("droplet_token", ("dop_v1_", "doo_v1_", "dor_v1_"), r"do[opr]_v1_[a-f0-9]{64}(?![A-Za-z0-9])"),
+    Rule("image_token", ("dckr_pat_",), r"dckr_pat_[A-Za-z0-9_-]{27}(?![A-Za-z0-9_-])"),
+    Rule("git_fine_token", ("github_pat_",), r"github_pat_[A-Za-z0-9]{22}_[A-Za-z0-9]{59}(?![A-Za-z0-9])"),
+    Rule("hook_address", ("https://hooks.slack.com/services/",),
+         r"https://hooks\.slack\.com/services/T[A-Z0-9]{8,}/B[A-Z0-9]{8,}/[A-Za-z0-9]{24}(?![A-Za-z0-9])"),
 )
 BASE = ("assign", "access", "hex")
 
