@@ -65,12 +65,12 @@ def _entry(group: list[str]):
         ((F.col("best") - rest) / _SHIFT).cast("long").alias("keep_chars"))
 
 
-def _groups(rows: DataFrame, capacity: int, hashed: Callable[[Column], Column], carry: tuple[str, ...] = ()) -> DataFrame:
-    """Group (bucket, h, chain), its size n, keep and keep_chars of each of ``rows`` (id, text and ``carry``)."""
+def _groups(rows: DataFrame, capacity: int, hashed: Callable[[Column], Column]) -> DataFrame:
+    """Group (bucket, h, chain), its size n, keep and keep_chars of each of ``rows`` (id and text)."""
     norm = squeezed(whole("text"))
-    base = rows.select("id", *carry, F.length(whole("text")).cast("long").alias("chars"), norm.alias("norm")).withColumn(
+    base = rows.select("id", F.length(whole("text")).cast("long").alias("chars"), norm.alias("norm")).withColumn(
         "h", hashed(F.col("norm")))
-    light = materialise(base.select("id", *carry, "chars", "h", F.unhex(F.sha2("norm", 256)).alias("sha")), "texts")
+    light = materialise(base.select("id", "chars", "h", F.unhex(F.sha2("norm", 256)).alias("sha")), "texts")
     slots, depth = directory(light.select("h").distinct(), capacity)
     found = lambda d: d.join(slots, _slot("h", depth) == F.col("slot")).drop("slot")
     same = Window.partitionBy("bucket", "h")
@@ -81,7 +81,7 @@ def _groups(rows: DataFrame, capacity: int, hashed: Callable[[Column], Column],
     copies = index.where("chained = 1 AND n > 1").select(*at, "chain", "n", "keep", "keep_chars")
     clash = materialise(index.where("chained > 1").select(*at).distinct(), "clashes")
     clear = found(light).join(clash, at, "left_anti").join(copies, at, "left")
-    out = ["id", *carry, "chars", "h", "sha", "bucket", "chain", "n", "keep", "keep_chars"]
+    out = ["id", "chars", "h", "sha", "bucket", "chain", "n", "keep", "keep_chars"]
     if clash.isEmpty():
         return clear.select(*out)
     met = found(base.withColumn("sha", F.unhex(F.sha2("norm", 256)))).join(clash, at, "left_semi")
@@ -113,11 +113,22 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", capaci
     """The documents that stay, with their columns, of any names: exactly one row of each group of equal texts.
 
     It is the row that ``exact_groups`` keeps, any one of rows that repeat its key and length. An empty table gives no rows.
+    The documents are read again to leave out what goes, they aren't written in between.
     """
-    rows = materialise(packed(docs), "rows")
-    got = _groups(rows.select(F.col(f"doc.`{key}`").alias("id"), F.col(f"doc.`{text}`").alias("text"), "row"), capacity, hashed, ("row",))
-    got = materialise(got.where("n > 1").select("row", "bucket", "h", "chain", (
-        F.col("id").eqNullSafe(F.col("keep")) & (F.col("chars") == F.col("keep_chars"))).alias("kept")), "groups")
-    stay = got.where("kept").groupBy("bucket", "h", "chain").agg(F.min("row").alias("row"))
-    gone = materialise(got.select("row").join(stay.select("row"), "row", "left_anti"), "gone")
-    return rows.join(gone, "row", "left_anti").select("doc.*")
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = docs.select(doc).select("doc", F.col(f"doc.`{key}`").alias("id"), F.col(f"doc.`{text}`").alias("text"))
+    at = ["id", "chars", "sha"]
+    copies = materialise(_groups(rows.select("id", "text"), capacity, hashed).where("n > 1").select(
+        *at, (F.col("id").eqNullSafe(F.col("keep")) & (F.col("chars") == F.col("keep_chars"))).alias("kept")).groupBy(*at).agg(
+        F.first("kept").alias("kept"), F.count("*").alias("rows")), "copies")
+    named = rows.select("doc", "id", F.length(whole("text")).cast("long").alias("chars"),
+                        F.unhex(F.sha2(squeezed(whole("text")), 256)).alias("sha"))
+    leave = copies.where("NOT kept OR rows > 1")
+    match = (named["id"].eqNullSafe(leave["id"])) & (named["chars"] == leave["chars"]) & (named["sha"] == leave["sha"])
+    stay = named.join(leave, match, "left_anti").select("doc.*")
+    twins = copies.where("kept AND rows > 1")
+    if twins.isEmpty():
+        return stay
+    match = (named["id"].eqNullSafe(twins["id"])) & (named["chars"] == twins["chars"]) & (named["sha"] == twins["sha"])
+    one = named.join(twins, match, "left_semi").groupBy(*at).agg(F.first("doc").alias("doc"))
+    return stay.unionByName(one.select("doc.*"))
