@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lakegauge.operators.onepass import value_counts
+from lakegauge.operators.onepass import value_counts  # noqa: F401  (counts that the functions below take)
+
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
 def pair_counts(df: DataFrame, group: list[str], pairs: list[tuple[str, str]]) -> DataFrame:
@@ -55,10 +58,24 @@ def same_set(counts: DataFrame, group: list[str], master: DataFrame) -> DataFram
         ((F.col("unknown_values") == 0) & (F.col("known_values") == F.col("master_values"))).alias("success"))
 
 
+def _common_type(a: T.DataType, b: T.DataType) -> str:
+    """Type in which two key columns are compared: numbers and dates as such where both sides agree, otherwise text."""
+    if isinstance(a, _WHOLE) and isinstance(b, _WHOLE):
+        return "bigint"
+    return "date" if isinstance(a, T.DateType) and isinstance(b, T.DateType) else "string"
+
+
 def referential(df: DataFrame, group: list[str], column: str, master: DataFrame, key: str) -> DataFrame:
-    """Rows whose value is missing from another table's column (values compared as text)."""
-    codes = master.select(F.lit(column).alias("column"), F.col(key).cast("string").alias("code"))
-    return against_master(value_counts(df, group, [column]), group, codes.filter("code IS NOT NULL"))
+    """Rows whose value is missing from another table's column.
+
+    Two whole-number or two date columns are compared as they are, which equals their comparison as text; any other pair is
+    compared as text.
+    """
+    kind = _common_type(df.schema[column].dataType, master.schema[key].dataType)
+    codes = master.select(F.lit(column).alias("column"), F.col(key).cast(kind).alias("code")).filter("code IS NOT NULL")
+    counts = df.groupBy(*group, F.col(column).cast(kind).alias("code")).agg(F.count(F.lit(1)).alias("_cnt")).withColumn(
+        "column", F.lit(column))
+    return against_master(counts, group, codes)
 
 
 def code_list(df: DataFrame, columns: list[str]) -> DataFrame:

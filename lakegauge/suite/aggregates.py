@@ -146,6 +146,15 @@ def distinct_entities_estimate(spark, sf):
     return _day(keys.approx_distinct_count(_events(spark, sf), [PART], "user_id"))
 
 
+@query("distinct_entities_within_error", f"SELECT {DAY} AS day, count(DISTINCT user_id) AS entities, true AS within FROM events GROUP BY 1")
+def distinct_entities_within_error(spark, sf):
+    """The estimate is within five of its standard errors of the exact count, on every day."""
+    e, error = _events(spark, sf), 0.02
+    n = keys.distinct_count(e, [PART], "user_id", "entities").join(keys.approx_distinct_count(e, [PART], "user_id", error), PART)
+    off = F.abs(F.col("distinct_count") - F.col("entities"))
+    return _day(n.select(PART, "entities", (off <= F.greatest(F.lit(1.0), 5 * error * F.col("entities"))).alias("within")))
+
+
 @query("mean_and_deviation", f"""
 SELECT {DAY} AS day, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS sd, avg(value) BETWEEN 40 AND 60 AS mean_ok,
   stddev_samp(value) BETWEEN 0 AND 50 AS sd_ok FROM events GROUP BY 1""")
@@ -212,6 +221,19 @@ def quantile_sketch(spark, sf):
     return _day(order_stats.approx_quantiles(_events(spark, sf), [PART], "value", [0.5, 0.95]))
 
 
+@query("quantile_sketch_within_rank", f"""
+SELECT {DAY} AS day, q, count(value) AS n, true AS within FROM events, (VALUES (0.5::DOUBLE), (0.95::DOUBLE)) s(q) GROUP BY 1, 2""")
+def quantile_sketch_within_rank(spark, sf):
+    """Ranks of the sketched values differ from those asked for by one in ten thousand rows at most (and one row)."""
+    e, qs, accuracy = _events(spark, sf).select(PART, "value"), [0.5, 0.95], 10_000
+    v = e.join(order_stats.approx_quantiles(e, [PART], "value", qs, accuracy), PART)
+    ranks = F.array(*[F.struct(F.lit(q).alias("q"), F.count_if(F.col("value") < F.col("quantiles")[i]).alias("below"),
+                               F.count_if(F.col("value") <= F.col("quantiles")[i]).alias("upto")) for i, q in enumerate(qs)])
+    r = v.groupBy(PART).agg(F.count("value").alias("n"), ranks.alias("ranks")).select(PART, "n", F.inline("ranks"))
+    asked, slack = F.col("q") * F.col("n"), F.col("n") / accuracy + 1
+    return _day(r.select(PART, "q", "n", asked.between(F.col("below") - slack, F.col("upto") + slack).alias("within")))
+
+
 _FRACTIONS = "[0.0, 0.0001, 0.003, 0.013, 0.033, 0.066, 0.133, 0.333, 1.0]"
 _EDGES = f"""s AS (SELECT min(value) AS lo, max(value) AS hi FROM events),
 f AS (SELECT unnest({_FRACTIONS})::DOUBLE AS f, unnest(range(9)) AS i),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lakegauge.contract import parse_contract
 from lakegauge.operators import membership, onepass, reconcile, schema
 from lakegauge.operators.prepare import PART, with_partition
+from lakegauge.session import materialise
 from lakegauge.sources import external
 from lakegauge.suite import query
 from lakegauge.suite.common import DAILY_EVENTS, daily_events, table
@@ -266,6 +267,28 @@ def source_sample(spark, sf):
     return external.sample_rows(table(spark, sf, "orders"), 1000)
 
 
+_SAMPLED = ("orders", "customer", "events")
+
+
+@query("source_sample_holds", " UNION ALL ".join(
+    f"""SELECT '{t}' AS "table", CAST(least(1000, count(*)) AS BIGINT) AS sampled, true AS all_known FROM {t} HAVING count(*) > 0"""
+    for t in _SAMPLED))
+def source_sample_holds(spark, sf):
+    """A sample of each source has as many rows as asked for, and all of them are rows of the source."""
+    out = None
+    for name in _SAMPLED:
+        source = table(spark, sf, name)
+        sample = materialise(external.sample_rows(source, 1000), "sample")
+        once = sample.distinct()
+        met = source.join(once, [source[c].eqNullSafe(once[c]) for c in source.columns], "left_semi").distinct()
+        marks = [d.select(F.lit(name).alias("table"), *[F.lit(int(j == i)).alias(k) for j, k in enumerate(("s", "o", "m"))])
+                 for i, d in enumerate((sample, once, met))]
+        for m in marks:
+            out = m if out is None else out.unionByName(m)
+    n = out.groupBy("table").agg(F.sum("s").alias("sampled"), F.sum("o").alias("o"), F.sum("m").alias("m"))
+    return n.select("table", "sampled", (F.col("o") == F.col("m")).alias("all_known"))
+
+
 _EVENTS_CONTRACT = {"kolom": [
     {"nama": "event_id", "tipe": "integer"}, {"nama": "ts", "tipe": "datetime"}, {"nama": "user_id", "tipe": "string"},
     {"nama": "event_type", "tipe": "string"}, {"nama": "value", "tipe": "float"}, {"nama": "gone", "tipe": "decimal"}]}

@@ -164,6 +164,19 @@ def validate_one_partition(spark, sf):
     return r.select("rule_id", "severity", outcome.alias("outcome"))
 
 
+@query("report_of_partition", _SWEEP + f"""SELECT rule_id AS "rule", CASE WHEN success IS NULL THEN 'skip' WHEN success THEN 'ok' ELSE {_SEVERITY} END AS status
+FROM r WHERE day = (SELECT max(day) FROM r)""")
+def report_of_partition(spark, sf):
+    """The newest day's report as text, and from that text the table of all checks."""
+    r = sweep_of_events(spark, sf)
+    newest = r.agg(F.max("partition")).first()[0]
+    text = history.markdown(r.filter(F.col("partition") == newest), f"events {newest}")
+    lines = small_table(spark, [{"line": x} for x in text.split("## All checks")[1].splitlines()], pa.schema([("line", pa.string())]))
+    cells = F.split("line", r" \| ")
+    return lines.filter(r"line LIKE '| %' AND line NOT LIKE '| status |%'").select(
+        cells[1].alias("rule"), F.substring(cells[0], 3, 20).alias("status"))
+
+
 # check results of several datasets and runs, derived from lineitem
 _NAMES = ", ".join(f"({k}, '{v}')" for k, v in CATEGORIES.items())
 RESULTS = f"""(SELECT 'run-' || (CASE WHEN l_discount > 0.05 THEN 2 ELSE 1 END) AS run_id, 'ds_' || l_returnflag AS dataset,

@@ -225,3 +225,26 @@ def test_zoned_times_are_utc_in_any_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert row["a"] == row["b"] == "2024-03-10 07:00:00.123456"
+
+
+def test_keys_of_another_table_by_type(spark):
+    """Whole numbers of any width and dates are compared as they are, other pairs as text; nulls are not tested."""
+    df = spark.createDataFrame([("a", 1, "1", "2024-01-01"), ("a", 7, "01", "2024-01-02"), ("a", None, None, None), ("b", 7, "7", None),
+                                (None, 2, "2", "2024-01-03")], "g string, i int, s string, d string").withColumn("d", F.to_date("d"))
+    master = spark.createDataFrame([(1, "2024-01-01"), (1, "2024-01-01"), (2, "2024-01-03"), (None, None)], "k bigint, d string").withColumn(
+        "d", F.to_date("d"))
+
+    def bad(column, key):
+        got = membership.referential(df, ["g"], column, master, key).collect()
+        return {r["g"]: (r["element_count"], r["missing_count"], r["unexpected_count"]) for r in got}
+    assert bad("i", "k") == {"a": (3, 1, 1), "b": (1, 0, 1), None: (1, 0, 0)}
+    assert bad("s", "k") == {"a": (3, 1, 1), "b": (1, 0, 1), None: (1, 0, 0)}
+    assert bad("d", "d") == {"a": (3, 1, 1), "b": (1, 1, 0), None: (1, 0, 0)}
+    assert bad("d", "k") == {"a": (3, 1, 2), "b": (1, 1, 0), None: (1, 0, 1)}
+
+
+def test_keys_missing_everywhere(spark):
+    df = spark.createDataFrame([("a", 1), ("a", None)], "g string, i int")
+    none = spark.createDataFrame([], "k bigint")
+    assert membership.referential(df, ["g"], "i", none, "k").first()["unexpected_count"] == 1
+    assert membership.referential(df.limit(0), ["g"], "i", none, "k").isEmpty()
