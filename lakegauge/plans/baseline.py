@@ -121,13 +121,22 @@ def volume_corridor(part_rows: DataFrame, tolerance: float) -> DataFrame:
 
 
 def null_corridor(stats: DataFrame, margin: float) -> DataFrame:
-    """Null share over partitions per column, and the smallest share of present values still accepted."""
+    """Null share over partitions per column, and the smallest share of present values still accepted.
+
+    The mean is summed in decimals: doubles give other last digits when partitions come in another order.
+    """
     rate = F.col("nulls") / F.col("rows")
     return stats.groupBy("column").agg(
-        F.min(rate).alias("null_min"), F.max(rate).alias("null_max"), F.avg(rate).alias("null_mean"),
+        F.min(rate).alias("null_min"), F.max(rate).alias("null_max"), F.avg(rate.cast("decimal(20,18)")).cast("double").alias("null_mean"),
     ).withColumn("min_present", F.bround(F.greatest(F.lit(0.0), 1.0 - (F.col("null_max") + margin)), 4))
 
 
+def distinct_estimate(values: str) -> Column:
+    """Estimated number of distinct values; a sketch that was never merged estimates by the order of its values, one merged with itself doesn't."""
+    found = F.hll_sketch_agg(values)
+    return F.hll_sketch_estimate(F.hll_union(found, found))
+
+
 def numeric_corridor(stats: DataFrame) -> DataFrame:
     """Spread of the per-partition statistics, and the global mean and deviation merged from them."""
     s = stats.filter(F.col("n") > 0)
@@ -302,7 +311,7 @@ def merge(states: dict[str, DataFrame], c: Contract, left_out: list[str], corrid
         values = materialise(codes.where(F.col("column").isin(*texts) & F.col("code").isNotNull()).select(
             "column", F.col("code").alias("value")).distinct(), "text_values")
         seen = {r["column"]: r for r in values.groupBy("column").agg(
-            F.count("*").alias("n"), F.hll_sketch_estimate(F.hll_sketch_agg("value")).alias("about")).collect()}
+            F.count("*").alias("n"), distinct_estimate("value").alias("about")).collect()}
         return patterns.derive_from_values(values.where(F.length("value") > 0), learned_texts), seen
 
     jobs = {
