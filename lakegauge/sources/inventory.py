@@ -93,6 +93,15 @@ def _lister(pattern: str, deep: bool):
     return run
 
 
+def spelled(path: str) -> str:
+    """A folder as ``list_files`` spells it in the names of its files."""
+    if path.startswith("file:"):
+        path = "/" + path.removeprefix("file:").lstrip("/")
+    if "://" not in path:
+        path = os.path.abspath(path)
+    return path.rstrip("/")
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """(path, length, siblings) of every parquet file under a prefix or glob, empty files included, a written table.
 
@@ -100,11 +109,7 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     tables. ``siblings`` counts the parquet files of a file's folder. Names that begin with a dot or an underscore are no data. A folder
     that can't be listed is an error, one that doesn't exist is empty.
     """
-    if path.startswith("file:"):
-        path = "/" + path.removeprefix("file:").lstrip("/")
-    if "://" not in path:
-        path = os.path.abspath(path)
-    path = path.rstrip("/")
+    path = spelled(path)
     fixed = "/".join(takewhile(lambda p: not re.search(r"[*?\[{]", p), path.split("/")))
     level = small_table(spark, [{"path": fixed}], pa.schema([("path", pa.string())]))
     f, inner, _ = filesystem(fixed)

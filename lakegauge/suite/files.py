@@ -59,9 +59,13 @@ def opened(spark, sf, broken=False):
 @query("file_inventory", " UNION ALL ".join(
     f"""SELECT '{t}.parquet' AS label, true AS has_bytes, true AS readable, CAST(count(*) AS BIGINT) AS num_rows FROM {t}""" for t in _TABLES))
 def file_inventory(spark, sf):
-    files = inventory.dated(inventory.list_files(spark, sf)).filter(F.col("label").isin(*[f"{t}.parquet" for t in _TABLES]))
-    return files.join(reader.footers(files).select("path", "readable", "num_rows"), "path").select(
-        "label", (F.col("length") > 0).alias("has_bytes"), "readable", "num_rows")
+    """The files of every table, whether it is one file or a folder of them."""
+    table_of = F.substring_index("label", "/", 1)
+    files = inventory.dated(inventory.list_files(spark, sf), inventory.spelled(sf)).withColumn("label", table_of).filter(
+        F.col("label").isin(*[f"{t}.parquet" for t in _TABLES]))
+    return files.join(reader.footers(files).select("path", "readable", "num_rows"), "path").groupBy("label").agg(
+        F.bool_and(F.col("length") > 0).alias("has_bytes"), F.bool_and("readable").alias("readable"),
+        F.sum("num_rows").alias("num_rows"))
 
 
 # paths of the four layouts, good and bad, one per order
