@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from lakegauge.functions import numbers, times
 from lakegauge.operators.prepare import PART, PART_DATE
 from lakegauge.operators.schema import logical_kind
+from lakegauge.session import materialise
 
 # Name fragments that mark event and load time, in order of preference.
 EVENT_NAMES = ("recorded_at", "reading_at", "event_at", "waktu", "tanggal", "createdate", "create_date", "waktupanen",
@@ -213,7 +214,8 @@ def discover(df: DataFrame, columns: list[str], wanted: list[tuple[str, str]] |
     ``wanted`` are the ordered pairs of interest, ``maybe_equal`` the unordered ones, in the order of ``columns`` (default:
     all). The left value determines the right one only if there are as many value pairs as left values, and two columns are equal
     only if there are also as many right ones; a pair is ruled out when estimates differ by over six standard errors. The driver
-    sees one row per pair of columns.
+    sees one row per pair of columns. How often a combination of values occurs decides nothing, so every step reads the
+    distinct combinations, folded before their one shuffle: few for code columns, at most as many as rows.
     """
     every = list(combinations(columns, 2))
     wanted = [p for a, b in every for p in ((a, b), (b, a))] if wanted is None else wanted
@@ -222,6 +224,7 @@ def discover(df: DataFrame, columns: list[str], wanted: list[tuple[str, str]] |
     ask = [p for p in every if frozenset(p) in asked]
     if not ask:
         return Relations({}, set(), 0)
+    df = materialise(df.select(*[F.col(c).cast("string").alias(c) for c in columns if any(c in p for p in ask)]).distinct(), "combinations")
     fits: dict[tuple[str, str], bool] = {}
     for r in pair_sketches(df, ask).collect():
         a, b = r["left_column"], r["right_column"]

@@ -50,3 +50,13 @@ def test_discover_edges(spark):
     df = spark.createDataFrame([], "a string, b string")
     assert infer.discover(df, ["a", "b"]) == infer.Relations({("a", "b"): False, ("b", "a"): False}, set(), 0)
     assert infer.discover(df, ["a"]) == infer.Relations({}, set(), 0)
+
+
+def test_repeated_rows_are_folded_before_the_sketches(spark, monkeypatch):
+    df = spark.range(20_000).selectExpr("CAST(id % 6 AS STRING) AS a", "CAST(id % 3 AS INT) AS b", "CAST(id % 2 AS STRING) AS c", "CAST(id AS STRING) AS other")
+    read = []
+    for name in ("pair_sketches", "confirm", "equal_columns"):
+        monkeypatch.setattr(infer, name, lambda df, pairs, run=getattr(infer, name): (read.append(df.count()), run(df, pairs))[1])
+    found = infer.discover(df, ["a", "b", "c"])
+    assert {p for p, d in found.determines.items() if d} == {("a", "b"), ("a", "c")} and found.equal == set()
+    assert read and max(read) == 6
