@@ -6,7 +6,9 @@ import datetime as dt
 import time
 import uuid
 from collections.abc import Callable
-from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
+from contextlib import suppress
+from threading import Thread
 
 import pyarrow as pa
 from pyspark import inheritable_thread_target
@@ -98,9 +100,11 @@ def run_all(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]], limit
     """Run every dataset to its end, ``parallel`` at a time, each in a scheduler pool of its own.
 
     One that fails, while it is planned or while it runs, or takes longer than its limit in seconds becomes an error row and holds
-    no other: its Spark jobs carry a tag and are cancelled. Results are written tables; ``limits`` counts from a dataset's start.
+    no other: its Spark jobs carry a tag and are cancelled, those it starts later as well, until it has ended. Results are written
+    tables; ``limits`` counts from a dataset's start.
     """
     results, failed = None, []
+    late: dict[Future, str] = {}
     sc, run = spark.sparkContext, uuid.uuid4().hex[:12]
     started: dict[str, float] = {}
 
@@ -112,6 +116,18 @@ def run_all(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]], limit
             return materialise(job(), "dataset")
         return go
 
+    def cancel_late() -> bool:
+        """One round over datasets past their limit; whether any has not ended."""
+        running = [n for f, n in late.items() if not f.done()]
+        for n in running:
+            sc.cancelJobsWithTag(f"{run}-{n}")
+        return bool(running)
+
+    def cancel_rest() -> None:
+        with suppress(Exception):                           # the session may stop first
+            while cancel_late():
+                time.sleep(0.2)
+
     pool = ThreadPoolExecutor(max_workers=max(1, parallel))
     waiting = {pool.submit(inheritable_thread_target(spark)(one(n, j))): n for n, j in jobs.items()}
     try:
@@ -126,11 +142,12 @@ def run_all(spark: SparkSession, jobs: dict[str, Callable[[], DataFrame]], limit
             for f, name in list(waiting.items()):
                 limit = (limits or {}).get(name)
                 if limit is not None and name in started and time.monotonic() - started[name] > limit:
-                    sc.cancelJobsWithTag(f"{run}-{name}")
-                    del waiting[f]
+                    late[f] = waiting.pop(f)
                     failed.append({"dataset": name, "error": f"took longer than {limit:g} seconds"})
+            cancel_late()
     finally:
         pool.shutdown(wait=False, cancel_futures=True)
+        Thread(target=cancel_rest, daemon=True).start()
     return results, small_table(spark, failed, _RUN)
 
 
