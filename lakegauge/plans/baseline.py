@@ -56,8 +56,8 @@ def exclude_partitions(frame: DataFrame, names: list[str] | None = None) -> tupl
     """
     if names:
         return frame.filter(F.col(PART).isNull() | ~F.col(PART).isin(names)), list(names)
-    newest = frame.agg(F.max(F.struct(F.coalesce(F.col(PART_DATE), F.lit("0001-01-01").cast("date")), F.col(PART))).alias("m"),
-                       F.min(PART).alias("a"), F.max(PART).alias("z")).first()
+    newest = frame.select(PART, PART_DATE).distinct().agg(F.max(F.struct(F.coalesce(F.col(PART_DATE), F.lit("0001-01-01").cast("date")), F.col(PART))).alias("m"),
+                                                          F.min(PART).alias("a"), F.max(PART).alias("z")).first()
     if newest["m"] is None or newest["a"] == newest["z"]:
         return frame, []
     name = newest["m"][1]
@@ -376,6 +376,16 @@ def learn(frame: DataFrame, c: Contract, exclude: list[str] | None = None, corri
     return merge(gather(history, c), c, left_out, corridors, now)
 
 
+def learn_from(states: dict[str, DataFrame], c: Contract, exclude: list[str] | None = None, corridors: str = "signed",
+               now: dt.datetime | None = None) -> Baseline:
+    """As ``learn``, from the states of all partitions (``gather``), which ``evaluate`` can use once more."""
+    _, left_out = exclude_partitions(states["stats"], exclude)
+    used = F.lit(True)
+    for name in left_out:
+        used = used & ~F.col(PART).eqNullSafe(F.lit(name))
+    return merge({n: s.filter(used) for n, s in states.items()}, c, left_out, corridors, now)
+
+
 def remembered(spark: SparkSession, c: Contract, store: str) -> DataFrame:
     """Partitions whose states are stored, with the fingerprint of what they were learned from."""
     if not commits.any_commit(spark, _states(c, store), "parts"):

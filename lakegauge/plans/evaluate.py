@@ -27,6 +27,8 @@ from lakegauge.plans.catalog import BLOCKING, CATEGORIES, SKIPPED, WARNING
 from lakegauge.session import materialise, small_table
 
 GROUP = [PART, PART_DATE]
+# columns of these types reach the rules as they are in the frame
+_AS_THEY_ARE = (T.StringType, T.IntegralType, T.BooleanType)
 # text columns whose history has at most this many values are tested once per value
 FEW_VALUES = 10_000
 _FIELDS = {"rule_id": "string", "success": "boolean", "element_count": "bigint", "missing_count": "bigint",
@@ -419,11 +421,11 @@ def _named(df: DataFrame, by: str, ids: dict[str, str]) -> DataFrame:
     return df.filter(F.col(by).isin(*ids)).withColumn("rule_id", lookup[F.col(by)])
 
 
-def metrics_table(frame: DataFrame, p: Plan, rule_aggs: dict[str, Column]) -> DataFrame:
+def metrics_table(frame: DataFrame, p: Plan, rule_aggs: dict[str, Column], entities: DataFrame | None = None) -> DataFrame:
     """Scalar metrics and row-rule counts per partition, in as few passes as whole-stage codegen allows.
 
     Aggregates are laid out by the column they read, so all passes together scan each column about
-    once; the pass results meet at one row per partition.
+    once; the pass results meet at one row per partition. ``entities`` (partition, _entities) spares their count.
     """
     items = [("", "rows", F.count(F.lit(1)))]
     items += [(p.metric_of.get(n, n), n, m) for n, m in p.metrics.items()]
@@ -442,7 +444,7 @@ def metrics_table(frame: DataFrame, p: Plan, rule_aggs: dict[str, Column]) -> Da
         part = onepass.grouped_metrics(frame, GROUP, b)
         out = part if out is None else _join_parts(out, part)
     if p.entity:
-        out = _join_parts(out, keys.distinct_count(frame, GROUP, p.entity, "_entities"))
+        out = _join_parts(out, keys.distinct_count(frame, GROUP, p.entity, "_entities") if entities is None else entities)
     return out
 
 
@@ -455,13 +457,14 @@ def evaluate(frame: DataFrame, c: Contract, base: Baseline, *, now: dt.datetime,
              partitions: DataFrame | None = None, unreadable: DataFrame | None = None,
              source: DataFrame | reconcile.SourceCounts | None = None, source_reason: str | None = None,
              masters: dict[str, DataFrame] | None = None, samples: int = 0, window_days: int = 1, offset_hours: float = 0.0,
-             run_id: str | None = None) -> DataFrame:
+             run_id: str | None = None, states: dict[str, DataFrame] | None = None) -> DataFrame:
     """check_results of every partition of ``frame`` (which carries its partition columns).
 
     ``partitions`` (part, part_date, label, bytes, files) makes empty partitions visible and
     enables the size rule; ``unreadable`` (part, part_date, error) turns broken files into
     findings; ``source`` is the relation behind the landed table, or its counts; ``masters`` holds the official
-    master tables that the contract's links name.
+    master tables that the contract's links name. ``states`` are what ``baseline.gather`` remembers of the partitions of this
+    very frame; counted values and entities that they hold are not counted again.
     """
     spark = frame.sparkSession
     work = prepare(frame, c)
@@ -490,7 +493,9 @@ def evaluate(frame: DataFrame, c: Contract, base: Baseline, *, now: dt.datetime,
     for n in rule_aggs:
         p.metric_of.setdefault(n, p.rule_column(by_row, n))
 
-    m = metrics_table(work, p, rule_aggs)
+    same = {n for n, t in compiler.raw_types.items() if isinstance(t, _AS_THEY_ARE) and n not in (c.event_time, c.load_time)}
+    entities = states["parts"].select(PART, F.col("entities").alias("_entities")) if states and p.entity in same else None
+    m = metrics_table(work, p, rule_aggs, entities)
     if partitions is not None:
         known = partitions.select(F.col("part").alias("_p2"), F.col("part_date").alias("_d2"), "label", "bytes", "files")
         if unreadable is not None:
@@ -537,7 +542,10 @@ def evaluate(frame: DataFrame, c: Contract, base: Baseline, *, now: dt.datetime,
     folded = sorted({r.columns[0] for r in by_value} | {*p.codes, *p.sets})
     if folded:
         # one scan of the code columns serves the text rules, the master lists and the value sets
-        counts = materialise(onepass.value_counts(work, GROUP, folded), "value_counts")
+        if states and same.issuperset(folded) and {*c.text_columns, *c.reference_columns}.issuperset(folded):
+            counts = order_stats.same_group(states["codes"].filter(F.col("column").isin(*folded)), m.select(*GROUP), [PART])
+        else:
+            counts = materialise(onepass.value_counts(work, GROUP, folded), "value_counts")
         if by_value:
             out.append(_shape(onepass.checks_on_values(counts, GROUP, by_value)))
         if p.codes:
@@ -560,7 +568,7 @@ def evaluate(frame: DataFrame, c: Contract, base: Baseline, *, now: dt.datetime,
         counts = membership.pair_counts(work, GROUP, [tuple(r.split("->")) for r in p.pairs])
         out.append(_shape(_named(membership.pairs_against(counts, GROUP, base.relations), "relation", p.pairs)))
     if p.quantiles or p.medians:
-        out += _order_rules(work, held, p)
+        out += _order_rules(work, held, p, states)
     if p.z_rules:
         out += _z_rules(work, held, p, c.thresholds["batas_zscore"])
 
@@ -631,7 +639,13 @@ def _z_rules(work: DataFrame, m: DataFrame, p: Plan, threshold: float) -> list[D
     return [_rows(flagged.filter("NOT _far"), calm), _shape(_named(z, "column", p.z_rules))]
 
 
-def _order_rules(work: DataFrame, held: DataFrame, p: Plan) -> list[DataFrame]:
+def _all_values(states: dict[str, DataFrame]) -> DataFrame:
+    """Counted values of all profiled columns: those in range, and the rejected ones."""
+    rejects = states["rejects"].groupBy(PART, "column", F.col("value").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    return states["numbers"].select(PART, "column", "v", "n").unionByName(rejects)
+
+
+def _order_rules(work: DataFrame, held: DataFrame, p: Plan, states: dict[str, DataFrame] | None = None) -> list[DataFrame]:
     """Quantile shape and zero medians from one set of order statistics.
 
     A partition without a value of the column passes and says so.
@@ -640,7 +654,11 @@ def _order_rules(work: DataFrame, held: DataFrame, p: Plan) -> list[DataFrame]:
     ranks = {str(q): (lambda n, q=q: order_stats.nearest_rank(q, n)) for q in QS} if p.quantiles else {}
     if p.medians:
         ranks |= {"low": order_stats.middle_low, "high": order_stats.middle_high}
-    found = order_stats.exact_ranks(order_stats.long_values(work, GROUP, cols), GROUP, ranks)
+    if states:
+        found = order_stats.exact_ranks(_all_values(states).filter(F.col("column").isin(*cols)), [PART], ranks, weight="n")
+        found = order_stats.same_group(found, held.select(*GROUP), [PART])
+    else:
+        found = order_stats.exact_ranks(order_stats.long_values(work, GROUP, cols), GROUP, ranks)
     wide = found.groupBy(*GROUP, "column").pivot("name", list(ranks)).agg(F.first("value"))
     groups = held.select(*[F.col(g).alias(f"_{g}") for g in GROUP]).distinct()
     same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in GROUP]

@@ -1,5 +1,6 @@
 """Order statistics by brackets, commits, and baselines from remembered states."""
 
+import datetime as dt
 import random
 
 import pyarrow as pa
@@ -8,7 +9,9 @@ from pyspark.sql import functions as F
 
 from lakegauge.contract import parse_contract
 from lakegauge.operators import order_stats
+from lakegauge.operators.prepare import PART, PART_DATE
 from lakegauge.plans import baseline as bl
+from lakegauge.plans import evaluate as ev
 from lakegauge.plans import validate
 from lakegauge.sources import commits, reader
 
@@ -71,6 +74,32 @@ def test_only_new_and_changed_partitions_are_read(spark, tmp_path, monkeypatch):
     assert sorted(r["code"] for r in b.master.collect()) == ["c0", "c1", "c2", "c3", "changed", "new"]
 
 
+def test_a_sweep_counts_nothing_that_the_baseline_has_counted(spark, monkeypatch):
+    """Values out of range and without partition date included, the results are those of an evaluation on its own."""
+    spec = {"kunci": {"surrogate": "id", "bisnis": ["who", "ts"], "waktu": "ts", "granularitas": "jam"},
+            "kolom": [{"nama": "id", "tipe": "integer"}, {"nama": "who", "tipe": "integer", "wajib": False}, {"nama": "ts", "tipe": "datetime"},
+                      {"nama": "s", "tipe": "string", "referensi": True, "wajib": False},
+                      {"nama": "v", "tipe": "float", "rentang": [0, 50], "profil_distribusi": True, "wajib": False},
+                      {"nama": "z", "tipe": "integer", "profil_distribusi": True, "wajib": False}]}
+    c = parse_contract("k", spec)
+    df = spark.range(600).select(
+        "id", F.when(F.col("id") % 9 > 0, F.col("id") % 7).alias("who"), F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_dt_interval(0, id)").alias("ts"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit("c"), (F.col("id") % 3).cast("string"))).alias("s"),
+        F.expr("CASE WHEN id % 11 = 0 THEN double('NaN') WHEN id % 13 > 0 THEN id % 61 - 2.5D END").alias("v"),
+        F.when(F.col("id") < 480, F.when(F.col("id") % 3 == 0, F.when(F.col("id") % 5 == 0, 4).otherwise(0))).alias("z"))
+    day = F.to_date("ts")
+    frame = df.withColumns({PART_DATE: F.when(F.col("id") >= 24, day), PART: day.cast("string")})
+    now = dt.datetime(2024, 6, 1)
+    alone = ev.evaluate(frame, c, bl.learn(frame, c, now=now), now=now, run_id="r").drop("sample").collect()
+    states = bl.gather(frame, c)
+    base = bl.learn_from(states, c, now=now)
+    for module, name in ((ev.order_stats, "long_values"), (ev.onepass, "value_counts"), (ev.keys, "distinct_count")):
+        monkeypatch.setattr(module, name, None)
+    shared = ev.evaluate(frame, c, base, now=now, run_id="r", states=states).drop("sample").collect()
+    assert sorted(map(str, shared)) == sorted(map(str, alone)) and len(alone) > 500
+    assert {r["rule_kind"] for r in alone} >= {"quantile_shape", "median_zero", "in_master", "same_set", "entity_corridor", "z_score"}
+
+
 def _opened(spark, root):
     from lakegauge.sources import inventory
     files = inventory.dated(inventory.list_files(spark, root))
