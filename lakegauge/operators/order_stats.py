@@ -3,7 +3,7 @@
 A group's count, least and largest value come from one narrow scan. Where a group holds more values than one task should sort,
 a KLL sketch of them brackets every wanted rank, the next scan counts the zones between the brackets' ends, and only zones
 that hold a rank go on, by a sketch of their own as long as they are still too large. What is left, a bounded number of
-values per zone, is counted by value and read off.
+rows per zone, is sorted and read off. Where every group is that small to begin with, one job reads all ranks off.
 
 The counts alone decide which zone holds a rank, so the result is exact however far off a sketch may be. Every step is an
 aggregation with map-side combine: a group with a third of all rows, or one value on a third of them, costs no more than any
@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 
 from lakegauge.session import materialise
 
-#: rows of a zone that are counted by value; sketch size, and the grid of ranks that brackets are taken from
+#: rows of a zone that are sorted; sketch size, and the grid of ranks that brackets are taken from
 BOUND, SKETCH_K, GRID = 16384, 1024, 128
 
 
@@ -55,16 +55,24 @@ def long_values(df: DataFrame, group: list[str], columns: dict[str, Column]) ->
     return df.select(*group, F.inline(items)).filter(F.col("v").isNotNull())
 
 
-def _locate(counts: DataFrame, by: list[str], order: str, ranks: Column) -> DataFrame:
-    """Attach to each bucket the wanted ranks that fall into it, as an offset inside the bucket."""
+def _locate(counts: DataFrame, by: list[str], order: str, ranks: Column, most: int, counted: bool = False) -> DataFrame:
+    """Attach to each bucket the wanted ranks that fall into it, as an offset inside the bucket.
+
+    At most ``most`` ranks are wanted. With ``counted`` they follow from the group's count, which is attached as ``_n``.
+    """
     w = Window.partitionBy(*by)
     before = F.sum("cnt").over(w.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("cnt")
-    return (counts.withColumn("_before", before).withColumn("_n", F.sum("cnt").over(w))
-            .withColumn("_inside", F.filter(ranks, lambda r: (r.k >= F.col("_before"))
-                                            & (r.k < F.col("_before") + F.col("cnt"))))
-            .filter(F.size("_inside") > 0)
-            .withColumn("_inside", F.transform("_inside", lambda r: F.struct(
-                r["name"].alias("name"), (r.k - F.col("_before")).alias("k")))))
+    out = counts.withColumn("_before", before)
+    if counted:
+        out = out.withColumn("_n", F.sum("cnt").over(w))
+
+    def held(k: Column) -> Column:
+        return (k >= F.col("_before")) & (k < F.col("_before") + F.col("cnt"))
+    hit = F.lit(False)
+    for i in range(most):                       # few buckets hold a rank; only theirs are looked at one by one
+        hit = hit | F.coalesce(held(F.get(ranks, F.lit(i))["k"]), F.lit(False))
+    return out.where(hit).withColumn("_inside", F.transform(F.filter(ranks, lambda r: held(r["k"])), lambda r: F.struct(
+        r["name"].alias("name"), (r["k"] - F.col("_before")).alias("k"))))
 
 
 def sketch(v: str | Column = "v") -> Column:
@@ -89,12 +97,15 @@ def exact_ranks(values: DataFrame, group: list[str], ranks: dict[str, object], o
     w = F.sum(weight) if weight else F.count(F.lit(1))
     wanted = F.array(*[F.struct(F.lit(name).alias("name"), fn(F.col("_n")).alias("k")) for name, fn in ranks.items()])
     rows = values.select(*by, "v", *([weight] if weight else []))
+    single = F.col(weight) if weight else F.lit(1).cast("bigint")
     if one_job:
         counts = rows.groupBy(*by, "v").agg(w.alias("cnt"))
-        return _read_off(_locate(counts, by, "v", wanted), by)
-    zones = rows.groupBy(*by).agg(w.alias("_n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+        return _read_off(_locate(counts, by, "v", wanted, len(ranks), counted=True), by)
+    zones = rows.groupBy(*by).agg(w.alias("_n"), F.count(F.lit(1)).alias("rows"), F.min("v").alias("lo"), F.max("v").alias("hi"))
     zones = materialise(zones.withColumn("want", wanted).withColumnRenamed("_n", "cnt"), "zones")
-    done, size = [], F.col("cnt") > bound
+    done, size = [], F.col("rows") > bound
+    if zones.where(size).isEmpty():
+        return _read_off(_locate(rows.select(*by, "v", single.alias("cnt")), by, "v", wanted, len(ranks), counted=True), by)
     open_zones = zones.where(size & (F.col("lo") < F.col("hi")))
     while not open_zones.isEmpty():
         done.append(zones.where(~size | (F.col("lo") >= F.col("hi"))))
@@ -112,10 +123,10 @@ def exact_ranks(values: DataFrame, group: list[str], ranks: dict[str, object], o
         # an end is a zone of its own: a value on very many rows is singled out, and every round leaves less
         zone = F.size(F.filter("edges", lambda e: e < F.col("v"))) + F.size(F.filter("edges", lambda e: e <= F.col("v")))
         counted = _inside(rows, cut.select(*by, "lo", "hi", "edges"), by).groupBy(*by, "lo", zone.alias("zone")).agg(
-            w.alias("cnt"), F.min("v").alias("_min"), F.max("v").alias("_max"))
+            w.alias("cnt"), F.count(F.lit(1)).alias("rows"), F.min("v").alias("_min"), F.max("v").alias("_max"))
         counted = same_group(counted, cut.select(*by, "lo", "want"), [*by, "lo"])
-        zones = materialise(_locate(counted, [*by, "lo"], "zone", F.col("want")).select(
-            *by, "cnt", F.col("_min").alias("lo"), F.col("_max").alias("hi"), F.col("_inside").alias("want")), "zones")
+        zones = materialise(_locate(counted, [*by, "lo"], "zone", F.col("want"), len(ranks)).select(
+            *by, "cnt", "rows", F.col("_min").alias("lo"), F.col("_max").alias("hi"), F.col("_inside").alias("want")), "zones")
         open_zones = zones.where(size & (F.col("lo") < F.col("hi")))
     done.append(zones)
     last = done[0]
@@ -124,9 +135,8 @@ def exact_ranks(values: DataFrame, group: list[str], ranks: dict[str, object], o
     flat = last.where("lo = hi").select(*by, F.explode("want").alias("_hit"), F.col("lo").alias("v")).select(
         *by, F.col("_hit")["name"].alias("name"), F.col("v").alias("value"))
     few = last.where("lo < hi")
-    fine = _inside(rows, few.select(*by, "lo", "hi"), by).groupBy(*by, "lo", "v").agg(w.alias("cnt"))
-    fine = same_group(fine, few.select(*by, "lo", "want"), [*by, "lo"])
-    return flat.unionByName(_read_off(_locate(fine, [*by, "lo"], "v", F.col("want")), by))
+    fine = _inside(rows, few.select(*by, "lo", "hi", "want"), by).withColumn("cnt", single)
+    return flat.unionByName(_read_off(_locate(fine, [*by, "lo"], "v", F.col("want"), len(ranks)), by))
 
 
 def _read_off(found: DataFrame, by: list[str]) -> DataFrame:

@@ -74,6 +74,17 @@ def test_only_new_and_changed_partitions_are_read(spark, tmp_path, monkeypatch):
     assert sorted(r["code"] for r in b.master.collect()) == ["c0", "c1", "c2", "c3", "changed", "new"]
 
 
+def test_values_counted_for_many_rows_are_read_off_in_one_job(spark, monkeypatch):
+    """Few different values on very many rows need no brackets: what one task sorts is the values, not the rows behind them."""
+    written, plain = [], order_stats.materialise
+    monkeypatch.setattr(order_stats, "materialise", lambda df, tag: written.append(tag) or plain(df, tag))
+    rows = [(g, "x", float(v), 10 ** 9) for g in ("a", None) for v in range(-20, 20)]
+    df = spark.createDataFrame(rows, "g string, column string, v double, n long")
+    got = {(r["g"], r["name"]): r["value"] for r in order_stats.quantiles(df, ["g"], [0.0, 0.25, 0.5, 1.0], weight="n").collect()}
+    assert got == {(g, q): v for g in ("a", None) for q, v in (("0.0", -20.0), ("0.25", -11.0), ("0.5", -1.0), ("1.0", 19.0))}
+    assert written == ["zones"]
+
+
 def test_a_sweep_counts_nothing_that_the_baseline_has_counted(spark, monkeypatch):
     """Values out of range and without partition date included, the results are those of an evaluation on its own."""
     spec = {"kunci": {"surrogate": "id", "bisnis": ["who", "ts"], "waktu": "ts", "granularitas": "jam"},
